@@ -1,0 +1,209 @@
+"""The batch pipeline (R3): pick -> validate -> gate -> raw append -> increment -> enrich -> merge.
+
+Replay safety (a retry after a crash at any point gives the same tables):
+
+* the ledger row ``pending`` with a fixed ``(batch_id, batch_time, paths)`` is
+  written before any table write; a retry finds it and reuses it;
+* raw and enriched tables carry a leading ``batch_id`` partition and batch
+  writes replace only their own folders (dynamic partition overwrite);
+* the merge of batch X uses the enriched table without X's folder, both for
+  the anti-join and for the high-water mark, and the mark is read from the
+  ledger (recorded at each completed merge), not recomputed from the table;
+* the ledger says ``loaded`` only after both writes.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.columns import derive_check_columns, epoch_to_timestamp, timestamp_to_micros
+from tidemark.operators.enrich import enrich
+from tidemark.operators.increment import high_water_mark, increment
+from tidemark.operators.ledger import (current_state, last_watermark, next_batch, pending_batch, read_ledger,
+                                       record)
+from tidemark.operators.merge import merge_insert
+from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
+from tidemark.plans.tables import BATCH_COL, Table, append, create_table, overwrite, read_table
+from tidemark.schemas import (DEFAULT_MAX_FILES, DEFAULT_MIN_PASS_RATE, DEFAULT_MIN_RECORDS, DIMENSION_KEY,
+                              LANDING_SCHEMA, RAW_SCHEMA, enriched_schema)
+from tidemark.sources.files import list_files, read_landing
+
+PARTS = (BATCH_COL, "order_month")
+
+
+@dataclass(frozen=True)
+class PipelineConfig:
+    landing: str
+    root: str
+    max_files: int = DEFAULT_MAX_FILES
+    suite: tuple[Expectation, ...] = field(default_factory=lambda: tuple(default_suite()))
+    min_pass_rate: float = DEFAULT_MIN_PASS_RATE
+    min_records: int = DEFAULT_MIN_RECORDS
+    key: str = "invoiceid"
+    fact_key: str = "state"
+    dim_key: str = DIMENSION_KEY
+    pattern: str = "*.parquet"
+    execution_date: str | None = None
+
+    @property
+    def ledger_path(self) -> str:
+        return f"{self.root}/ledger"
+
+    @property
+    def audit_path(self) -> str:
+        return f"{self.root}/audit"
+
+    @property
+    def quarantine_path(self) -> str:
+        return f"{self.root}/quarantine"
+
+    @property
+    def stream_checkpoint(self) -> str:
+        return f"{self.root}/_stream_checkpoint"
+
+    def raw_table(self) -> Table:
+        return Table(f"{self.root}/raw", RAW_SCHEMA, PARTS)
+
+    def dimension_table(self, schema: T.StructType) -> Table:
+        return Table(f"{self.root}/dimension", schema)
+
+    def enriched_table(self, dim_schema: T.StructType) -> Table:
+        return Table(f"{self.root}/enriched", enriched_schema(dim_schema, self.dim_key), PARTS)
+
+
+@dataclass(frozen=True)
+class BatchResult:
+    status: str  # "empty" | "loaded" | "quarantined"
+    batch_id: str | None = None
+    batch_time: datetime | None = None
+    paths: tuple[str, ...] = ()
+    summary: dict | None = None
+    results: tuple[Row, ...] = ()
+    inserted: int | None = None
+
+
+def batch_id_for(batch_time: datetime) -> str:
+    """Sortable text of the stamp (orders like the stamp itself)."""
+    return batch_time.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+
+
+def _utc(dt: datetime) -> datetime:
+    return dt.astimezone(timezone.utc)  # naive values (as collected) are local time
+
+
+def to_raw(batch: DataFrame, batch_time: datetime) -> DataFrame:
+    """Epoch -> TIMESTAMP, one ingest stamp for the whole batch, raw column order."""
+    out = batch.withColumns({
+        "orderdate": epoch_to_timestamp("orderdate"),
+        "processed_date": F.lit(_utc(batch_time)).cast("timestamp"),
+    })
+    return out.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMA.fields])
+
+
+def bootstrap(spark: SparkSession, cfg: PipelineConfig, dimension: DataFrame) -> tuple[Table, Table, Table]:
+    """One-off setup (idempotent): raw and enriched tables, dimension (overwritten)."""
+    dim = overwrite(spark, cfg.dimension_table(dimension.schema), dimension)
+    raw = create_table(spark, cfg.raw_table())
+    enriched = create_table(spark, cfg.enriched_table(dim.schema))
+    return raw, dim, enriched
+
+
+def _dimension(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, T.StructType]:
+    dim = spark.read.parquet(f"{cfg.root}/dimension")
+    return dim, dim.schema
+
+
+def _last_batch_time(ledger: DataFrame) -> datetime | None:
+    row = ledger.agg(F.max("batch_time").alias("t")).first()
+    return None if row is None or row["t"] is None else _utc(row["t"])
+
+
+def _stamp(ledger: DataFrame, wanted: datetime | None) -> datetime:
+    """Stamps must strictly increase across batches (strict ``>`` in the increment)."""
+    last = _last_batch_time(ledger)
+    if wanted is not None:
+        wanted = _utc(wanted)
+        if last is not None and wanted <= last:
+            raise ValueError(f"batch time {wanted} is not after the last batch time {last}")
+        return wanted
+    now = datetime.now(timezone.utc)
+    return now if last is None or now > last else last + timedelta(milliseconds=1)
+
+
+def run_batch(spark: SparkSession, cfg: PipelineConfig, batch_time: datetime | None = None) -> BatchResult:
+    """Process the next batch of landing files (or resume the pending one)."""
+    ledger = read_ledger(spark, cfg.ledger_path)
+    pend = pending_batch(ledger, cfg.max_files)
+    if pend is not None:
+        batch_id, stamp, paths = pend.batch_id, _utc(pend.batch_time), pend.paths
+    else:
+        listing = list_files(spark, cfg.landing, cfg.pattern)
+        paths = [r["path"] for r in next_batch(listing, ledger, cfg.max_files).collect()]
+        if not paths:
+            return BatchResult("empty")
+        stamp = _stamp(ledger, batch_time)
+        batch_id = batch_id_for(stamp)
+        record(spark, cfg.ledger_path, paths, batch_id, stamp, "pending")
+    return process_batch(spark, cfg, read_landing(spark, paths), batch_id, stamp, paths)
+
+
+def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, batch_id: str,
+                  batch_time: datetime, paths: list[str]) -> BatchResult:
+    """Validate, gate and load one batch whose ledger rows are already ``pending``."""
+    results, summary = run_suite(derive_check_columns(batch), list(cfg.suite))  # one scan
+    decision = gate(summary, cfg.min_pass_rate, cfg.min_records)
+    execution_date = cfg.execution_date or batch_time.strftime("%Y-%m-%d")
+    write_audit(audit_frame(spark, summary, execution_date, batch_id, decision), cfg.audit_path)
+
+    if decision != "load":
+        # K4: a copy of the batch for inspection; the folder is the batch's own, so a replay overwrites it.
+        batch.write.mode("overwrite").parquet(f"{cfg.quarantine_path}/{BATCH_COL}={batch_id}")
+        record(spark, cfg.ledger_path, paths, batch_id, batch_time, "quarantined")
+        return BatchResult("quarantined", batch_id, batch_time, tuple(paths), summary, tuple(results))
+
+    raw_t = cfg.raw_table()
+    append(raw_t, to_raw(batch, batch_time), batch_id)
+
+    dim, dim_schema = _dimension(spark, cfg)
+    enr_t = cfg.enriched_table(dim_schema)
+    target = read_table(spark, enr_t, exclude_batch=batch_id)
+    ledger = read_ledger(spark, cfg.ledger_path)
+    mark = last_watermark(ledger, exclude_batch=batch_id)
+    if mark is None and current_state(ledger).filter(F.col("state") != "pending").limit(1).count() == 0:
+        mark = high_water_mark(target)  # first merge: the table may hold rows from elsewhere
+    min_batch = batch_id_for(datetime.fromtimestamp(mark / 1e6, timezone.utc)) if mark is not None else None
+    raw_all = read_table(spark, raw_t, keep_hidden=True)
+    new = increment(raw_all, mark, "processed_date", batch_col=BATCH_COL, min_batch=min_batch)
+    enriched_new = enrich(new.select(*raw_t.columns), dim, cfg.fact_key, cfg.dim_key)
+    to_insert = merge_insert(target, enriched_new, cfg.key)
+    append(enr_t, to_insert, batch_id)
+
+    mine = read_table(spark, enr_t, batches=[batch_id])
+    got = mine.agg(F.count(F.lit(1)).alias("n"),
+                   timestamp_to_micros(F.max("processed_date"), T.TimestampType()).alias("m")).first()
+    new_mark = max([m for m in (mark, got["m"]) if m is not None], default=None)
+    record(spark, cfg.ledger_path, paths, batch_id, batch_time, "loaded", watermark_us=new_mark)
+    record(spark, cfg.ledger_path, paths, batch_id, batch_time, "archived", watermark_us=new_mark)
+    return BatchResult("loaded", batch_id, batch_time, tuple(paths), summary, tuple(results), int(got["n"]))
+
+
+def run_all(spark: SparkSession, cfg: PipelineConfig, clock=None, max_batches: int | None = None) -> list[BatchResult]:
+    """Run batches until the landing area has nothing new. ``clock(i)`` gives batch i's stamp."""
+    out: list[BatchResult] = []
+    i = 0
+    while max_batches is None or i < max_batches:
+        res = run_batch(spark, cfg, clock(i) if clock else None)
+        if res.status == "empty":
+            break
+        out.append(res)
+        i += 1
+    return out
+
+
+def landing_schema() -> T.StructType:
+    return LANDING_SCHEMA
