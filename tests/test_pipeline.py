@@ -1,0 +1,125 @@
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+import tidemark.plans.pipeline as P
+from tidemark.operators.ledger import current_state, read_ledger
+from tidemark.plans.tables import read_table
+from tidemark.schemas import DIMENSION_COLUMNS, US_STATES, dimension_schema
+from tidemark.sources.synth import synth_transactions
+from tidemark.streaming.ingest import run_stream_to_end
+
+T0 = datetime(2024, 3, 1, tzinfo=timezone.utc)
+
+
+def clock(i):
+    return T0 + timedelta(hours=i)
+
+
+def dimension(spark):
+    rows = []
+    for i, s in enumerate(US_STATES[:40] + ["DC"]):
+        rows.append(tuple([s] + [i * 10 + j for j in range(len(DIMENSION_COLUMNS) - 2)] + [1000.5 + i, 500.25 + i]))
+    return spark.createDataFrame(rows, dimension_schema())
+
+
+def landing(spark, root, n_files, rows_per_file, key_offset=0, folder="raw"):
+    keys = spark.range(key_offset, key_offset + n_files * rows_per_file)
+    df = synth_transactions(keys, "id")
+    df.repartition(n_files, "invoiceid").write.mode("append").parquet(f"{root}/{folder}")
+
+
+@pytest.fixture()
+def cfg(spark, tmp_path):
+    c = P.PipelineConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "lake"))
+    P.bootstrap(spark, c, dimension(spark))
+    return c
+
+
+def enriched(spark, cfg):
+    dim = spark.read.parquet(f"{cfg.root}/dimension")
+    return read_table(spark, cfg.enriched_table(dim.schema))
+
+
+def test_empty_landing(spark, cfg):
+    assert P.run_batch(spark, cfg, clock(0)).status == "empty"
+
+
+def test_accepted_batch_and_rerun(spark, cfg):
+    landing(spark, cfg.landing, 5, 100)
+    r = P.run_batch(spark, cfg, clock(0))
+    assert r.status == "loaded" and r.inserted == 500 and len(r.paths) == 5
+    e = enriched(spark, cfg)
+    assert e.count() == 500 and e.select("invoiceid").distinct().count() == 500
+    assert len(e.columns) == 30 and "State_Income_Median_Houseold_Income" in e.columns
+    # unknown states (the last 10 of the 50) carry NULL dimension values
+    assert e.filter(F.col("State_Housing_Households").isNull()).count() > 0
+    assert P.run_batch(spark, cfg, clock(1)).status == "empty"
+    states = {r.state for r in current_state(read_ledger(spark, cfg.ledger_path)).collect()}
+    assert states == {"archived"}
+
+
+def test_partial_batch_is_quarantined(spark, cfg):
+    landing(spark, cfg.landing, 3, 100)
+    r = P.run_batch(spark, cfg, clock(0))
+    assert r.status == "quarantined" and r.summary["record_count"] == 300
+    q = spark.read.parquet(cfg.quarantine_path)
+    assert q.count() == 300
+    assert read_table(spark, cfg.raw_table()).count() == 0
+    audit = spark.read.parquet(cfg.audit_path)
+    assert audit.first().decision == "quarantine"
+
+
+def test_redelivered_keys_are_not_merged_twice(spark, cfg):
+    landing(spark, cfg.landing, 5, 100)
+    landing(spark, cfg.landing, 5, 100, folder="zz_again")  # same invoice ids again, other folder
+    res = P.run_all(spark, cfg, clock=clock)
+    assert [r.status for r in res] == ["loaded", "loaded"]
+    assert res[1].inserted == 0
+    assert read_table(spark, cfg.raw_table()).count() == 1000
+    assert enriched(spark, cfg).count() == 500
+
+
+def test_stamps_must_increase(spark, cfg):
+    landing(spark, cfg.landing, 5, 100)
+    landing(spark, cfg.landing, 5, 100, key_offset=1000, folder="zz")
+    P.run_batch(spark, cfg, clock(5))
+    with pytest.raises(ValueError):
+        P.run_batch(spark, cfg, clock(5))  # equal stamp would hide rows from the increment
+
+
+def test_crash_half_way_then_replay(spark, cfg, monkeypatch):
+    landing(spark, cfg.landing, 5, 100)
+    real_append = P.append
+    calls = {"n": 0}
+
+    def flaky(table, df, batch_id=None):
+        calls["n"] += 1
+        if table.path.endswith("/enriched"):
+            real_append(table, df.limit(50), batch_id)  # half of the rows committed ...
+            raise RuntimeError("executor lost")  # ... then the job dies
+        return real_append(table, df, batch_id)
+
+    monkeypatch.setattr(P, "append", flaky)
+    with pytest.raises(RuntimeError):
+        P.run_batch(spark, cfg, clock(0))
+    assert enriched(spark, cfg).count() == 50
+    monkeypatch.setattr(P, "append", real_append)
+    r = P.run_batch(spark, cfg, clock(1))  # resumes the pending batch with its original stamp
+    assert r.status == "loaded" and r.batch_time == clock(0)
+    e = enriched(spark, cfg)
+    assert e.count() == 500 and e.select("invoiceid").distinct().count() == 500
+    assert read_table(spark, cfg.raw_table()).count() == 500
+
+
+def test_stream_equals_batch(spark, cfg, tmp_path):
+    landing(spark, cfg.landing, 5, 100)
+    landing(spark, cfg.landing, 5, 100, key_offset=1000, folder="zz")
+    run_stream_to_end(spark, cfg, clock=clock)
+    streamed = sorted(r.invoiceid for r in enriched(spark, cfg).select("invoiceid").collect())
+    other = P.PipelineConfig(landing=cfg.landing, root=str(tmp_path / "lake2"))
+    P.bootstrap(spark, other, dimension(spark))
+    P.run_all(spark, other, clock=clock)
+    batch = sorted(r.invoiceid for r in enriched(spark, other).select("invoiceid").collect())
+    assert streamed == batch and len(batch) == 1000

@@ -1,12 +1 @@
-from tidemark.functions.columns import (  # noqa: F401
-    derive_check_columns,
-    epoch_to_timestamp,
-    epoch_to_timestamp_ntz,
-    micros_to_timestamp,
-    month_index,
-    normalise_names,
-    path_basename,
-    strip_scheme,
-    timestamp_to_epoch,
-    timestamp_to_micros,
-)
+"""Column-level helpers; see ``tidemark.functions.columns``."""

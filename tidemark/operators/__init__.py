@@ -1,7 +1,5 @@
-from tidemark.operators.enrich import enrich, prepare_dimension  # noqa: F401
-from tidemark.operators.increment import high_water_mark, increment, increment_from  # noqa: F401
-from tidemark.operators.layout import cluster_for_write, with_month  # noqa: F401
-from tidemark.operators.ledger import current_state, next_batch  # noqa: F401
-from tidemark.operators.merge import merge_insert, merge_upsert  # noqa: F401
-from tidemark.operators.quality import gate, run_suite, summarise, validate  # noqa: F401
-from tidemark.operators.rollup import rollup_dimension  # noqa: F401
+"""Operators: increment, enrich, merge, rollup, quality, ledger, layout, sizing.
+
+Import from the submodules (``tidemark.operators.merge`` ...); names are not
+re-exported here so that module and function names never shadow each other.
+"""

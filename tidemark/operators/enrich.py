@@ -46,12 +46,10 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str = "state", dim_key: s
 
         max_bytes = broadcast_threshold(facts.sparkSession) or 50 * 1024 * 1024
     right = prepare_dimension(dim, dim_key, prefix, columns=columns)
-    size = measure(right, max_rows)
+    size = measure(right, max_rows, key=_KEY if on_duplicate == "error" else None)
     if fits_broadcast(size, max_bytes):
-        if on_duplicate == "error":
-            dup = right.filter(F.col(_KEY).isNotNull()).groupBy(_KEY).count().filter("count > 1").limit(1).count()
-            if dup:
-                raise DuplicateDimensionKey(f"dimension key {dim_key!r} is not unique")
+        if size.duplicate_keys:
+            raise DuplicateDimensionKey(f"dimension key {dim_key!r} is not unique")
         right = F.broadcast(right)
     joined = facts.join(right, facts[fact_key] == right[_KEY], "left")
     return joined.drop(_KEY)

@@ -43,9 +43,11 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
         from tidemark.session import broadcast_threshold
 
         max_bytes = broadcast_threshold(source.sparkSession) or 50 * 1024 * 1024
-    src_keys = source.select(*keys).filter(_not_null(keys)).distinct()
+    src_keys = source.select(*keys).filter(_not_null(keys))
+    # rows bound distinct keys from above: measuring without the distinct saves a shuffle
     if not fits_broadcast(measure(src_keys, max_rows), max_bytes):
         return None
+    src_keys = src_keys.distinct()
     return target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi").distinct()
 
 

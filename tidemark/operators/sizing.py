@@ -21,6 +21,7 @@ class SideSize:
     rows: int
     bytes: int
     bounded: bool  # False: more than max_rows rows exist; rows/bytes are lower bounds
+    duplicate_keys: bool = False  # only computed when a key is given
 
 
 def _width(field: T.StructField) -> Column | int:
@@ -41,20 +42,26 @@ def _width(field: T.StructField) -> Column | int:
     return 8
 
 
-def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> SideSize:
-    """Rows and approximate in-memory bytes of ``df``, reading at most ``max_rows + 1`` rows."""
+def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key: str | None = None) -> SideSize:
+    """Rows and approximate in-memory bytes of ``df``, reading at most ``max_rows + 1`` rows.
+
+    With ``key``, the same job also tells whether a non-NULL key repeats.
+    """
     widths = [_width(f) for f in df.schema.fields]
     fixed = sum(w for w in widths if isinstance(w, int)) + 16
     var = [w for w in widths if not isinstance(w, int)]
     row_bytes = F.lit(fixed)
     for w in var:
         row_bytes = row_bytes + w
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(row_bytes), F.lit(0)).cast("long").alias("bytes"),
-    ).first()
+    aggs = [F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(row_bytes), F.lit(0)).cast("long").alias("bytes")]
+    if key is not None:
+        k = F.col(f"`{key}`")
+        aggs.append((F.count(k) > F.count_distinct(k)).alias("dup"))
+    probe = df.limit(max_rows + 1).agg(*aggs).first()
     rows, size = int(probe["rows"]), int(probe["bytes"])
-    return SideSize(rows=rows, bytes=size, bounded=rows <= max_rows)
+    dup = bool(probe["dup"]) if key is not None else False
+    return SideSize(rows=rows, bytes=size, bounded=rows <= max_rows, duplicate_keys=dup)
 
 
 def fits_broadcast(size: SideSize, max_bytes: int) -> bool:

@@ -1,2 +1 @@
-from tidemark.sources.csv import read_csv_inferred, read_dimension_csv, write_csv  # noqa: F401
-from tidemark.sources.files import list_files, manifest_paths, read_landing, read_manifest, write_manifest  # noqa: F401
+"""Sources and sinks: landing files, manifest, CSV, synthetic fixture, driver-table mapping."""

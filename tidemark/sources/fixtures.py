@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import timestamp_to_epoch
-from tidemark.operators.sizing import join_small
 from tidemark.schemas import LANDING_SCHEMA
 
 DIM_NATION_LIMIT = 20
@@ -34,9 +33,10 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    # orders x customer are both fact-sized: planner's choice (sort-merge / AQE); nation is measured.
+    # Base-table joins: the planner's file-size statistics pick broadcast (nation) or
+    # sort-merge (orders x customer at scale); no extra sizing job is needed for raw scans.
     oc = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    ocn = join_small(oc, nation, oc.c_nationkey == nation.n_nationkey)
+    ocn = oc.join(nation, oc.c_nationkey == nation.n_nationkey)
     out = ocn.select(
         F.col("o_orderkey").alias("invoiceid"),
         F.col("n_regionkey").cast("long").alias("itemid"),
@@ -57,8 +57,7 @@ def county_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < DIM_NATION_LIMIT)
     cents = F.round(F.col("c_acctbal") * 100).cast("long")
-    j = join_small(customer, nation.select("n_nationkey", "n_name"),
-                   customer.c_nationkey == nation.n_nationkey)
+    j = customer.join(nation.select("n_nationkey", "n_name"), customer.c_nationkey == nation.n_nationkey)
     return j.select(
         F.col("n_name").alias("State"),
         F.lit(1).cast("int").alias(COUNTY_CUSTOMERS),

@@ -1 +1 @@
-from tidemark.streaming.ingest import ingest_stream  # noqa: F401
+"""Structured Streaming ingest; see ``tidemark.streaming.ingest``."""

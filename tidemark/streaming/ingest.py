@@ -28,6 +28,7 @@ def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, availabl
     source = (spark.readStream.schema(LANDING_SCHEMA)
               .option("maxFilesPerTrigger", cfg.max_files)
               .option("pathGlobFilter", cfg.pattern)
+              .option("recursiveFileLookup", "true")  # same files as the batch listing
               .parquet(cfg.landing)
               .withColumn(_PATH, F.col("_metadata.file_path")))
 
