@@ -94,12 +94,12 @@ def test_crash_half_way_then_replay(spark, cfg, monkeypatch):
     real_append = P.append
     calls = {"n": 0}
 
-    def flaky(table, df, batch_id=None):
+    def flaky(table, df, batch_id=None, **kw):
         calls["n"] += 1
         if table.path.endswith("/enriched"):
-            real_append(table, df.limit(50), batch_id)  # half of the rows committed ...
+            real_append(table, df.limit(50), batch_id, **kw)  # half of the rows committed ...
             raise RuntimeError("executor lost")  # ... then the job dies
-        return real_append(table, df, batch_id)
+        return real_append(table, df, batch_id, **kw)
 
     monkeypatch.setattr(P, "append", flaky)
     with pytest.raises(RuntimeError):

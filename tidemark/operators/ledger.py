@@ -53,17 +53,24 @@ class PendingBatch:
     paths: list[str]
 
 
-def ledger_rows(spark: SparkSession, paths: list[str], batch_id: str, batch_time: datetime, state: str,
-                watermark_us: int | None = None, updated_at: datetime | None = None) -> DataFrame:
-    """State-change rows for one batch (at most ``max_files`` rows)."""
+def ledger_rows(spark: SparkSession, paths: list[str], batch_id: str, batch_time: datetime,
+                state: str | tuple[str, ...], watermark_us: int | None = None,
+                updated_at: datetime | None = None) -> DataFrame:
+    """State-change rows for one batch (at most ``max_files`` rows per state).
+
+    Several states are recorded in order (increasing ``seq``) by one write.
+    """
     now = updated_at or datetime.now(timezone.utc)
-    seq = _seq()
-    rows = [(p, batch_id, batch_time, state, now, seq, watermark_us) for p in paths]
+    states = (state,) if isinstance(state, str) else tuple(state)
+    rows = []
+    for st in states:
+        seq = _seq()
+        rows += [(p, batch_id, batch_time, st, now, seq, watermark_us) for p in paths]
     return spark.createDataFrame(rows, LEDGER_SCHEMA)
 
 
 def record(spark: SparkSession, ledger_path: str, paths: list[str], batch_id: str, batch_time: datetime,
-           state: str, watermark_us: int | None = None) -> None:
+           state: str | tuple[str, ...], watermark_us: int | None = None) -> None:
     ledger_rows(spark, paths, batch_id, batch_time, state, watermark_us).coalesce(1) \
         .write.mode("append").parquet(ledger_path)
 

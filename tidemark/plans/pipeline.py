@@ -167,7 +167,7 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
         return BatchResult("quarantined", batch_id, batch_time, tuple(paths), summary, tuple(results))
 
     raw_t = cfg.raw_table()
-    append(raw_t, to_raw(batch, batch_time), batch_id)
+    append(raw_t, to_raw(batch, batch_time), batch_id, cluster="local")
 
     dim, dim_schema = _dimension(spark, cfg)
     enr_t = cfg.enriched_table(dim_schema)
@@ -181,14 +181,13 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     new = increment(raw_all, mark, "processed_date", batch_col=BATCH_COL, min_batch=min_batch)
     enriched_new = enrich(new.select(*raw_t.columns), dim, cfg.fact_key, cfg.dim_key)
     to_insert = merge_insert(target, enriched_new, cfg.key)
-    append(enr_t, to_insert, batch_id)
+    append(enr_t, to_insert, batch_id, cluster="local")
 
     mine = read_table(spark, enr_t, batches=[batch_id])
     got = mine.agg(F.count(F.lit(1)).alias("n"),
                    timestamp_to_micros(F.max("processed_date"), T.TimestampType()).alias("m")).first()
     new_mark = max([m for m in (mark, got["m"]) if m is not None], default=None)
-    record(spark, cfg.ledger_path, paths, batch_id, batch_time, "loaded", watermark_us=new_mark)
-    record(spark, cfg.ledger_path, paths, batch_id, batch_time, "archived", watermark_us=new_mark)
+    record(spark, cfg.ledger_path, paths, batch_id, batch_time, ("loaded", "archived"), watermark_us=new_mark)
     return BatchResult("loaded", batch_id, batch_time, tuple(paths), summary, tuple(results), int(got["n"]))
 
 

@@ -9,6 +9,7 @@ replaces its own folders instead of duplicating rows.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,19 +81,29 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _with_hidden(df: DataFrame, table: Table, batch_id: str | None) -> DataFrame:
+def _with_hidden(df: DataFrame, table: Table, batch_id: str | None, cluster: str = "range") -> DataFrame:
     out = df
     if BATCH_COL in table.partition_by:
         out = out.withColumn(BATCH_COL, F.lit(batch_id).cast("string"))
     if MONTH_COL in table.partition_by:
-        out = cluster_for_write(with_month(out, table.month_source), MONTH_COL, table.month_source)
+        out = with_month(out, table.month_source)
+        if cluster == "range":
+            out = cluster_for_write(out, MONTH_COL, table.month_source)
+        else:  # "local": keep the input split, sort each task's rows by month (no shuffle)
+            out = out.sortWithinPartitions(MONTH_COL, table.month_source)
     return out
 
 
-def append(table: Table, df: DataFrame, batch_id: str | None = None) -> None:
+def append(table: Table, df: DataFrame, batch_id: str | None = None, cluster: str = "range") -> None:
     """K1: append by name. With a ``batch_id`` partition the write is replayable:
-    dynamic overwrite replaces only this batch's folders."""
-    out = _with_hidden(conform(df, table.schema), table, batch_id)
+    dynamic overwrite replaces only this batch's folders.
+
+    ``cluster="range"`` range-partitions by (month, instant) before writing (few,
+    well-sized files; a sampling job plus one shuffle). ``cluster="local"``
+    writes each input split as it is, sorted by month: no shuffle, and no task
+    can be overloaded by a hot month; meant for bounded batches.
+    """
+    out = _with_hidden(conform(df, table.schema), table, batch_id, cluster)
     writer = out.write
     if batch_id is not None and BATCH_COL in table.partition_by:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -103,9 +114,14 @@ def append(table: Table, df: DataFrame, batch_id: str | None = None) -> None:
     writer.parquet(table.path)
 
 
+def _norm_uri(p: str) -> str:
+    return re.sub(r"^file:/*", "/", p).rstrip("/")
+
+
 def _reads_from(df: DataFrame, path: str) -> bool:
-    norm = path.rstrip("/").removeprefix("file:")
-    return any(f.removeprefix("file:").startswith(norm + "/") for f in df.inputFiles())
+    """Does ``df`` read files below ``path``? (file listing of the plan, driver side)."""
+    root = _norm_uri(path) + "/"
+    return any(_norm_uri(f).startswith(root) for f in df.inputFiles())
 
 
 def overwrite(spark: SparkSession, table: Table, df: DataFrame, schema: T.StructType | None = None) -> Table:
