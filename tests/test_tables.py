@@ -67,3 +67,36 @@ def test_repartition_table(spark, tmp_path):
     assert moved.partition_by == ("order_month",)
     assert sorted(r.invoiceid for r in read_table(spark, moved).collect()) == sorted(
         r.invoiceid for r in read_table(spark, t).collect())
+
+
+def test_upsert_table_rewrites_only_touched_months(spark, tmp_path):
+    from tidemark.plans.tables import upsert_table
+
+    t = create_table(spark, Table(str(tmp_path / "t"), SCHEMA, ("order_month",)))
+    append(t, rows(spark, 10))  # invoice i on day 20*i -> months 0..5
+    src = spark.createDataFrame([(0, None, "new0"), (1, None, "new1"), (99, None, "ins")], SCHEMA) \
+        .withColumn("orderdate", F.timestamp_seconds(F.col("invoiceid") * 86400 * 20))
+    import os
+
+    def files(months):
+        return {(m, f) for m in months for f in os.listdir(f"{t.path}/order_month={m}")}
+
+    before = files(range(2, 6))
+    upsert_table(spark, t, src, "invoiceid")
+    got = {r.invoiceid: r.v for r in read_table(spark, t).collect()}
+    assert got == {**{i: f"v{i}" for i in range(10)}, 0: "new0", 1: "new1", 99: "ins"}
+    assert files(range(2, 6)) == before  # months without matched or new rows were not rewritten
+    upsert_table(spark, t, src, "invoiceid")  # again: same table
+    assert read_table(spark, t).count() == 11
+
+
+def test_upsert_table_batch_level_empties_old_folder(spark, tmp_path):
+    from tidemark.plans.tables import upsert_table
+
+    t = create_table(spark, Table(str(tmp_path / "t"), SCHEMA, ("batch_id", "order_month")))
+    append(t, rows(spark, 2), batch_id="b1")  # both rows in month 0 of b1
+    src = rows(spark, 2).withColumn("v", F.lit("upd"))
+    upsert_table(spark, t, src, "invoiceid")
+    out = read_table(spark, t, keep_hidden=True).collect()
+    assert sorted((r.invoiceid, r.v) for r in out) == [(0, "upd"), (1, "upd")]
+    assert all(r.batch_id != "b1" for r in out)

@@ -26,7 +26,8 @@ from tidemark.operators.quality import (Between, MatchRegex, NotNull, RowCountBe
                                         decision_column, read_audit, run_suite, validate, write_audit)
 from tidemark.operators.rollup import rollup_dimension
 from tidemark.plans.pipeline import PipelineConfig, bootstrap, run_all
-from tidemark.plans.tables import Table, append, create_table, overwrite, read_table, repartition_table
+from tidemark.plans.tables import (Table, append, create_table, overwrite, read_table, repartition_table,
+                                   upsert_table)
 from tidemark.schemas import DATE_REGEX, LEDGER_SCHEMA
 from tidemark.session import ensure_utc, scratch_path
 from tidemark.sources.csv import read_dimension_csv, write_csv
@@ -265,6 +266,18 @@ def q_merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return merge_upsert(target, source, "o_orderkey")
 
 
+def q_upsert_table(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 on a month-partitioned table: only months holding corrected orders are rewritten."""
+    t, o = _orders_table(spark, sf, "upsert", ("order_month",))
+    append(create_table(spark, t), o)
+    li = table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    corr = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("new_price"))
+    src = o.join(corr, "o_orderkey").withColumn("o_totalprice", F.col("new_price")).select(*o.columns)
+    upsert_table(spark, t, src, "o_orderkey")
+    return read_table(spark, t).select("o_orderkey", "o_totalprice")
+
+
 SQL_MERGE_UPSERT = """
 WITH src AS (SELECT l_orderkey AS o_orderkey,
                     CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS o_totalprice
@@ -605,6 +618,7 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "merge_insert_rows": (q_merge_insert_rows, SQL_MERGE_INSERT_ROWS),
     "merge_insert_table": (q_merge_insert_table, SQL_MERGE_INSERT_TABLE),
     "merge_upsert": (q_merge_upsert, SQL_MERGE_UPSERT),
+    "upsert_table": (q_upsert_table, SQL_MERGE_UPSERT),
     "expectations": (q_expectations, SQL_EXPECTATIONS),
     "value_constraints": (q_value_constraints, SQL_VALUE_CONSTRAINTS),
     "audit_gate": (q_audit_gate, SQL_AUDIT_GATE),

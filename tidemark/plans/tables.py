@@ -10,6 +10,7 @@ replaces its own folders instead of duplicating rows.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -154,3 +155,76 @@ def repartition_table(spark: SparkSession, table: Table, new_path: str, by_month
     new = replace(table, path=new_path, partition_by=parts)
     append(new, read_table(spark, table))
     return new
+
+
+def upsert_table(spark: SparkSession, table: Table, source: DataFrame, keys: str | list[str],
+                 verify_unique: bool = True) -> int:
+    """R4 on a stored table: rows whose key is in ``source`` are replaced, other source rows inserted.
+
+    Only the touched partitions are rewritten (those holding matched target
+    rows, and those receiving source rows). Their new content is staged below
+    the checkpoint dir and swapped in by dynamic partition overwrite; folders
+    left without rows are removed afterwards. Untouched partitions are neither
+    read back nor rewritten. Re-running the same upsert converges to the same
+    table. Returns the number of partitions touched.
+    """
+    from tidemark.operators.merge import _keys, check_unique, matched_keys
+    from tidemark.operators.sizing import fits_broadcast, measure
+
+    keys = _keys(keys)
+    if verify_unique:
+        check_unique(source, keys)
+    src = conform(source, table.schema)
+    if not table.partition_by:
+        overwrite(spark, table, merge_upsert_frame(read_table(spark, table), src, keys), table.schema)
+        return 1
+    parts = list(table.partition_by)
+    target = read_table(spark, table, keep_hidden=True)
+    hit = matched_keys(target, src, keys)
+    hit = F.broadcast(hit) if hit is not None else src.select(*keys).distinct()
+    new_batch = ("upsert-" + uuid.uuid4().hex[:12]) if BATCH_COL in parts else None
+    src_h = _with_hidden(src, table, new_batch, cluster="local")
+    touched = (target.join(hit, keys, "left_semi").select(*parts)
+               .unionByName(src_h.select(*parts)).distinct())
+    size = measure(touched)
+    t_side = F.broadcast(touched) if fits_broadcast(size, 64 * 1024 * 1024) else touched
+    kept = (target.join(t_side, _null_safe(target, t_side, parts), "left_semi")
+            .join(hit, keys, "left_anti"))
+    content = kept.unionByName(src_h.select(*kept.columns))
+    stage = scratch_path(spark, "upsert")
+    content.write.partitionBy(*parts).parquet(f"{stage}/content")
+    touched.write.parquet(f"{stage}/touched")  # staged too: the table's old files vanish on swap
+    staged = spark.read.schema(table.full_schema()).parquet(f"{stage}/content")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(table.path))
+    was = spark.read.parquet(f"{stage}/touched")
+    present = staged.select(*parts).distinct()
+    emptied = was.join(present, _null_safe(was, present, parts), "left_anti").collect()  # <= size.rows
+    _delete_partitions(spark, table.path, parts, [r.asDict() for r in emptied])
+    return size.rows
+
+
+def _null_safe(left: DataFrame, right: DataFrame, cols: list[str]):
+    cond = None
+    for c in cols:
+        e = left[c].eqNullSafe(right[c])
+        cond = e if cond is None else cond & e
+    return cond
+
+
+def _delete_partitions(spark: SparkSession, path: str, parts: list[str], specs: list[dict]) -> None:
+    """Remove partition folders that an upsert emptied (bounded list, Hadoop FileSystem)."""
+    if not specs:
+        return
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for spec in specs:
+        sub = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if spec[c] is None else spec[c]}" for c in parts)
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
+        p.getFileSystem(conf).delete(p, True)
+
+
+def merge_upsert_frame(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    from tidemark.operators.merge import merge_upsert
+
+    return merge_upsert(target, source, keys, verify_unique=False)
