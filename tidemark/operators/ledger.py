@@ -99,6 +99,43 @@ def pending_batch(ledger: DataFrame, max_files: int) -> PendingBatch | None:
     return PendingBatch(first, rows[0]["batch_time"], paths)
 
 
+@dataclass(frozen=True)
+class LedgerSummary:
+    last_batch_id: str | None
+    last_batch_time: datetime | None
+    last_state: str | None  # state of the most recent row (of the latest batch)
+    watermark_us: int | None  # mark recorded at the last completed merge
+    completed: int  # rows in a state other than pending
+
+    @property
+    def pending(self) -> bool:
+        return self.last_state == "pending"
+
+
+def summarise_ledger(ledger: DataFrame) -> LedgerSummary:
+    """Everything a batch needs to know about the ledger, from one aggregate (no shuffle).
+
+    Batches run one after the other, so only the latest batch can be pending,
+    and a pending batch has no watermark yet: the overall max watermark is the
+    mark of the target without that batch.
+    """
+    latest = F.struct("batch_id", "updated_at", "seq")
+    row = ledger.agg(
+        F.max("batch_id").alias("b"),
+        F.max("batch_time").alias("t"),
+        F.max_by("state", latest).alias("s"),
+        F.max("watermark_us").alias("w"),
+        F.count_if(F.col("state") != "pending").alias("c"),
+    ).first()
+    return LedgerSummary(row["b"], row["t"], row["s"], None if row["w"] is None else int(row["w"]), int(row["c"]))
+
+
+def batch_paths(ledger: DataFrame, batch_id: str, max_files: int) -> list[str]:
+    rows = (ledger.filter((F.col("batch_id") == batch_id) & (F.col("state") == "pending"))
+            .select("path").distinct().limit(max_files + 1).collect())
+    return sorted(r[0] for r in rows)
+
+
 def last_watermark(ledger: DataFrame, exclude_batch: str | None = None) -> int | None:
     """High-water mark recorded at the last completed merge (epoch micros), or None."""
     done = ledger.filter(F.col("watermark_us").isNotNull())

@@ -17,15 +17,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import derive_check_columns, epoch_to_timestamp, timestamp_to_micros
 from tidemark.operators.enrich import enrich
 from tidemark.operators.increment import high_water_mark, increment
-from tidemark.operators.ledger import (current_state, last_watermark, next_batch, pending_batch, read_ledger,
-                                       record)
+from tidemark.operators.ledger import (LedgerSummary, batch_paths, next_batch, read_ledger, record,
+                                       summarise_ledger)
 from tidemark.operators.merge import merge_insert
 from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
 from tidemark.plans.tables import BATCH_COL, Table, append, create_table, overwrite, read_table
@@ -118,14 +118,9 @@ def _dimension(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, T.S
     return dim, dim.schema
 
 
-def _last_batch_time(ledger: DataFrame) -> datetime | None:
-    row = ledger.agg(F.max("batch_time").alias("t")).first()
-    return None if row is None or row["t"] is None else _utc(row["t"])
-
-
-def _stamp(ledger: DataFrame, wanted: datetime | None) -> datetime:
+def _stamp(summary: LedgerSummary, wanted: datetime | None) -> datetime:
     """Stamps must strictly increase across batches (strict ``>`` in the increment)."""
-    last = _last_batch_time(ledger)
+    last = None if summary.last_batch_time is None else _utc(summary.last_batch_time)
     if wanted is not None:
         wanted = _utc(wanted)
         if last is not None and wanted <= last:
@@ -138,33 +133,39 @@ def _stamp(ledger: DataFrame, wanted: datetime | None) -> datetime:
 def run_batch(spark: SparkSession, cfg: PipelineConfig, batch_time: datetime | None = None) -> BatchResult:
     """Process the next batch of landing files (or resume the pending one)."""
     ledger = read_ledger(spark, cfg.ledger_path)
-    pend = pending_batch(ledger, cfg.max_files)
-    if pend is not None:
-        batch_id, stamp, paths = pend.batch_id, _utc(pend.batch_time), pend.paths
+    summary = summarise_ledger(ledger)
+    if summary.pending:
+        batch_id, stamp = summary.last_batch_id, _utc(summary.last_batch_time)
+        paths = batch_paths(ledger, batch_id, cfg.max_files)
     else:
         listing = list_files(spark, cfg.landing, cfg.pattern)
         paths = [r["path"] for r in next_batch(listing, ledger, cfg.max_files).collect()]
         if not paths:
             return BatchResult("empty")
-        stamp = _stamp(ledger, batch_time)
+        stamp = _stamp(summary, batch_time)
         batch_id = batch_id_for(stamp)
         record(spark, cfg.ledger_path, paths, batch_id, stamp, "pending")
-    return process_batch(spark, cfg, read_landing(spark, paths), batch_id, stamp, paths)
+    return process_batch(spark, cfg, read_landing(spark, paths), batch_id, stamp, paths, summary)
 
 
 def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, batch_id: str,
-                  batch_time: datetime, paths: list[str]) -> BatchResult:
-    """Validate, gate and load one batch whose ledger rows are already ``pending``."""
-    results, summary = run_suite(derive_check_columns(batch), list(cfg.suite))  # one scan
-    decision = gate(summary, cfg.min_pass_rate, cfg.min_records)
+                  batch_time: datetime, paths: list[str], summary: LedgerSummary | None = None) -> BatchResult:
+    """Validate, gate and load one batch whose ledger rows are already ``pending``.
+
+    ``summary`` is the ledger state read before this batch was started (or resumed).
+    """
+    if summary is None:
+        summary = summarise_ledger(read_ledger(spark, cfg.ledger_path))
+    results, quality = run_suite(derive_check_columns(batch), list(cfg.suite))  # one scan
+    decision = gate(quality, cfg.min_pass_rate, cfg.min_records)
     execution_date = cfg.execution_date or batch_time.strftime("%Y-%m-%d")
-    write_audit(audit_frame(spark, summary, execution_date, batch_id, decision), cfg.audit_path)
+    write_audit(audit_frame(spark, quality, execution_date, batch_id, decision), cfg.audit_path)
 
     if decision != "load":
         # K4: a copy of the batch for inspection; the folder is the batch's own, so a replay overwrites it.
         batch.write.mode("overwrite").parquet(f"{cfg.quarantine_path}/{BATCH_COL}={batch_id}")
         record(spark, cfg.ledger_path, paths, batch_id, batch_time, "quarantined")
-        return BatchResult("quarantined", batch_id, batch_time, tuple(paths), summary, tuple(results))
+        return BatchResult("quarantined", batch_id, batch_time, tuple(paths), quality, tuple(results))
 
     raw_t = cfg.raw_table()
     append(raw_t, to_raw(batch, batch_time), batch_id, cluster="local")
@@ -172,23 +173,23 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     dim, dim_schema = _dimension(spark, cfg)
     enr_t = cfg.enriched_table(dim_schema)
     target = read_table(spark, enr_t, exclude_batch=batch_id)
-    ledger = read_ledger(spark, cfg.ledger_path)
-    mark = last_watermark(ledger, exclude_batch=batch_id)
-    if mark is None and current_state(ledger).filter(F.col("state") != "pending").limit(1).count() == 0:
+    mark = summary.watermark_us  # pending batches carry no mark: this is the target without this batch
+    if mark is None and summary.completed == 0:
         mark = high_water_mark(target)  # first merge: the table may hold rows from elsewhere
     min_batch = batch_id_for(datetime.fromtimestamp(mark / 1e6, timezone.utc)) if mark is not None else None
     raw_all = read_table(spark, raw_t, keep_hidden=True)
     new = increment(raw_all, mark, "processed_date", batch_col=BATCH_COL, min_batch=min_batch)
     enriched_new = enrich(new.select(*raw_t.columns), dim, cfg.fact_key, cfg.dim_key)
     to_insert = merge_insert(target, enriched_new, cfg.key)
+    # metrics of the rows actually written, gathered by the write job itself
+    obs = Observation(f"insert_{batch_id}")
+    to_insert = to_insert.observe(obs, F.count(F.lit(1)).alias("n"),
+                                  timestamp_to_micros(F.max("processed_date"), T.TimestampType()).alias("m"))
     append(enr_t, to_insert, batch_id, cluster="local")
-
-    mine = read_table(spark, enr_t, batches=[batch_id])
-    got = mine.agg(F.count(F.lit(1)).alias("n"),
-                   timestamp_to_micros(F.max("processed_date"), T.TimestampType()).alias("m")).first()
-    new_mark = max([m for m in (mark, got["m"]) if m is not None], default=None)
+    got = obs.get
+    new_mark = max([m for m in (mark, got.get("m")) if m is not None], default=None)
     record(spark, cfg.ledger_path, paths, batch_id, batch_time, ("loaded", "archived"), watermark_us=new_mark)
-    return BatchResult("loaded", batch_id, batch_time, tuple(paths), summary, tuple(results), int(got["n"]))
+    return BatchResult("loaded", batch_id, batch_time, tuple(paths), quality, tuple(results), int(got["n"]))
 
 
 def run_all(spark: SparkSession, cfg: PipelineConfig, clock=None, max_batches: int | None = None) -> list[BatchResult]:

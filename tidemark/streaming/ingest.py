@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.ledger import current_state, read_ledger, record
+from tidemark.operators.ledger import current_state, read_ledger, record, summarise_ledger
 from tidemark.plans.pipeline import PipelineConfig, _stamp, _utc, batch_id_for, process_batch
 from tidemark.schemas import LANDING_SCHEMA
 
@@ -38,17 +38,18 @@ def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, availabl
         if not paths:
             return
         ledger = read_ledger(spark, cfg.ledger_path)
-        seen = (current_state(ledger).filter(F.col("path").isin(paths))
+        summary = summarise_ledger(ledger)
+        seen = (current_state(ledger.filter(F.col("path").isin(paths)))
                 .select("state", "batch_id", "batch_time").limit(len(paths) + 1).collect())
         if seen and all(r["state"] == "pending" for r in seen) and len({r["batch_id"] for r in seen}) == 1:
             batch_id, stamp = seen[0]["batch_id"], _utc(seen[0]["batch_time"])
         elif seen:
             return  # this micro-batch was completed before the failure
         else:
-            stamp = _stamp(ledger, clock(epoch_id) if clock else None)
+            stamp = _stamp(summary, clock(epoch_id) if clock else None)
             batch_id = batch_id_for(stamp)
             record(spark, cfg.ledger_path, paths, batch_id, stamp, "pending")
-        process_batch(spark, cfg, batch.drop(_PATH), batch_id, stamp, paths)
+        process_batch(spark, cfg, batch.drop(_PATH), batch_id, stamp, paths, summary)
 
     writer = (source.writeStream.foreachBatch(handle)
               .option("checkpointLocation", cfg.stream_checkpoint))
