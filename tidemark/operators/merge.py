@@ -45,10 +45,17 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
         max_bytes = broadcast_threshold(source.sparkSession) or 50 * 1024 * 1024
     src_keys = source.select(*keys).filter(_not_null(keys))
     # rows bound distinct keys from above: measuring without the distinct saves a shuffle
-    if not fits_broadcast(measure(src_keys, max_rows), max_bytes):
+    size = measure(src_keys, max_rows, bounds_of=keys[0] if len(keys) == 1 else None)
+    if not fits_broadcast(size, max_bytes):
         return None
-    src_keys = src_keys.distinct()
-    return target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi").distinct()
+    if size.rows == 0:
+        return target.select(*keys).limit(0)
+    probe = target.select(*keys)
+    if len(keys) == 1 and size.key_min is not None:
+        # a range predicate the parquet reader can use against row-group min/max statistics:
+        # with ids that grow over time, old row groups are skipped without being read
+        probe = probe.filter(F.col(keys[0]).between(F.lit(size.key_min), F.lit(size.key_max)))
+    return probe.join(F.broadcast(src_keys.distinct()), keys, "left_semi").distinct()
 
 
 def merge_insert(target: DataFrame, source: DataFrame, keys: str | list[str],

@@ -22,6 +22,8 @@ class SideSize:
     bytes: int
     bounded: bool  # False: more than max_rows rows exist; rows/bytes are lower bounds
     duplicate_keys: bool = False  # only computed when a key is given
+    key_min: object = None  # only computed when bounds_of is given
+    key_max: object = None
 
 
 def _width(field: T.StructField) -> Column | int:
@@ -42,10 +44,12 @@ def _width(field: T.StructField) -> Column | int:
     return 8
 
 
-def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key: str | None = None) -> SideSize:
+def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key: str | None = None,
+            bounds_of: str | None = None) -> SideSize:
     """Rows and approximate in-memory bytes of ``df``, reading at most ``max_rows + 1`` rows.
 
-    With ``key``, the same job also tells whether a non-NULL key repeats.
+    With ``key``, the same job also tells whether a non-NULL key repeats;
+    with ``bounds_of``, it returns that column's min and max.
     """
     widths = [_width(f) for f in df.schema.fields]
     fixed = sum(w for w in widths if isinstance(w, int)) + 16
@@ -58,10 +62,14 @@ def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key: str
     if key is not None:
         k = F.col(f"`{key}`")
         aggs.append((F.count(k) > F.count_distinct(k)).alias("dup"))
+    if bounds_of is not None:
+        b = F.col(f"`{bounds_of}`")
+        aggs += [F.min(b).alias("lo"), F.max(b).alias("hi")]
     probe = df.limit(max_rows + 1).agg(*aggs).first()
     rows, size = int(probe["rows"]), int(probe["bytes"])
     dup = bool(probe["dup"]) if key is not None else False
-    return SideSize(rows=rows, bytes=size, bounded=rows <= max_rows, duplicate_keys=dup)
+    lo, hi = (probe["lo"], probe["hi"]) if bounds_of is not None else (None, None)
+    return SideSize(rows=rows, bytes=size, bounded=rows <= max_rows, duplicate_keys=dup, key_min=lo, key_max=hi)
 
 
 def fits_broadcast(size: SideSize, max_bytes: int) -> bool:

@@ -28,7 +28,7 @@ from tidemark.operators.ledger import (LedgerSummary, batch_paths, next_batch, r
                                        summarise_ledger)
 from tidemark.operators.merge import merge_insert
 from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
-from tidemark.plans.tables import BATCH_COL, Table, append, create_table, overwrite, read_table
+from tidemark.plans.tables import BATCH_COL, Table, append, create_table, overwrite, read_batch, read_table
 from tidemark.schemas import (DEFAULT_MAX_FILES, DEFAULT_MIN_PASS_RATE, DEFAULT_MIN_RECORDS, DIMENSION_KEY,
                               LANDING_SCHEMA, RAW_SCHEMA, enriched_schema)
 from tidemark.sources.files import list_files, read_landing
@@ -176,9 +176,18 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     mark = summary.watermark_us  # pending batches carry no mark: this is the target without this batch
     if mark is None and summary.completed == 0:
         mark = high_water_mark(target)  # first merge: the table may hold rows from elsewhere
-    min_batch = batch_id_for(datetime.fromtimestamp(mark / 1e6, timezone.utc)) if mark is not None else None
-    raw_all = read_table(spark, raw_t, keep_hidden=True)
-    new = increment(raw_all, mark, "processed_date", batch_col=BATCH_COL, min_batch=min_batch)
+    if summary.completed == 0:
+        # first merge: the whole raw table above the mark (folders pruned by batch id)
+        min_batch = batch_id_for(datetime.fromtimestamp(mark / 1e6, timezone.utc)) if mark is not None else None
+        raw_rows = read_table(spark, raw_t, keep_hidden=True)
+    else:
+        # Every earlier batch was merged before this one started, and the enriched table only
+        # grows: raw rows of earlier batches that are above the mark were all matched then and
+        # are matched now. So the increment is this batch's own folder, read by path: the raw
+        # table is never listed as a whole.
+        min_batch = None
+        raw_rows = read_batch(spark, raw_t, batch_id)
+    new = increment(raw_rows, mark, "processed_date", batch_col=BATCH_COL, min_batch=min_batch)
     enriched_new = enrich(new.select(*raw_t.columns), dim, cfg.fact_key, cfg.dim_key)
     to_insert = merge_insert(target, enriched_new, cfg.key)
     # metrics of the rows actually written, gathered by the write job itself

@@ -73,6 +73,20 @@ def read_table(spark: SparkSession, table: Table, months: tuple[int, int] | None
     return df if keep_hidden else df.select(*table.columns)
 
 
+def read_batch(spark: SparkSession, table: Table, batch_id: str) -> DataFrame:
+    """One batch's folder, addressed by path (no listing of the rest of the table).
+
+    Hidden columns are kept; a batch that wrote no rows reads as empty.
+    """
+    folder = f"{table.path.rstrip('/')}/{BATCH_COL}={batch_id}"
+    try:
+        return spark.read.schema(table.full_schema()).option("basePath", table.path).parquet(folder)
+    except Exception as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return spark.createDataFrame([], table.full_schema())
+        raise
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """By-name column resolution (K1): same column set required; types cast to the table's."""
     have, want = set(df.columns), [f.name for f in schema.fields]
