@@ -123,3 +123,24 @@ def test_stream_equals_batch(spark, cfg, tmp_path):
     P.run_all(spark, other, clock=clock)
     batch = sorted(r.invoiceid for r in enriched(spark, other).select("invoiceid").collect())
     assert streamed == batch and len(batch) == 1000
+
+
+def test_archive_and_quarantine_moves(spark, tmp_path):
+    import os
+
+    c = P.PipelineConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "lake"),
+                         archive_dir=str(tmp_path / "archive"), quarantine_files_dir=str(tmp_path / "quar"))
+    P.bootstrap(spark, c, dimension(spark))
+    landing(spark, c.landing, 5, 100)                               # accepted batch
+    landing(spark, c.landing, 2, 100, key_offset=5000, folder="z")  # 200 rows: refused
+    res = P.run_all(spark, c, clock=clock)
+    assert [r.status for r in res] == ["loaded", "quarantined"]
+
+    def files(d):
+        return sorted(os.path.relpath(os.path.join(r, f), d) for r, _, fs in os.walk(d) for f in fs
+                      if f.endswith(".parquet"))
+
+    assert files(c.landing) == []
+    assert len(files(str(tmp_path / "archive"))) == 5 and all(f.startswith("raw/") for f in files(str(tmp_path / "archive")))
+    assert len(files(str(tmp_path / "quar"))) == 2 and all(f.startswith("z/") for f in files(str(tmp_path / "quar")))
+    assert P.run_batch(spark, c, clock(9)).status == "empty"

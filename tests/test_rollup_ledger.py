@@ -46,3 +46,28 @@ def test_empty_listing(spark):
     listing = spark.createDataFrame([], "path string")
     ledger = spark.createDataFrame([], LEDGER_SCHEMA)
     assert next_batch(listing, ledger, 5).count() == 0
+
+
+def test_compaction_keeps_current_state(spark, tmp_path):
+    from datetime import timezone
+
+    from tidemark.operators.ledger import compact_ledger, read_ledger, record, summarise_ledger
+
+    path = str(tmp_path / "ledger")
+    t = datetime(2024, 1, 1)
+    d1, d2 = datetime(2024, 1, 1, 5, tzinfo=timezone.utc), datetime(2024, 1, 2, 5, tzinfo=timezone.utc)
+    record(spark, path, ["a", "b"], "b1", t, "pending", at=d1)
+    record(spark, path, ["a", "b"], "b1", t, ("loaded", "archived"), watermark_us=5, at=d1)
+    record(spark, path, ["c"], "b2", datetime(2024, 1, 2), "pending", at=d2)
+    before = sorted(tuple(r) for r in current_state(read_ledger(spark, path)).collect())
+    s0 = summarise_ledger(read_ledger(spark, path))
+    assert compact_ledger(spark, path, upto="2024-01-02", purge=True) == "2024-01-02"
+    after = read_ledger(spark, path)
+    assert after.count() == 3  # a, b folded to one row each; c still in the log
+    assert sorted(tuple(r) for r in current_state(after).collect()) == before
+    s1 = summarise_ledger(after)
+    assert (s1.last_batch_id, s1.last_state, s1.watermark_us, s1.pending) == \
+        (s0.last_batch_id, s0.last_state, s0.watermark_us, True)
+    assert compact_ledger(spark, path, upto="2099-01-01") <= f"{datetime.now(timezone.utc):%Y-%m-%d}"
+    record(spark, path, ["c"], "b2", datetime(2024, 1, 2), "quarantined")
+    assert {r.path: r.state for r in current_state(read_ledger(spark, path)).collect()}["c"] == "quarantined"

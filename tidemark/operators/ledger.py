@@ -3,9 +3,15 @@
 The ledger is an append-only table of state changes
 ``(path, batch_id, batch_time, state, updated_at, seq, watermark_us)``; the
 current state of a path is its latest row by ``(updated_at, seq)``. It replaces
-the manifest file, the archive/quarantine copies and the manifest delete: a
-file is never moved, its state is recorded, keyed by the full path (equal
-basenames in different folders stay apart).
+the manifest file and the manifest delete, and it is the record of truth for
+archive/quarantine (keyed by the full path, so equal basenames in different
+folders stay apart).
+
+Layout: state changes are appended under ``log/day=<yyyy-mm-dd>``;
+``compact_ledger`` folds everything before a day into
+``snapshot/upto=<day>`` (latest row per path). Readers use the newest
+committed snapshot plus the log days from its cut-off, addressed by path, so
+the ledger read by every batch stays small however long the pipeline runs.
 """
 
 from __future__ import annotations
@@ -70,18 +76,63 @@ def ledger_rows(spark: SparkSession, paths: list[str], batch_id: str, batch_time
 
 
 def record(spark: SparkSession, ledger_path: str, paths: list[str], batch_id: str, batch_time: datetime,
-           state: str | tuple[str, ...], watermark_us: int | None = None) -> None:
-    ledger_rows(spark, paths, batch_id, batch_time, state, watermark_us).coalesce(1) \
-        .write.mode("append").parquet(ledger_path)
+           state: str | tuple[str, ...], watermark_us: int | None = None, at: datetime | None = None) -> None:
+    now = (at or datetime.now(timezone.utc)).astimezone(timezone.utc)
+    ledger_rows(spark, paths, batch_id, batch_time, state, watermark_us, updated_at=now).coalesce(1) \
+        .write.mode("append").parquet(f"{ledger_path}/log/day={now:%Y-%m-%d}")
+
+
+def _ledger_parts(spark: SparkSession, ledger_path: str) -> tuple[str | None, list[str]]:
+    from tidemark.sources.fs import child_dirs
+
+    snaps = [n[len("upto="):] for n, ok in child_dirs(spark, f"{ledger_path}/snapshot")
+             if ok and n.startswith("upto=")]
+    upto = max(snaps) if snaps else None
+    days = [n[len("day="):] for n, _ in child_dirs(spark, f"{ledger_path}/log") if n.startswith("day=")]
+    return upto, sorted(d for d in days if upto is None or d >= upto)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    except Exception as exc:  # missing folder = empty ledger
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], LEDGER_SCHEMA)
-        raise
+    """Newest committed snapshot + the log days from its cut-off (empty ledger if none)."""
+    upto, days = _ledger_parts(spark, ledger_path)
+    paths = ([f"{ledger_path}/snapshot/upto={upto}"] if upto else []) + [f"{ledger_path}/log/day={d}" for d in days]
+    if not paths:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
+
+
+def latest_rows(ledger: DataFrame) -> DataFrame:
+    """The whole latest row of each path (the content of a snapshot)."""
+    row = F.struct(*[F.col(c) for c in LEDGER_SCHEMA.fieldNames()])
+    return ledger.groupBy("path").agg(F.max_by(row, F.struct("updated_at", "seq")).alias("r")).select("r.*")
+
+
+def compact_ledger(spark: SparkSession, ledger_path: str, upto: str | None = None, purge: bool = False) -> str | None:
+    """Fold the snapshot and the log days before ``upto`` (default and latest: today, UTC) into a new snapshot.
+
+    The snapshot is only used once its write committed (``_SUCCESS``); log
+    days at or after ``upto`` stay in the log. ``purge`` removes the folded
+    log days afterwards (readers ignore them either way). Returns the cut-off used.
+    """
+    from tidemark.sources.fs import delete_dir
+
+    today = f"{datetime.now(timezone.utc):%Y-%m-%d}"
+    upto = min(upto or today, today)  # never fold the current day: it still receives rows
+    old, days = _ledger_parts(spark, ledger_path)
+    fold = [d for d in days if d < upto]
+    if not fold or (old is not None and upto <= old):
+        return old
+    paths = ([f"{ledger_path}/snapshot/upto={old}"] if old else []) + [f"{ledger_path}/log/day={d}" for d in fold]
+    latest_rows(spark.read.schema(LEDGER_SCHEMA).parquet(*paths)) \
+        .write.mode("overwrite").parquet(f"{ledger_path}/snapshot/upto={upto}")
+    if purge:
+        for d in fold:
+            delete_dir(spark, f"{ledger_path}/log/day={d}")
+    return upto
+
+
+def log_days_since_snapshot(spark: SparkSession, ledger_path: str) -> int:
+    return len(_ledger_parts(spark, ledger_path)[1])
 
 
 def pending_batch(ledger: DataFrame, max_files: int) -> PendingBatch | None:

@@ -24,14 +24,15 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import derive_check_columns, epoch_to_timestamp, timestamp_to_micros
 from tidemark.operators.enrich import enrich
 from tidemark.operators.increment import high_water_mark, increment
-from tidemark.operators.ledger import (LedgerSummary, batch_paths, next_batch, read_ledger, record,
-                                       summarise_ledger)
+from tidemark.operators.ledger import (LedgerSummary, batch_paths, compact_ledger, log_days_since_snapshot,
+                                       next_batch, read_ledger, record, summarise_ledger)
 from tidemark.operators.merge import merge_insert
 from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
 from tidemark.plans.tables import BATCH_COL, Table, append, create_table, overwrite, read_batch, read_table
 from tidemark.schemas import (DEFAULT_MAX_FILES, DEFAULT_MIN_PASS_RATE, DEFAULT_MIN_RECORDS, DIMENSION_KEY,
                               LANDING_SCHEMA, RAW_SCHEMA, enriched_schema)
 from tidemark.sources.files import list_files, read_landing
+from tidemark.sources.fs import move_files
 
 PARTS = (BATCH_COL, "order_month")
 
@@ -49,6 +50,11 @@ class PipelineConfig:
     dim_key: str = DIMENSION_KEY
     pattern: str = "*.parquet"
     execution_date: str | None = None
+    # move finished files out of the landing area (keeps the listing bounded)
+    archive_dir: str | None = None
+    quarantine_files_dir: str | None = None
+    # fold the ledger log into a snapshot once it spans more than this many days
+    compact_after_days: int | None = 7
 
     @property
     def ledger_path(self) -> str:
@@ -132,6 +138,8 @@ def _stamp(summary: LedgerSummary, wanted: datetime | None) -> datetime:
 
 def run_batch(spark: SparkSession, cfg: PipelineConfig, batch_time: datetime | None = None) -> BatchResult:
     """Process the next batch of landing files (or resume the pending one)."""
+    if cfg.compact_after_days and log_days_since_snapshot(spark, cfg.ledger_path) > cfg.compact_after_days:
+        compact_ledger(spark, cfg.ledger_path)
     ledger = read_ledger(spark, cfg.ledger_path)
     summary = summarise_ledger(ledger)
     if summary.pending:
@@ -165,6 +173,8 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
         # K4: a copy of the batch for inspection; the folder is the batch's own, so a replay overwrites it.
         batch.write.mode("overwrite").parquet(f"{cfg.quarantine_path}/{BATCH_COL}={batch_id}")
         record(spark, cfg.ledger_path, paths, batch_id, batch_time, "quarantined")
+        if cfg.quarantine_files_dir:
+            move_files(spark, paths, cfg.landing, cfg.quarantine_files_dir)
         return BatchResult("quarantined", batch_id, batch_time, tuple(paths), quality, tuple(results))
 
     raw_t = cfg.raw_table()
@@ -198,6 +208,8 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     got = obs.get
     new_mark = max([m for m in (mark, got.get("m")) if m is not None], default=None)
     record(spark, cfg.ledger_path, paths, batch_id, batch_time, ("loaded", "archived"), watermark_us=new_mark)
+    if cfg.archive_dir:
+        move_files(spark, paths, cfg.landing, cfg.archive_dir)
     return BatchResult("loaded", batch_id, batch_time, tuple(paths), quality, tuple(results), int(got["n"]))
 
 

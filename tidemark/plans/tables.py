@@ -228,14 +228,11 @@ def _null_safe(left: DataFrame, right: DataFrame, cols: list[str]):
 
 def _delete_partitions(spark: SparkSession, path: str, parts: list[str], specs: list[dict]) -> None:
     """Remove partition folders that an upsert emptied (bounded list, Hadoop FileSystem)."""
-    if not specs:
-        return
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    from tidemark.sources.fs import delete_dir
+
     for spec in specs:
         sub = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if spec[c] is None else spec[c]}" for c in parts)
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
-        p.getFileSystem(conf).delete(p, True)
+        delete_dir(spark, f"{path.rstrip('/')}/{sub}")
 
 
 def merge_upsert_frame(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
