@@ -33,3 +33,31 @@ def test_month_index_and_paths(spark):
     p = spark.createDataFrame([("s3a://bucket/raw/t1.parquet",)], "p string")
     r = p.select(strip_scheme("p"), path_basename("p")).first()
     assert tuple(r) == ("bucket/raw/t1.parquet", "t1.parquet")
+
+
+def test_manifest_lines_and_bound(spark, tmp_path):
+    import pytest
+
+    from tidemark.sources.files import manifest_paths, read_manifest
+
+    m = tmp_path / "manifest.pending"
+    m.write_text("s3a://b/raw/t1.parquet\n\n  s3a://b/raw/t2.parquet  \n   \n")
+    got = manifest_paths(read_manifest(spark, str(m)), 5)
+    assert sorted(got) == ["s3a://b/raw/t1.parquet", "s3a://b/raw/t2.parquet"]
+    with pytest.raises(ValueError):
+        manifest_paths(read_manifest(spark, str(m)), 1)
+
+
+def test_namespace_and_listing(spark, tmp_path):
+    from tidemark.plans.tables import ensure_namespace
+    from tidemark.sources.files import list_files
+
+    ensure_namespace(spark, "tidemark_test_db")
+    assert "tidemark_test_db" in [d.name for d in spark.catalog.listDatabases()]
+    assert list_files(spark, str(tmp_path / "missing")).count() == 0
+    spark.range(3).write.parquet(str(tmp_path / "a" / "x"))
+    listing = list_files(spark, str(tmp_path / "a"))
+    assert listing.columns == ["path", "length", "modificationTime"]
+    assert listing.count() >= 1
+    plan = listing._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]

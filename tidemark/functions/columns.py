@@ -80,3 +80,15 @@ def strip_scheme(col: str | Column) -> Column:
 def path_basename(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.substring_index(c, "/", -1)
+
+
+def literal_rows(spark, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small frame of literal rows planned entirely in the JVM (no Python worker).
+
+    Meant for bounded bookkeeping rows (ledger states, audit records).
+    """
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

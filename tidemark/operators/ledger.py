@@ -24,6 +24,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import literal_rows
 from tidemark.schemas import LEDGER_SCHEMA
 
 _counter = itertools.count()
@@ -72,7 +73,7 @@ def ledger_rows(spark: SparkSession, paths: list[str], batch_id: str, batch_time
     for st in states:
         seq = _seq()
         rows += [(p, batch_id, batch_time, st, now, seq, watermark_us) for p in paths]
-    return spark.createDataFrame(rows, LEDGER_SCHEMA)
+    return literal_rows(spark, rows, LEDGER_SCHEMA)
 
 
 def record(spark: SparkSession, ledger_path: str, paths: list[str], batch_id: str, batch_time: datetime,

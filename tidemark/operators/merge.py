@@ -30,7 +30,8 @@ def _not_null(keys: list[str]):
 
 
 def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
-                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int | None = None) -> DataFrame | None:
+                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int | None = None,
+                 refuse_duplicates: bool = False) -> DataFrame | None:
     """Distinct keys present in both sides, computed without shuffling the target.
 
     The source's distinct non-NULL keys are measured; if they are provably
@@ -45,9 +46,17 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
         max_bytes = broadcast_threshold(source.sparkSession) or 50 * 1024 * 1024
     src_keys = source.select(*keys).filter(_not_null(keys))
     # rows bound distinct keys from above: measuring without the distinct saves a shuffle
-    size = measure(src_keys, max_rows, bounds_of=keys[0] if len(keys) == 1 else None)
+    single = keys[0] if len(keys) == 1 else None
+    size = measure(src_keys, max_rows, key=single if refuse_duplicates else None, bounds_of=single)
     if not fits_broadcast(size, max_bytes):
+        if refuse_duplicates:
+            check_unique(source, keys)
         return None
+    if refuse_duplicates:
+        if single is None:
+            check_unique(source, keys)
+        elif size.duplicate_keys:
+            raise DuplicateSourceKey(f"source has repeated keys {keys}")
     if size.rows == 0:
         return target.select(*keys).limit(0)
     probe = target.select(*keys)
@@ -91,9 +100,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: str | list[str], ve
     row; the other target rows are kept; unmatched source rows are inserted.
     """
     keys = _keys(keys)
-    if verify_unique:
-        check_unique(source, keys)
-    hit = matched_keys(target, source, keys, max_rows, max_bytes)
+    # the uniqueness check rides on the size probe when the source is small
+    hit = matched_keys(target, source, keys, max_rows, max_bytes, refuse_duplicates=verify_unique)
     right = F.broadcast(hit) if hit is not None else source.select(*keys)
     kept = target.join(right, keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))

@@ -14,6 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import literal_rows
 from tidemark.schemas import (AUDIT_SCHEMA, DATE_REGEX, DEFAULT_MIN_PASS_RATE, DEFAULT_MIN_RECORDS,
                               DEFAULT_ROW_COUNT, DEFAULT_YEAR_RANGE)
 
@@ -185,7 +186,7 @@ def audit_frame(spark: SparkSession, summary: dict, execution_date: str, batch_i
     row = (summary["success"], summary["total_expectations"], summary["passed_expectations"],
            summary["failed_expectations"], summary["pass_rate"], summary["record_count"],
            execution_date, ts, batch_id, decision)
-    return spark.createDataFrame([row], AUDIT_SCHEMA)
+    return literal_rows(spark, [row], AUDIT_SCHEMA)
 
 
 def write_audit(audit: DataFrame, path: str) -> None:

@@ -523,7 +523,7 @@ PIPELINE_SUITE = (NotNull("invoiceid"), MatchRegex("orderdate_date", DATE_REGEX)
 PIPELINE_START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
-def _pipeline_setup(spark: SparkSession, sf: str, max_files: int = 2) -> PipelineConfig:
+def _pipeline_setup(spark: SparkSession, sf: str, max_files: int = 2, move_files: bool = True) -> PipelineConfig:
     """Landing: one file per order year plus a re-delivery of 1995 that sorts after 1998.
 
     With 2 files per batch: (1995, 1996) load, (1997, 1998) load,
@@ -538,7 +538,9 @@ def _pipeline_setup(spark: SparkSession, sf: str, max_files: int = 2) -> Pipelin
     tx.withColumn("year", year).repartition("year").write.partitionBy("year").parquet(landing)
     tx.filter(year == 1995).coalesce(1).write.parquet(f"{landing}/year=1998_redelivery")
     cfg = PipelineConfig(landing=landing, root=f"{root}/lake", max_files=max_files, suite=PIPELINE_SUITE,
-                         min_records=1, execution_date="2024-01-01")
+                         min_records=1, execution_date="2024-01-01",
+                         archive_dir=f"{root}/archive" if move_files else None,
+                         quarantine_files_dir=f"{root}/quarantined_files" if move_files else None)
     bootstrap(spark, cfg, _dimension(spark, sf))
     return cfg
 
@@ -584,7 +586,7 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     micro-batch takes one file: then every file is gated on its own and the
     result does not depend on arrival order (1995-2000 load, 2001 is refused,
     the re-delivered 1995 rows are merged once)."""
-    cfg = _pipeline_setup(spark, sf, max_files=1)
+    cfg = _pipeline_setup(spark, sf, max_files=1, move_files=False)
     run_stream_to_end(spark, cfg, clock=_clock)
     return _enriched_out(spark, cfg)
 
