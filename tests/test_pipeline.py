@@ -144,3 +144,44 @@ def test_archive_and_quarantine_moves(spark, tmp_path):
     assert len(files(str(tmp_path / "archive"))) == 5 and all(f.startswith("raw/") for f in files(str(tmp_path / "archive")))
     assert len(files(str(tmp_path / "quar"))) == 2 and all(f.startswith("z/") for f in files(str(tmp_path / "quar")))
     assert P.run_batch(spark, c, clock(9)).status == "empty"
+
+
+def test_edge_rows_flow_through_the_merge(spark, tmp_path):
+    """Duplicates, NULL key, known key, odd states, NULL and far-out dates in one accepted batch."""
+    import calendar
+
+    from tidemark.operators.quality import RowCountBetween
+    from tidemark.schemas import LANDING_SCHEMA
+
+    def ep(y, m=6):
+        return calendar.timegm((y, m, 1, 0, 0, 0))
+
+    c = P.PipelineConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "lake"),
+                         suite=(RowCountBetween(1, None),), min_records=1)
+    P.bootstrap(spark, c, dimension(spark))
+    first = [(1, 1, 1, "c", 10.0, 1, ep(2021), "CA", "Standard", "r")]
+    spark.createDataFrame(first, LANDING_SCHEMA).coalesce(1).write.parquet(f"{c.landing}/a")
+    P.run_batch(spark, c, clock(0))
+    rows = [
+        (1, 1, 1, "c", 11.0, 1, ep(2022), "CA", "Standard", "r"),      # already in the target
+        (2, 1, 1, "c", 12.0, 1, ep(2019), "ca", "Standard", "r"),      # lower-case state
+        (2, 2, 1, "c", 13.0, 1, ep(2026), "ZZ", "Standard", "r"),      # duplicate id, unknown state
+        (None, 1, 1, "c", 14.0, 1, ep(2023), None, "Standard", "r"),   # NULL id, NULL state
+        (3, 1, 1, "c", 15.0, 1, None, "DC", "Standard", "r"),          # NULL date, DC
+        (4, 1, 1, "c", 16.0, 1, 253402300800, "NY", "Standard", "r"),  # year 10000
+    ]
+    spark.createDataFrame(rows, LANDING_SCHEMA).coalesce(1).write.parquet(f"{c.landing}/b")
+    r = P.run_batch(spark, c, clock(1))
+    assert r.status == "loaded" and r.inserted == 5
+    e = enriched(spark, c)
+    # (year 10000 does not fit a Python datetime: collect only what is checked)
+    got = sorted(((x.invoiceid or -1), x.price, x.State_Housing_Households)
+                 for x in e.select("invoiceid", "price", "State_Housing_Households").collect())
+    dc = dimension(spark).filter("state_abbreviation = 'DC'").first()["Housing.Households"]
+    ca = dimension(spark).filter("state_abbreviation = 'CA'").first()["Housing.Households"]
+    ny = dimension(spark).filter("state_abbreviation = 'NY'").first()["Housing.Households"]
+    assert got == [(-1, 14.0, None), (1, 10.0, ca), (2, 12.0, None), (2, 13.0, None), (3, 15.0, dc), (4, 16.0, ny)]
+    raw = read_table(spark, c.raw_table(), keep_hidden=True)
+    months = {x.invoiceid: x.order_month
+              for x in raw.filter("invoiceid in (3, 4)").select("invoiceid", "order_month").collect()}
+    assert months[3] is None and months[4] == (10000 - 1970) * 12  # January of year 10000

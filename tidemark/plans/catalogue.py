@@ -28,7 +28,7 @@ from tidemark.operators.rollup import rollup_dimension
 from tidemark.plans.pipeline import PipelineConfig, bootstrap, run_all
 from tidemark.plans.tables import (Table, append, create_table, overwrite, read_table, repartition_table,
                                    upsert_table)
-from tidemark.schemas import DATE_REGEX, LEDGER_SCHEMA
+from tidemark.schemas import DATE_REGEX, LANDING_SCHEMA, LEDGER_SCHEMA
 from tidemark.session import ensure_utc, scratch_path
 from tidemark.sources.csv import read_dimension_csv, write_csv
 from tidemark.sources.files import list_files, manifest_paths, read_landing, read_manifest, write_manifest
@@ -197,6 +197,18 @@ def q_incremental_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     return increment(e, high_water_mark(target, "ts"), "ts").select("event_id", "user_id", "ts")
 
 
+def q_sql_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """F1/F2/P13/P16 as SQL text over DataFrames (string bootstrap coerced to the column type).
+
+    Kept for users with SQL jobs; the scalar subquery leaves only IsNotNull in the
+    static scan filters, which is why ``increment`` resolves the mark first.
+    """
+    e, target = _events_target(spark, sf, EVENTS_CUTOFF)
+    return spark.sql("""
+        SELECT event_id, user_id, ts FROM {raw}
+        WHERE ts > COALESCE((SELECT MAX(ts) FROM {target}), '1990-01-01 00:00:00')""", raw=e, target=target)
+
+
 def _sql_increment(cutoff: str) -> str:
     return f"""
 WITH t AS (SELECT * FROM events WHERE ts < TIMESTAMP '{cutoff}')
@@ -536,7 +548,9 @@ def _pipeline_setup(spark: SparkSession, sf: str, max_files: int = 2, move_files
     tx = transactions(spark, sf)
     year = F.year(epoch_to_timestamp("orderdate"))
     tx.withColumn("year", year).repartition("year").write.partitionBy("year").parquet(landing)
-    tx.filter(year == 1995).coalesce(1).write.parquet(f"{landing}/year=1998_redelivery")
+    # the re-delivery is a copy of the 1995 file (read back, not recomputed)
+    spark.read.schema(LANDING_SCHEMA).parquet(f"{landing}/year=1995").coalesce(1) \
+        .write.parquet(f"{landing}/year=1998_redelivery")
     cfg = PipelineConfig(landing=landing, root=f"{root}/lake", max_files=max_files, suite=PIPELINE_SUITE,
                          min_records=1, execution_date="2024-01-01",
                          archive_dir=f"{root}/archive" if move_files else None,
@@ -615,6 +629,7 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "incremental_filter": (q_incremental_filter, _sql_increment(EVENTS_CUTOFF)),
     "incremental_subquery": (q_incremental_subquery, _sql_increment(EVENTS_CUTOFF)),
     "incremental_bootstrap": (q_incremental_bootstrap, _sql_increment("1980-01-01 00:00:00")),
+    "sql_increment": (q_sql_increment, _sql_increment(EVENTS_CUTOFF)),
     "dim_rollup": (q_dim_rollup, _DIM_SQL),
     "enrich_left_join": (q_enrich_left_join, SQL_ENRICH),
     "merge_insert_rows": (q_merge_insert_rows, SQL_MERGE_INSERT_ROWS),
