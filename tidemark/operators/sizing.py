@@ -1,8 +1,10 @@
 """Size checks that guard every broadcast.
 
-A side is broadcast only after a bounded job proved it small: at most
-``max_rows + 1`` rows are read, and their byte size is measured, so the check
-itself stays cheap even when the side turns out to be huge.
+A side is broadcast only after a job measured it: row count and byte size
+(fixed widths plus the actual length of every string) come from one
+aggregate with map-side partial aggregation, so each task ships one row and
+nothing is funnelled through a single task (a ``limit`` before the aggregate
+would gather up to ``max_rows`` rows per task into one partition).
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 class SideSize:
     rows: int
     bytes: int
-    bounded: bool  # False: more than max_rows rows exist; rows/bytes are lower bounds
+    bounded: bool  # rows <= max_rows
     duplicate_keys: bool = False  # only computed when a key is given
     key_min: object = None  # only computed when bounds_of is given
     key_max: object = None
@@ -46,7 +48,7 @@ def _width(field: T.StructField) -> Column | int:
 
 def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key: str | None = None,
             bounds_of: str | None = None) -> SideSize:
-    """Rows and approximate in-memory bytes of ``df``, reading at most ``max_rows + 1`` rows.
+    """Rows and approximate in-memory bytes of ``df`` (one distributed aggregate).
 
     With ``key``, the same job also tells whether a non-NULL key repeats;
     with ``bounds_of``, it returns that column's min and max.
@@ -65,7 +67,7 @@ def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key: str
     if bounds_of is not None:
         b = F.col(f"`{bounds_of}`")
         aggs += [F.min(b).alias("lo"), F.max(b).alias("hi")]
-    probe = df.limit(max_rows + 1).agg(*aggs).first()
+    probe = df.agg(*aggs).first()
     rows, size = int(probe["rows"]), int(probe["bytes"])
     dup = bool(probe["dup"]) if key is not None else False
     lo, hi = (probe["lo"], probe["hi"]) if bounds_of is not None else (None, None)
