@@ -185,3 +185,21 @@ def test_edge_rows_flow_through_the_merge(spark, tmp_path):
     months = {x.invoiceid: x.order_month
               for x in raw.filter("invoiceid in (3, 4)").select("invoiceid", "order_month").collect()}
     assert months[3] is None and months[4] == (10000 - 1970) * 12  # January of year 10000
+
+
+def test_command_line(spark, tmp_path):
+    from tidemark.cli import main
+    from tidemark.schemas import DIMENSION_KEY
+
+    csv = str(tmp_path / "county.csv")
+    county = dimension(spark).withColumnRenamed(DIMENSION_KEY, "State")
+    county.write.option("header", True).csv(csv)
+    root, land = str(tmp_path / "lake"), str(tmp_path / "landing")
+    out = main(["bootstrap", "--landing", land, "--root", root, "--dimension-csv", csv, "--rollup-key", "State"],
+               spark=spark)
+    assert out["enriched"].endswith("/enriched")
+    landing(spark, land, 5, 100)
+    got = main(["run-all", "--landing", land, "--root", root, "--archive-dir", str(tmp_path / "arch")], spark=spark)
+    assert [b["status"] for b in got["batches"]] == ["loaded"] and got["batches"][0]["inserted"] == 500
+    assert main(["run-batch", "--landing", land, "--root", root], spark=spark)["status"] == "empty"
+    assert "snapshot" in main(["compact-ledger", "--root", root], spark=spark)
