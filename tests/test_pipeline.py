@@ -203,3 +203,33 @@ def test_command_line(spark, tmp_path):
     assert [b["status"] for b in got["batches"]] == ["loaded"] and got["batches"][0]["inserted"] == 500
     assert main(["run-batch", "--landing", land, "--root", root], spark=spark)["status"] == "empty"
     assert "snapshot" in main(["compact-ledger", "--root", root], spark=spark)
+
+
+def test_stream_failure_then_restart(spark, cfg, tmp_path, monkeypatch):
+    import tidemark.streaming.ingest as S
+
+    landing(spark, cfg.landing, 5, 100)
+    landing(spark, cfg.landing, 5, 100, key_offset=1000, folder="zz")
+    real = S.process_batch
+    calls = {"n": 0}
+
+    def failing(*a, **k):
+        calls["n"] += 1
+        if calls["n"] == 2:
+            raise RuntimeError("executor lost during micro-batch")
+        return real(*a, **k)
+
+    monkeypatch.setattr(S, "process_batch", failing)
+    with pytest.raises(Exception):
+        run_stream_to_end(spark, cfg, clock=clock)
+    pending = [r for r in current_state(read_ledger(spark, cfg.ledger_path)).collect() if r.state == "pending"]
+    assert len(pending) == 5
+    monkeypatch.setattr(S, "process_batch", real)
+    run_stream_to_end(spark, cfg, clock=lambda i: clock(100 + i))  # restart: the failed micro-batch replays
+    e = enriched(spark, cfg)
+    assert e.count() == 1000 and e.select("invoiceid").distinct().count() == 1000
+    states = {r.state for r in current_state(read_ledger(spark, cfg.ledger_path)).collect()}
+    assert states == {"archived"}
+    # the replay kept the stamp recorded before the failure
+    stamps = {r.batch_id for r in read_ledger(spark, cfg.ledger_path).collect()}
+    assert len(stamps) == 2
