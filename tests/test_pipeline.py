@@ -233,3 +233,20 @@ def test_stream_failure_then_restart(spark, cfg, tmp_path, monkeypatch):
     # the replay kept the stamp recorded before the failure
     stamps = {r.batch_id for r in read_ledger(spark, cfg.ledger_path).collect()}
     assert len(stamps) == 2
+
+
+def test_unreadable_file_is_quarantined_not_retried_forever(spark, cfg):
+    import os
+
+    landing(spark, cfg.landing, 5, 100)
+    os.makedirs(f"{cfg.landing}/a_bad", exist_ok=True)
+    with open(f"{cfg.landing}/a_bad/broken.parquet", "wb") as fh:
+        fh.write(b"this is not parquet")
+    cfg2 = P.PipelineConfig(landing=cfg.landing, root=cfg.root, max_files=1)
+    first = P.run_batch(spark, cfg2, clock(0))
+    assert first.status == "quarantined" and first.paths[0].endswith("broken.parquet")
+    assert first.summary["record_count"] is None
+    audit = spark.read.parquet(cfg2.audit_path).first()
+    assert audit.decision == "quarantine" and audit.pass_rate == 0.0
+    nxt = P.run_batch(spark, cfg2, clock(1))  # the pipeline moves on
+    assert nxt.paths and not nxt.paths[0].endswith("broken.parquet")

@@ -61,3 +61,27 @@ def test_namespace_and_listing(spark, tmp_path):
     assert listing.count() >= 1
     plan = listing._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_layout_helpers_and_landing_writer(spark, tmp_path):
+    from tidemark.operators.layout import cluster_for_write, hash_cluster, preview, with_month
+    from tidemark.sources.files import list_files, read_landing, read_manifest, write_manifest
+    from tidemark.sources.synth import write_landing_files
+
+    df = synth_range(spark, 200)
+    write_landing_files(df, str(tmp_path / "landing"), 4)
+    listing = list_files(spark, str(tmp_path / "landing"))
+    assert listing.count() == 4
+    write_manifest(listing, str(tmp_path / "manifest"))
+    paths = [r.path for r in read_manifest(spark, str(tmp_path / "manifest")).collect()]
+    assert read_landing(spark, paths).count() == 200
+    ts = df.withColumn("orderdate", F.timestamp_seconds("orderdate"))
+    h = hash_cluster(ts, 4, "orderdate")
+    assert h.rdd.getNumPartitions() == 4 and h.count() == 200
+    r = cluster_for_write(with_month(ts), num_partitions=3)
+    assert r.rdd.getNumPartitions() == 3
+    # range partitioning keeps months contiguous: each month lives in at most two adjacent tasks
+    spans = r.select("order_month", F.spark_partition_id().alias("p")).groupBy("order_month") \
+        .agg((F.max("p") - F.min("p")).alias("span")).agg(F.max("span")).first()[0]
+    assert spans <= 1
+    assert preview(df, 5).count() == 5

@@ -164,14 +164,23 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     """
     if summary is None:
         summary = summarise_ledger(read_ledger(spark, cfg.ledger_path))
-    results, quality = run_suite(derive_check_columns(batch), list(cfg.suite))  # one scan
+    try:
+        results, quality = run_suite(derive_check_columns(batch), list(cfg.suite))  # one scan
+        readable = True
+    except Exception as exc:  # noqa: BLE001 - a file that cannot be read must not block every later batch
+        if not _is_read_error(exc):
+            raise
+        results, readable = [], False
+        quality = {"success": False, "total_expectations": len(cfg.suite), "passed_expectations": 0,
+                   "failed_expectations": len(cfg.suite), "pass_rate": 0.0, "record_count": None}
     decision = gate(quality, cfg.min_pass_rate, cfg.min_records)
     execution_date = cfg.execution_date or batch_time.strftime("%Y-%m-%d")
     write_audit(audit_frame(spark, quality, execution_date, batch_id, decision), cfg.audit_path)
 
     if decision != "load":
         # K4: a copy of the batch for inspection; the folder is the batch's own, so a replay overwrites it.
-        batch.write.mode("overwrite").parquet(f"{cfg.quarantine_path}/{BATCH_COL}={batch_id}")
+        if readable:
+            batch.write.mode("overwrite").parquet(f"{cfg.quarantine_path}/{BATCH_COL}={batch_id}")
         record(spark, cfg.ledger_path, paths, batch_id, batch_time, "quarantined")
         if cfg.quarantine_files_dir:
             move_files(spark, paths, cfg.landing, cfg.quarantine_files_dir)
@@ -213,6 +222,15 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     return BatchResult("loaded", batch_id, batch_time, tuple(paths), quality, tuple(results), int(got["n"]))
 
 
+_READ_ERRORS = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "PARQUET_COLUMN_DATA_TYPE",
+                "Parquet column cannot be converted", "FileNotFoundException", "PATH_NOT_FOUND")
+
+
+def _is_read_error(exc: Exception) -> bool:
+    text = f"{type(exc).__name__} {exc}"
+    return any(m in text for m in _READ_ERRORS)
+
+
 def run_all(spark: SparkSession, cfg: PipelineConfig, clock=None, max_batches: int | None = None) -> list[BatchResult]:
     """Run batches until the landing area has nothing new. ``clock(i)`` gives batch i's stamp."""
     out: list[BatchResult] = []
