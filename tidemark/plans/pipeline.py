@@ -30,7 +30,7 @@ from tidemark.operators.merge import merge_insert
 from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
 from tidemark.plans.tables import BATCH_COL, Table, append, create_table, overwrite, read_batch, read_table
 from tidemark.schemas import (DEFAULT_MAX_FILES, DEFAULT_MIN_PASS_RATE, DEFAULT_MIN_RECORDS, DIMENSION_KEY,
-                              LANDING_SCHEMA, RAW_SCHEMA, enriched_schema)
+                              RAW_SCHEMA, enriched_schema)
 from tidemark.sources.files import list_files, read_landing
 from tidemark.sources.fs import move_files
 
@@ -242,7 +242,3 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, clock=None, max_batches: i
         out.append(res)
         i += 1
     return out
-
-
-def landing_schema() -> T.StructType:
-    return LANDING_SCHEMA
