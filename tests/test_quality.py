@@ -80,3 +80,13 @@ def test_audit_round_trip(spark, tmp_path):
     back = read_audit(spark, path)
     assert back.count() == 2
     assert back.filter(F.col("date") == "2024-05-01").select("pass_rate").distinct().first()[0] == 100.0
+
+
+def test_audit_replay_replaces_the_batch_row(spark, tmp_path):
+    _, s = run_suite(derive_check_columns(synth_range(spark, 10)), default_suite())
+    path = str(tmp_path / "audit")
+    write_audit(audit_frame(spark, s, "2024-05-02", "b7", "quarantine"), path, "b7")
+    write_audit(audit_frame(spark, s, "2024-05-02", "b7", "quarantine"), path, "b7")  # replay
+    write_audit(audit_frame(spark, s, "2024-05-02", "b8", "quarantine"), path, "b8")
+    back = read_audit(spark, path)
+    assert sorted(r.batch for r in back.collect()) == ["b7", "b8"]

@@ -189,14 +189,22 @@ def audit_frame(spark: SparkSession, summary: dict, execution_date: str, batch_i
     return literal_rows(spark, [row], AUDIT_SCHEMA)
 
 
-def write_audit(audit: DataFrame, path: str) -> None:
-    """K3: append under ``date=<execution_date>``."""
-    (audit.withColumn("date", F.col("execution_date")).coalesce(1)
-     .write.mode("append").partitionBy("date").parquet(path))
+def write_audit(audit: DataFrame, path: str, batch_id: str | None = None) -> None:
+    """K3: one folder per record under ``date=<execution_date>/batch=<id>``.
+
+    The record of a batch is replaced when the batch is replayed (no duplicate
+    audit rows after a retry); without a batch id a fresh folder is used.
+    """
+    import uuid
+
+    row = audit.select("execution_date").first()
+    folder = f"{path.rstrip('/')}/date={row['execution_date']}/batch={batch_id or 'adhoc-' + uuid.uuid4().hex[:12]}"
+    audit.coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     from pyspark.sql import types as T
 
-    schema = T.StructType(list(AUDIT_SCHEMA.fields) + [T.StructField("date", T.StringType())])
+    schema = T.StructType(list(AUDIT_SCHEMA.fields) + [T.StructField("date", T.StringType()),
+                                                      T.StructField("batch", T.StringType())])
     return spark.read.schema(schema).parquet(path)
