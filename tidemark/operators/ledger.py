@@ -45,12 +45,17 @@ def current_state(ledger: DataFrame) -> DataFrame:
 def next_batch(listing: DataFrame, ledger: DataFrame, max_files: int, path_col: str = "path") -> DataFrame:
     """First ``max_files`` listed paths (lexicographic) the ledger has never seen.
 
-    ``orderBy + limit`` plans as TakeOrderedAndProject: each task keeps its
-    top ``max_files``, so the listing is never sorted as a whole.
+    The ledger holds every path ever seen and only grows; the listing is the
+    bounded side. The unseen paths come from the insert-only merge operator:
+    the listing is measured and broadcast, the ledger is probed map-side
+    (never shuffled), and a listing too large to broadcast falls back to a
+    shuffle anti-join. ``orderBy + limit`` plans as TakeOrderedAndProject: each
+    task keeps its top ``max_files``, so nothing is sorted as a whole.
     """
+    from tidemark.operators.merge import merge_insert
+
     seen = ledger.select(F.col("path").alias(path_col))
-    return (listing.join(seen, path_col, "left_anti")
-            .orderBy(path_col).limit(max_files))
+    return merge_insert(seen, listing, path_col).orderBy(path_col).limit(max_files)
 
 
 @dataclass(frozen=True)
