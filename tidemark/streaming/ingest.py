@@ -11,6 +11,7 @@ from __future__ import annotations
 
 
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,6 +34,15 @@ def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, availabl
               .withColumn(_PATH, F.col("_metadata.file_path")))
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
+        # the micro-batch is read several times (paths, checks, writes): keep it for this call;
+        # blocks lost with an executor are recomputed from the source files
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _handle(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    def _handle(batch: DataFrame, epoch_id: int) -> None:
         # at most max_files distinct paths per micro-batch
         paths = sorted(r[0] for r in batch.select(_PATH).distinct().collect())
         if not paths:
