@@ -85,3 +85,14 @@ def test_layout_helpers_and_landing_writer(spark, tmp_path):
         .agg((F.max("p") - F.min("p")).alias("span")).agg(F.max("span")).first()[0]
     assert spans <= 1
     assert preview(df, 5).count() == 5
+
+
+def test_range_clustering_splits_a_hot_instant(spark):
+    from tidemark.operators.layout import cluster_for_write, with_month
+
+    hot = spark.range(0, 3000).select(F.col("id").alias("k"), F.timestamp_seconds(F.lit(0)).alias("orderdate"))
+    cold = spark.range(3000, 6000).select(F.col("id").alias("k"), F.timestamp_seconds(F.col("id") * 86400).alias("orderdate"))
+    out = cluster_for_write(with_month(hot.unionByName(cold)), num_partitions=6)
+    sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 3000  # the 3000 rows with one identical instant are not in one task
+    assert sum(sizes) == 6000

@@ -25,7 +25,11 @@ def cluster_for_write(df: DataFrame, month_col: str = MONTH_COL, ts_col: str | N
     ``num_partitions`` AQE sizes the partitions from the data.
     """
     order = [month_col] + ([ts_col] if ts_col else [])
-    parts = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    # a deterministic row hash as last range key: even a third of the rows sharing one
+    # (month, instant) is cut into several tasks by the sampled bounds (rand() would
+    # make a retried task place rows differently)
+    split = order + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    parts = df.repartitionByRange(num_partitions, *split) if num_partitions else df.repartitionByRange(*split)
     return parts.sortWithinPartitions(*order)
 
 
