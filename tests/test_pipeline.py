@@ -250,3 +250,30 @@ def test_unreadable_file_is_quarantined_not_retried_forever(spark, cfg):
     assert audit.decision == "quarantine" and audit.pass_rate == 0.0
     nxt = P.run_batch(spark, cfg2, clock(1))  # the pipeline moves on
     assert nxt.paths and not nxt.paths[0].endswith("broken.parquet")
+
+
+def test_file_delivered_again_under_the_same_name(spark, cfg, tmp_path):
+    import os
+    import time
+
+    from tidemark.operators.quality import RowCountBetween
+
+    c = P.PipelineConfig(landing=cfg.landing, root=cfg.root, max_files=5, suite=(RowCountBetween(1, None),),
+                         min_records=1)
+    os.makedirs(c.landing, exist_ok=True)
+    target = f"{c.landing}/transaction11.parquet"
+
+    def deliver(offset):
+        pdf = synth_transactions(spark.range(offset, offset + 100), "id").toPandas()
+        pdf.to_parquet(target + ".tmp", index=False)
+        os.replace(target + ".tmp", target)
+
+    deliver(0)
+    assert P.run_batch(spark, c, clock(0)).inserted == 100
+    assert P.run_batch(spark, c, clock(1)).status == "empty"  # same file, same version: seen
+    time.sleep(0.01)
+    deliver(5000)  # a new delivery with the same name (new modification time)
+    os.utime(target, (time.time() + 5, time.time() + 5))
+    r = P.run_batch(spark, c, clock(2))
+    assert r.status == "loaded" and r.inserted == 100
+    assert enriched(spark, c).count() == 200

@@ -33,8 +33,8 @@ def test_next_batch_lexicographic_and_unseen(spark):
 
 def test_current_state_uses_seq_for_equal_times(spark):
     t = datetime(2024, 1, 1)
-    rows = [("f", "b1", t, "pending", t, 1, None), ("f", "b1", t, "loaded", t, 2, 10),
-            ("f", "b1", t, "archived", t, 3, 10), ("g", "b2", t, "pending", t, 4, None)]
+    rows = [("f", "b1", t, "pending", t, 1, None, 7), ("f", "b1", t, "loaded", t, 2, 10, 7),
+            ("f", "b1", t, "archived", t, 3, 10, 7), ("g", "b2", t, "pending", t, 4, None, 7)]
     ledger = spark.createDataFrame(rows, LEDGER_SCHEMA)
     state = {r.path: r.state for r in current_state(ledger).collect()}
     assert state == {"f": "archived", "g": "pending"}
@@ -71,3 +71,12 @@ def test_compaction_keeps_current_state(spark, tmp_path):
     assert compact_ledger(spark, path, upto="2099-01-01") <= f"{datetime.now(timezone.utc):%Y-%m-%d}"
     record(spark, path, ["c"], "b2", datetime(2024, 1, 2), "quarantined")
     assert {r.path: r.state for r in current_state(read_ledger(spark, path)).collect()}["c"] == "quarantined"
+
+
+def test_same_name_new_version_is_a_new_file(spark):
+    t = datetime(2024, 1, 1)
+    listing = spark.createDataFrame([("s3a://b/raw/t1.parquet", 200), ("s3a://b/raw/t2.parquet", 100)],
+                                    "path string, version long")
+    ledger = ledger_rows(spark, [("s3a://b/raw/t1.parquet", 100), ("s3a://b/raw/t2.parquet", 100)], "b0", t,
+                         "archived")
+    assert [r.path for r in next_batch(listing, ledger, 5).collect()] == ["s3a://b/raw/t1.parquet"]

@@ -35,11 +35,11 @@ def _seq() -> int:
 
 
 def current_state(ledger: DataFrame) -> DataFrame:
-    """Latest state per path (``max_by`` over ``(updated_at, seq)``; partial aggregation
-    keeps a path with very many changes cheap)."""
+    """Latest state per file (path, version) (``max_by`` over ``(updated_at, seq)``; partial
+    aggregation keeps a file with very many changes cheap)."""
     latest = F.max_by(F.struct("state", "batch_id", "batch_time", "watermark_us"),
                       F.struct("updated_at", "seq"))
-    return ledger.groupBy("path").agg(latest.alias("s")).select("path", "s.*")
+    return ledger.groupBy("path", "version").agg(latest.alias("s")).select("path", "version", "s.*")
 
 
 def next_batch(listing: DataFrame, ledger: DataFrame, max_files: int, path_col: str = "path") -> DataFrame:
@@ -54,8 +54,9 @@ def next_batch(listing: DataFrame, ledger: DataFrame, max_files: int, path_col:
     """
     from tidemark.operators.merge import merge_insert
 
-    seen = ledger.select(F.col("path").alias(path_col))
-    return merge_insert(seen, listing, path_col).orderBy(path_col).limit(max_files)
+    keys = [path_col, "version"] if "version" in listing.columns else [path_col]
+    seen = ledger.select(F.col("path").alias(path_col), "version").select(*keys)
+    return merge_insert(seen, listing, keys).orderBy(path_col).limit(max_files)
 
 
 @dataclass(frozen=True)
@@ -65,19 +66,29 @@ class PendingBatch:
     paths: list[str]
 
 
-def ledger_rows(spark: SparkSession, paths: list[str], batch_id: str, batch_time: datetime,
+def files_of(paths) -> list[tuple[str, int | None]]:
+    """``[path]`` or ``[(path, version)]`` -> ``[(path, version)]``."""
+    return [(p, None) if isinstance(p, str) else (p[0], p[1]) for p in paths]
+
+
+def names_of(paths) -> list[str]:
+    return [p for p, _ in files_of(paths)]
+
+
+def ledger_rows(spark: SparkSession, paths, batch_id: str, batch_time: datetime,
                 state: str | tuple[str, ...], watermark_us: int | None = None,
                 updated_at: datetime | None = None) -> DataFrame:
-    """State-change rows for one batch (at most ``max_files`` rows per state).
+    """State-change rows for one batch (at most ``max_files`` files per state).
 
-    Several states are recorded in order (increasing ``seq``) by one write.
+    ``paths`` holds paths or (path, version) pairs. Several states are recorded
+    in order (increasing ``seq``) by one write.
     """
     now = updated_at or datetime.now(timezone.utc)
     states = (state,) if isinstance(state, str) else tuple(state)
     rows = []
     for st in states:
         seq = _seq()
-        rows += [(p, batch_id, batch_time, st, now, seq, watermark_us) for p in paths]
+        rows += [(p, batch_id, batch_time, st, now, seq, watermark_us, v) for p, v in files_of(paths)]
     return literal_rows(spark, rows, LEDGER_SCHEMA)
 
 
@@ -108,9 +119,10 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
 
 
 def latest_rows(ledger: DataFrame) -> DataFrame:
-    """The whole latest row of each path (the content of a snapshot)."""
+    """The whole latest row of each file (the content of a snapshot)."""
     row = F.struct(*[F.col(c) for c in LEDGER_SCHEMA.fieldNames()])
-    return ledger.groupBy("path").agg(F.max_by(row, F.struct("updated_at", "seq")).alias("r")).select("r.*")
+    return (ledger.groupBy("path", "version").agg(F.max_by(row, F.struct("updated_at", "seq")).alias("r"))
+            .select("r.*"))
 
 
 def compact_ledger(spark: SparkSession, ledger_path: str, upto: str | None = None, purge: bool = False) -> str | None:
@@ -187,10 +199,11 @@ def summarise_ledger(ledger: DataFrame) -> LedgerSummary:
     return LedgerSummary(row["b"], row["t"], row["s"], None if row["w"] is None else int(row["w"]), int(row["c"]))
 
 
-def batch_paths(ledger: DataFrame, batch_id: str, max_files: int) -> list[str]:
+def batch_paths(ledger: DataFrame, batch_id: str, max_files: int) -> list[tuple[str, int | None]]:
+    """(path, version) of the files of one batch (at most ``max_files`` rows to the driver)."""
     rows = (ledger.filter((F.col("batch_id") == batch_id) & (F.col("state") == "pending"))
-            .select("path").distinct().limit(max_files + 1).collect())
-    return sorted(r[0] for r in rows)
+            .select("path", "version").distinct().limit(max_files + 1).collect())
+    return sorted((r[0], r[1]) for r in rows)
 
 
 def last_watermark(ledger: DataFrame, exclude_batch: str | None = None) -> int | None:

@@ -25,7 +25,7 @@ from tidemark.functions.columns import derive_check_columns, epoch_to_timestamp,
 from tidemark.operators.enrich import enrich
 from tidemark.operators.increment import high_water_mark, increment
 from tidemark.operators.ledger import (LedgerSummary, batch_paths, compact_ledger, log_days_since_snapshot,
-                                       next_batch, read_ledger, record, summarise_ledger)
+                                       names_of, next_batch, read_ledger, record, summarise_ledger)
 from tidemark.operators.merge import merge_insert
 from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
 from tidemark.plans.tables import BATCH_COL, Table, append, create_table, overwrite, read_batch, read_table
@@ -144,24 +144,26 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig, batch_time: datetime | N
     summary = summarise_ledger(ledger)
     if summary.pending:
         batch_id, stamp = summary.last_batch_id, _utc(summary.last_batch_time)
-        paths = batch_paths(ledger, batch_id, cfg.max_files)
+        files = batch_paths(ledger, batch_id, cfg.max_files)
     else:
         listing = list_files(spark, cfg.landing, cfg.pattern)
-        paths = [r["path"] for r in next_batch(listing, ledger, cfg.max_files).collect()]
-        if not paths:
+        files = [(r["path"], r["version"]) for r in next_batch(listing, ledger, cfg.max_files).collect()]
+        if not files:
             return BatchResult("empty")
         stamp = _stamp(summary, batch_time)
         batch_id = batch_id_for(stamp)
-        record(spark, cfg.ledger_path, paths, batch_id, stamp, "pending")
-    return process_batch(spark, cfg, read_landing(spark, paths), batch_id, stamp, paths, summary)
+        record(spark, cfg.ledger_path, files, batch_id, stamp, "pending")
+    return process_batch(spark, cfg, read_landing(spark, names_of(files)), batch_id, stamp, files, summary)
 
 
 def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, batch_id: str,
-                  batch_time: datetime, paths: list[str], summary: LedgerSummary | None = None) -> BatchResult:
+                  batch_time: datetime, files, summary: LedgerSummary | None = None) -> BatchResult:
     """Validate, gate and load one batch whose ledger rows are already ``pending``.
 
-    ``summary`` is the ledger state read before this batch was started (or resumed).
+    ``files`` are the batch's paths or (path, version) pairs; ``summary`` is the
+    ledger state read before this batch was started (or resumed).
     """
+    paths = names_of(files)
     if summary is None:
         summary = summarise_ledger(read_ledger(spark, cfg.ledger_path))
     try:
@@ -181,7 +183,7 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
         # K4: a copy of the batch for inspection; the folder is the batch's own, so a replay overwrites it.
         if readable:
             batch.write.mode("overwrite").parquet(f"{cfg.quarantine_path}/{BATCH_COL}={batch_id}")
-        record(spark, cfg.ledger_path, paths, batch_id, batch_time, "quarantined")
+        record(spark, cfg.ledger_path, files, batch_id, batch_time, "quarantined")
         if cfg.quarantine_files_dir:
             move_files(spark, paths, cfg.landing, cfg.quarantine_files_dir)
         return BatchResult("quarantined", batch_id, batch_time, tuple(paths), quality, tuple(results))
@@ -216,7 +218,7 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     append(enr_t, to_insert, batch_id, cluster="local")
     got = obs.get
     new_mark = max([m for m in (mark, got.get("m")) if m is not None], default=None)
-    record(spark, cfg.ledger_path, paths, batch_id, batch_time, ("loaded", "archived"), watermark_us=new_mark)
+    record(spark, cfg.ledger_path, files, batch_id, batch_time, ("loaded", "archived"), watermark_us=new_mark)
     if cfg.archive_dir:
         move_files(spark, paths, cfg.landing, cfg.archive_dir)
     return BatchResult("loaded", batch_id, batch_time, tuple(paths), quality, tuple(results), int(got["n"]))

@@ -125,7 +125,9 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("decision", T.StringType()),
 ])
 
-# One row per state change of a landing file; the current state is the latest row per path.
+# One row per state change of a landing file; the current state is the latest row per file.
+# A file is (path, version): version = modification time in ms, so a file delivered again
+# under the same name is a new file.
 LEDGER_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("batch_id", T.StringType()),
@@ -134,6 +136,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("updated_at", T.TimestampType()),
     T.StructField("seq", T.LongType()),
     T.StructField("watermark_us", T.LongType()),
+    T.StructField("version", T.LongType()),
 ])
 
 LEDGER_STATES = ("pending", "loaded", "archived", "quarantined")

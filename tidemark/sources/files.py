@@ -10,8 +10,10 @@ from tidemark.schemas import LANDING_SCHEMA
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", recursive: bool = True) -> DataFrame:
-    """``(path, length, modificationTime)`` of every matching file below ``folder``.
+    """``(path, length, modificationTime, version)`` of every matching file below ``folder``.
 
+    ``version`` is the modification time in ms: with the path it identifies a
+    delivery, so a file written again under the same name is picked again.
     ``binaryFile`` with only metadata columns selected never reads file content.
     A missing folder lists as empty.
     """
@@ -19,12 +21,14 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", rec
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     try:
-        return reader.load(folder).select("path", "length", "modificationTime")
+        return reader.load(folder).select("path", "length", "modificationTime",
+                                          F.unix_millis("modificationTime").alias("version"))
     except Exception as exc:
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             schema = T.StructType([T.StructField("path", T.StringType()),
                                    T.StructField("length", T.LongType()),
-                                   T.StructField("modificationTime", T.TimestampType())])
+                                   T.StructField("modificationTime", T.TimestampType()),
+                                   T.StructField("version", T.LongType())])
             return spark.createDataFrame([], schema)
         raise
 

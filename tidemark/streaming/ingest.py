@@ -21,6 +21,7 @@ from tidemark.plans.pipeline import PipelineConfig, _stamp, _utc, batch_id_for,
 from tidemark.schemas import LANDING_SCHEMA
 
 _PATH = "__source_path"
+_VERSION = "__source_version"
 
 
 def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, available_now: bool = True,
@@ -31,7 +32,8 @@ def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, availabl
               .option("pathGlobFilter", cfg.pattern)
               .option("recursiveFileLookup", "true")  # same files as the batch listing
               .parquet(cfg.landing)
-              .withColumn(_PATH, F.col("_metadata.file_path")))
+              .withColumn(_PATH, F.col("_metadata.file_path"))
+              .withColumn(_VERSION, F.unix_millis(F.col("_metadata.file_modification_time"))))
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         # the micro-batch is read several times (paths, checks, writes): keep it for this call;
@@ -43,14 +45,17 @@ def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, availabl
             batch.unpersist()
 
     def _handle(batch: DataFrame, epoch_id: int) -> None:
-        # at most max_files distinct paths per micro-batch
-        paths = sorted(r[0] for r in batch.select(_PATH).distinct().collect())
-        if not paths:
+        # at most max_files distinct files per micro-batch
+        files = sorted((r[0], r[1]) for r in batch.select(_PATH, _VERSION).distinct().collect())
+        if not files:
             return
+        paths = [p for p, _ in files]
         ledger = read_ledger(spark, cfg.ledger_path)
         summary = summarise_ledger(ledger)
-        seen = (current_state(ledger.filter(F.col("path").isin(paths)))
-                .select("state", "batch_id", "batch_time").limit(len(paths) + 1).collect())
+        mine = set(files)
+        seen = [r for r in current_state(ledger.filter(F.col("path").isin(paths)))
+                .select("path", "version", "state", "batch_id", "batch_time").collect()
+                if (r["path"], r["version"]) in mine]
         if seen and all(r["state"] == "pending" for r in seen) and len({r["batch_id"] for r in seen}) == 1:
             batch_id, stamp = seen[0]["batch_id"], _utc(seen[0]["batch_time"])
         elif seen:
@@ -58,8 +63,8 @@ def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, availabl
         else:
             stamp = _stamp(summary, clock(epoch_id) if clock else None)
             batch_id = batch_id_for(stamp)
-            record(spark, cfg.ledger_path, paths, batch_id, stamp, "pending")
-        process_batch(spark, cfg, batch.drop(_PATH), batch_id, stamp, paths, summary)
+            record(spark, cfg.ledger_path, files, batch_id, stamp, "pending")
+        process_batch(spark, cfg, batch.drop(_PATH, _VERSION), batch_id, stamp, files, summary)
 
     writer = (source.writeStream.foreachBatch(handle)
               .option("checkpointLocation", cfg.stream_checkpoint))
