@@ -91,4 +91,4 @@ def literal_rows(spark, rows: list[tuple], schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
                for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))  # one row, one partition

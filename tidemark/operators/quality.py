@@ -189,7 +189,7 @@ def audit_frame(spark: SparkSession, summary: dict, execution_date: str, batch_i
     return literal_rows(spark, [row], AUDIT_SCHEMA)
 
 
-def write_audit(audit: DataFrame, path: str, batch_id: str | None = None) -> None:
+def write_audit(audit: DataFrame, path: str, batch_id: str | None = None, execution_date: str | None = None) -> None:
     """K3: one folder per record under ``date=<execution_date>/batch=<id>``.
 
     The record of a batch is replaced when the batch is replayed (no duplicate
@@ -197,8 +197,9 @@ def write_audit(audit: DataFrame, path: str, batch_id: str | None = None) -> Non
     """
     import uuid
 
-    row = audit.select("execution_date").first()
-    folder = f"{path.rstrip('/')}/date={row['execution_date']}/batch={batch_id or 'adhoc-' + uuid.uuid4().hex[:12]}"
+    if execution_date is None:
+        execution_date = audit.select("execution_date").first()["execution_date"]
+    folder = f"{path.rstrip('/')}/date={execution_date}/batch={batch_id or 'adhoc-' + uuid.uuid4().hex[:12]}"
     audit.coalesce(1).write.mode("overwrite").parquet(folder)
 
 

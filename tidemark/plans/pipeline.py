@@ -177,7 +177,8 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
                    "failed_expectations": len(cfg.suite), "pass_rate": 0.0, "record_count": None}
     decision = gate(quality, cfg.min_pass_rate, cfg.min_records)
     execution_date = cfg.execution_date or batch_time.strftime("%Y-%m-%d")
-    write_audit(audit_frame(spark, quality, execution_date, batch_id, decision), cfg.audit_path, batch_id)
+    write_audit(audit_frame(spark, quality, execution_date, batch_id, decision), cfg.audit_path, batch_id,
+                execution_date)
 
     if decision != "load":
         # K4: a copy of the batch for inspection; the folder is the batch's own, so a replay overwrites it.
