@@ -55,3 +55,18 @@ def test_composite_keys(spark):
     t = spark.createDataFrame([(1, 1, "t"), (1, 2, "t")], "a long, b long, v string")
     s = spark.createDataFrame([(1, 2, "s"), (1, 3, "s")], "a long, b long, v string")
     assert [(r.a, r.b) for r in merge_insert(t, s, ["a", "b"]).collect()] == [(1, 3)]
+
+
+def test_timestamp_and_string_keys(spark):
+    from datetime import datetime
+
+    t = spark.createDataFrame([(datetime(2024, 1, 1, 10), "a"), (datetime(2024, 1, 2, 10), "b")],
+                              "k timestamp_ntz, v string")
+    s = spark.createDataFrame([(datetime(2024, 1, 2, 10), "x"), (datetime(2024, 1, 3, 10), "y")],
+                              "k timestamp_ntz, v string")
+    assert [r.v for r in merge_insert(t, s, "k").collect()] == ["y"]
+    ts = spark.createDataFrame([("inv-1", 1), ("inv-2", 2)], "k string, n int")
+    ss = spark.createDataFrame([("inv-2", 9), ("inv-3", 9)], "k string, n int")
+    out = merge_insert(ts, ss, "k")
+    assert [r.k for r in out.collect()] == ["inv-3"]
+    assert ">= inv-2" in out._jdf.queryExecution().executedPlan().toString()  # string range predicate

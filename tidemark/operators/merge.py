@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast, measure
 
@@ -60,9 +61,12 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
     if size.rows == 0:
         return target.select(*keys).limit(0)
     probe = target.select(*keys)
-    if len(keys) == 1 and size.key_min is not None:
+    exact_literal = single is not None and isinstance(src_keys.schema[single].dataType,
+                                                       (T.IntegralType, T.StringType))
+    if exact_literal and size.key_min is not None:
         # a range predicate the parquet reader can use against row-group min/max statistics:
         # with ids that grow over time, old row groups are skipped without being read
+        # (integral and string keys only: their literals round-trip exactly)
         probe = probe.filter(F.col(keys[0]).between(F.lit(size.key_min), F.lit(size.key_max)))
     return probe.join(F.broadcast(src_keys.distinct()), keys, "left_semi").distinct()
 
