@@ -57,7 +57,7 @@ def test_namespace_and_listing(spark, tmp_path):
     assert list_files(spark, str(tmp_path / "missing")).count() == 0
     spark.range(3).write.parquet(str(tmp_path / "a" / "x"))
     listing = list_files(spark, str(tmp_path / "a"))
-    assert listing.columns == ["path", "length", "modificationTime"]
+    assert listing.columns == ["path", "length", "modificationTime", "version"]
     assert listing.count() >= 1
     plan = listing._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
