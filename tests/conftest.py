@@ -17,10 +17,8 @@ def spark(tmp_path_factory):
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # only where the cluster setting is absent
-        ck = str(tmp_path_factory.mktemp("checkpoint"))
-        s.sparkContext.setCheckpointDir(ck)
-        s.conf.set("spark.checkpoint.dir", ck)
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))  # only where unset
     yield s
     s.stop()
 

@@ -66,15 +66,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Only when the setting is absent (local tests) a private folder is created
-    and registered as the checkpoint dir.
+    and registered with ``setCheckpointDir`` (the core setting itself cannot be
+    changed at run time).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
