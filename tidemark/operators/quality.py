@@ -182,7 +182,8 @@ def run_suite(df: DataFrame, suite: list[Expectation]) -> tuple[list[Row], dict]
 def audit_frame(spark: SparkSession, summary: dict, execution_date: str, batch_id: str | None = None,
                 decision: str | None = None, validation_time: datetime | None = None) -> DataFrame:
     """Q9: the one-row audit record with an explicit schema."""
-    ts = (validation_time or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H:%M:%S")
+    # fixed value: the original audit text format of the validation time
+    ts = (validation_time or datetime.now(timezone.utc)).strftime("%Y-%m-%d:%H:%M:%S")
     row = (summary["success"], summary["total_expectations"], summary["passed_expectations"],
            summary["failed_expectations"], summary["pass_rate"], summary["record_count"],
            execution_date, ts, batch_id, decision)
