@@ -204,12 +204,3 @@ def batch_paths(ledger: DataFrame, batch_id: str, max_files: int) -> list[tuple[
     rows = (ledger.filter((F.col("batch_id") == batch_id) & (F.col("state") == "pending"))
             .select("path", "version").distinct().limit(max_files + 1).collect())
     return sorted((r[0], r[1]) for r in rows)
-
-
-def last_watermark(ledger: DataFrame, exclude_batch: str | None = None) -> int | None:
-    """High-water mark recorded at the last completed merge (epoch micros), or None."""
-    done = ledger.filter(F.col("watermark_us").isNotNull())
-    if exclude_batch is not None:
-        done = done.filter(F.col("batch_id") != exclude_batch)
-    row = done.agg(F.max("watermark_us").alias("w")).first()
-    return None if row is None or row["w"] is None else int(row["w"])

@@ -76,10 +76,3 @@ def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key: str
 
 def fits_broadcast(size: SideSize, max_bytes: int) -> bool:
     return size.bounded and max_bytes > 0 and size.bytes <= max_bytes
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = 50 * 1024 * 1024) -> DataFrame:
-    """Join with ``small`` broadcast only if ``measure`` proves it small; else a planner-chosen join."""
-    right = F.broadcast(small) if fits_broadcast(measure(small, max_rows), max_bytes) else small
-    return big.join(right, on, how)
