@@ -203,6 +203,8 @@ def test_command_line(spark, tmp_path):
     assert [b["status"] for b in got["batches"]] == ["loaded"] and got["batches"][0]["inserted"] == 500
     assert main(["run-batch", "--landing", land, "--root", root], spark=spark)["status"] == "empty"
     assert "snapshot" in main(["compact-ledger", "--root", root], spark=spark)
+    assert main(["tidy-landing", "--landing", land, "--root", root, "--archive-dir", str(tmp_path / "arch")],
+                spark=spark) == {"moved": 0}
 
 
 def test_stream_failure_then_restart(spark, cfg, tmp_path, monkeypatch):
@@ -277,3 +279,20 @@ def test_file_delivered_again_under_the_same_name(spark, cfg, tmp_path):
     r = P.run_batch(spark, c, clock(2))
     assert r.status == "loaded" and r.inserted == 100
     assert enriched(spark, c).count() == 200
+
+
+def test_tidy_landing_finishes_interrupted_moves(spark, tmp_path, monkeypatch):
+    import os
+
+    c = P.PipelineConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "lake"),
+                         archive_dir=str(tmp_path / "archive"))
+    P.bootstrap(spark, c, dimension(spark))
+    landing(spark, c.landing, 5, 100)
+    monkeypatch.setattr(P, "move_files", lambda *a, **k: [])  # crash right after the ledger write
+    assert P.run_batch(spark, c, clock(0)).status == "loaded"
+    monkeypatch.undo()
+    left = [f for r, _, fs in os.walk(c.landing) for f in fs if f.endswith(".parquet")]
+    assert len(left) == 5
+    assert P.run_batch(spark, c, clock(1)).status == "empty"  # finished files are never picked again
+    assert P.tidy_landing(spark, c) == 5
+    assert [f for r, _, fs in os.walk(c.landing) for f in fs if f.endswith(".parquet")] == []

@@ -6,6 +6,7 @@ Commands:
   run-all         process batches until the landing area has nothing new
   stream          the same through Structured Streaming (availableNow, or a processing-time trigger)
   compact-ledger  fold old ledger days into a snapshot
+  tidy-landing    finish archive/quarantine moves interrupted by a crash
 
 The application owns its session: built here (with the library profile applied)
 unless one is passed to ``main``.
@@ -33,7 +34,7 @@ def _config(args):
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidemark")
     sub = p.add_subparsers(dest="command", required=True)
-    for name in ("bootstrap", "run-batch", "run-all", "stream", "compact-ledger"):
+    for name in ("bootstrap", "run-batch", "run-all", "stream", "compact-ledger", "tidy-landing"):
         s = sub.add_parser(name)
         s.add_argument("--landing", required=name != "compact-ledger", default=None)
         s.add_argument("--root", required=True, help="folder of raw/enriched/ledger/audit/quarantine")
@@ -75,7 +76,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
 def _run(spark: SparkSession, args) -> dict:
     from tidemark.operators.ledger import compact_ledger
-    from tidemark.plans.pipeline import bootstrap, run_all, run_batch
+    from tidemark.plans.pipeline import bootstrap, run_all, run_batch, tidy_landing
     from tidemark.streaming.ingest import ingest_stream
 
     if args.command == "compact-ledger":
@@ -93,6 +94,8 @@ def _run(spark: SparkSession, args) -> dict:
         r = run_batch(spark, cfg)
         return {"status": r.status, "batch_id": r.batch_id, "files": len(r.paths), "inserted": r.inserted,
                 "summary": r.summary}
+    if args.command == "tidy-landing":
+        return {"moved": tidy_landing(spark, cfg)}
     if args.command == "run-all":
         return {"batches": [{"status": r.status, "batch_id": r.batch_id, "inserted": r.inserted}
                             for r in run_all(spark, cfg)]}

@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import derive_check_columns, epoch_to_timestamp, timestamp_to_micros
 from tidemark.operators.enrich import enrich
 from tidemark.operators.increment import high_water_mark, increment
-from tidemark.operators.ledger import (LedgerSummary, batch_paths, compact_ledger, log_days_since_snapshot,
-                                       names_of, next_batch, read_ledger, record, summarise_ledger)
+from tidemark.operators.ledger import (LedgerSummary, batch_paths, compact_ledger, current_state,
+                                       log_days_since_snapshot, names_of, next_batch, read_ledger, record,
+                                       summarise_ledger)
 from tidemark.operators.merge import merge_insert
 from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
 from tidemark.plans.tables import BATCH_COL, Table, append, create_table, overwrite, read_batch, read_table
@@ -225,6 +226,23 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     return BatchResult("loaded", batch_id, batch_time, tuple(paths), quality, tuple(results), int(got["n"]))
 
 
+def tidy_landing(spark: SparkSession, cfg: PipelineConfig, max_moves: int = 1000) -> int:
+    """Finish moves interrupted by a crash: files still in the landing area whose ledger
+    state is already archived/quarantined are moved (at most ``max_moves`` per call)."""
+    if not (cfg.archive_dir or cfg.quarantine_files_dir):
+        return 0
+    listing = list_files(spark, cfg.landing, cfg.pattern).select("path", "version")
+    done = (current_state(read_ledger(spark, cfg.ledger_path))
+            .filter(F.col("state").isin("archived", "quarantined")).select("path", "version", "state"))
+    left = listing.join(done, ["path", "version"], "inner").limit(max_moves).collect()
+    moved = 0
+    for state, dest in (("archived", cfg.archive_dir), ("quarantined", cfg.quarantine_files_dir)):
+        paths = [r["path"] for r in left if r["state"] == state]
+        if dest and paths:
+            moved += len(move_files(spark, paths, cfg.landing, dest))
+    return moved
+
+
 _READ_ERRORS = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "PARQUET_COLUMN_DATA_TYPE",
                 "Parquet column cannot be converted", "FileNotFoundException", "PATH_NOT_FOUND")
 
