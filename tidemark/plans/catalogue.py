@@ -9,6 +9,7 @@ Fixture mapping: see ``tidemark.sources.fixtures``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -556,8 +557,8 @@ def _pipeline_setup(spark: SparkSession, sf: str, max_files: int = 2, move_files
                          min_records=1, execution_date="2024-01-01",
                          archive_dir=f"{root}/archive" if move_files else None,
                          quarantine_files_dir=f"{root}/quarantined_files" if move_files else None)
-    bootstrap(spark, cfg, _dimension(spark, sf))
-    return cfg
+    _, dim, _ = bootstrap(spark, cfg, _dimension(spark, sf))
+    return replace(cfg, dimension_schema=dim.schema)
 
 
 def _clock(i: int) -> datetime:

@@ -56,6 +56,8 @@ class PipelineConfig:
     quarantine_files_dir: str | None = None
     # fold the ledger log into a snapshot once it spans more than this many days
     compact_after_days: int | None = 7
+    # schema of the dimension table (as returned by ``bootstrap``): saves schema inference per batch
+    dimension_schema: T.StructType | None = None
 
     @property
     def ledger_path(self) -> str:
@@ -121,7 +123,8 @@ def bootstrap(spark: SparkSession, cfg: PipelineConfig, dimension: DataFrame) ->
 
 
 def _dimension(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, T.StructType]:
-    dim = spark.read.parquet(f"{cfg.root}/dimension")
+    reader = spark.read.schema(cfg.dimension_schema) if cfg.dimension_schema is not None else spark.read
+    dim = reader.parquet(f"{cfg.root}/dimension")
     return dim, dim.schema
 
 
