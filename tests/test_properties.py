@@ -5,7 +5,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-import tidemark.plans.pipeline as P
+import tidemark.plans.runner as P
 from tidemark.operators.ledger import current_state, read_ledger
 from tidemark.operators.quality import Between, MatchRegex, NotNull
 from tidemark.plans.tables import read_table
@@ -13,7 +13,7 @@ from tidemark.schemas import DATE_REGEX
 from tidemark.session import DEFAULT_PROFILE, profile
 from tidemark.sources.synth import synth_transactions
 
-from tests.test_pipeline import dimension
+from tests.test_runner import dimension
 
 SUITE = (NotNull("invoiceid"), MatchRegex("orderdate_date", DATE_REGEX), Between("orderdate_year", 2020, 2025))
 

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-import tidemark.plans.pipeline as P
+import tidemark.plans.runner as P
 from tidemark.operators.ledger import current_state, read_ledger
 from tidemark.plans.tables import read_table
 from tidemark.schemas import DIMENSION_COLUMNS, US_STATES, dimension_schema

@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 
 def _config(args):
-    from tidemark.plans.pipeline import PipelineConfig
+    from tidemark.plans.runner import PipelineConfig
     from tidemark.operators.quality import default_suite
 
     suite = tuple(default_suite(row_count=(args.min_rows, args.max_rows), years=(args.min_year, args.max_year)))
@@ -76,7 +76,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
 def _run(spark: SparkSession, args) -> dict:
     from tidemark.operators.ledger import compact_ledger
-    from tidemark.plans.pipeline import bootstrap, run_all, run_batch, tidy_landing
+    from tidemark.plans.runner import bootstrap, run_all, run_batch, tidy_landing
     from tidemark.streaming.ingest import ingest_stream
 
     if args.command == "compact-ledger":

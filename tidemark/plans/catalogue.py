@@ -26,7 +26,7 @@ from tidemark.operators.merge import merge_insert, merge_insert_table, merge_ups
 from tidemark.operators.quality import (Between, MatchRegex, NotNull, RowCountBetween, audit_frame,
                                         decision_column, read_audit, run_suite, validate, write_audit)
 from tidemark.operators.rollup import rollup_dimension
-from tidemark.plans.pipeline import PipelineConfig, bootstrap, run_all
+from tidemark.plans.runner import PipelineConfig, bootstrap, run_all
 from tidemark.plans.tables import (Table, append, create_table, overwrite, read_table, repartition_table,
                                    upsert_table)
 from tidemark.schemas import DATE_REGEX, LANDING_SCHEMA, LEDGER_SCHEMA
@@ -571,7 +571,7 @@ def _enriched_out(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return out.select("invoiceid", "customerid", "price", "state", *DIM_OUT)
 
 
-def q_pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+def q_ingest_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     cfg = _pipeline_setup(spark, sf)
     run_all(spark, cfg, clock=_clock)
     return _enriched_out(spark, cfg)
@@ -650,7 +650,7 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "manifest_topk": (q_manifest_topk, SQL_MANIFEST_TOPK),
     "ledger_next_batch": (q_ledger_next_batch, SQL_LEDGER_NEXT_BATCH),
     "ledger_current_state": (q_ledger_current_state, SQL_LEDGER_CURRENT_STATE),
-    "pipeline_end_to_end": (q_pipeline_end_to_end, SQL_PIPELINE),
+    "ingest_end_to_end": (q_ingest_end_to_end, SQL_PIPELINE),
     "quarantine_batch": (q_quarantine_batch, SQL_QUARANTINE),
     "stream_ingest": (q_stream_ingest, SQL_STREAM),
     "synth_transactions": (q_synth_transactions, None),

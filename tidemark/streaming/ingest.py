@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.ledger import current_state, read_ledger, record, summarise_ledger
-from tidemark.plans.pipeline import PipelineConfig, _stamp, _utc, batch_id_for, process_batch
+from tidemark.plans.runner import PipelineConfig, _stamp, _utc, batch_id_for, process_batch
 from tidemark.schemas import LANDING_SCHEMA
 
 _PATH = "__source_path"
