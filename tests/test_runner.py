@@ -296,3 +296,18 @@ def test_tidy_landing_finishes_interrupted_moves(spark, tmp_path, monkeypatch):
     assert P.run_batch(spark, c, clock(1)).status == "empty"  # finished files are never picked again
     assert P.tidy_landing(spark, c) == 5
     assert [f for r, _, fs in os.walk(c.landing) for f in fs if f.endswith(".parquet")] == []
+
+
+def test_stream_with_moves(spark, tmp_path):
+    import os
+
+    c = P.PipelineConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "lake"),
+                         archive_dir=str(tmp_path / "archive"))
+    P.bootstrap(spark, c, dimension(spark))
+    landing(spark, c.landing, 5, 100)
+    landing(spark, c.landing, 5, 100, key_offset=1000, folder="zz")
+    run_stream_to_end(spark, c, clock=clock)
+    assert enriched(spark, c).count() == 1000
+    assert [f for r, _, fs in os.walk(c.landing) for f in fs if f.endswith(".parquet")] == []
+    run_stream_to_end(spark, c, clock=lambda i: clock(50 + i))  # restart: nothing new, nothing missing
+    assert enriched(spark, c).count() == 1000

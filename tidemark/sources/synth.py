@@ -17,6 +17,8 @@ from tidemark.schemas import LANDING_SCHEMA, SHIPPING_TYPES, US_STATES
 PRICE_RANGE = (10.0, 100.0)
 QUANTITY_RANGE = (1, 5)
 DATE_RANGE = (datetime(2020, 1, 1, tzinfo=timezone.utc), datetime(2025, 12, 31, tzinfo=timezone.utc))
+
+# Our own small vocabulary for the free-text word columns (category, referral).
 WORDS = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf", "hotel", "india", "juliet"]
 
 

@@ -27,11 +27,15 @@ _VERSION = "__source_version"
 def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, available_now: bool = True,
                   processing_time: str | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains the folder and stops."""
-    source = (spark.readStream.schema(LANDING_SCHEMA)
+    reader = (spark.readStream.schema(LANDING_SCHEMA)
               .option("maxFilesPerTrigger", cfg.max_files)
               .option("pathGlobFilter", cfg.pattern)
-              .option("recursiveFileLookup", "true")  # same files as the batch listing
-              .parquet(cfg.landing)
+              .option("recursiveFileLookup", "true"))  # same files as the batch listing
+    if cfg.archive_dir or cfg.quarantine_files_dir:
+        # a micro-batch replayed after its files were moved reads as empty: the ledger
+        # already has those files in a final state, so there is nothing left to do
+        reader = reader.option("ignoreMissingFiles", "true")
+    source = (reader.parquet(cfg.landing)
               .withColumn(_PATH, F.col("_metadata.file_path"))
               .withColumn(_VERSION, F.unix_millis(F.col("_metadata.file_modification_time"))))
 
