@@ -100,3 +100,14 @@ def test_upsert_table_batch_level_empties_old_folder(spark, tmp_path):
     out = read_table(spark, t, keep_hidden=True).collect()
     assert sorted((r.invoiceid, r.v) for r in out) == [(0, "upd"), (1, "upd")]
     assert all(r.batch_id != "b1" for r in out)
+
+
+def test_upsert_table_unpartitioned(spark, tmp_path):
+    from tidemark.plans.tables import upsert_table
+
+    t = create_table(spark, Table(str(tmp_path / "flat"), SCHEMA))
+    append(t, rows(spark, 4))
+    src = rows(spark, 2, 3).withColumn("v", F.lit("new"))  # invoice 3 updated, 4 inserted
+    upsert_table(spark, t, src, "invoiceid")
+    got = {r.invoiceid: r.v for r in read_table(spark, t).collect()}
+    assert got == {0: "v0", 1: "v1", 2: "v2", 3: "new", 4: "new"}
