@@ -311,3 +311,59 @@ def test_stream_with_moves(spark, tmp_path):
     assert [f for r, _, fs in os.walk(c.landing) for f in fs if f.endswith(".parquet")] == []
     run_stream_to_end(spark, c, clock=lambda i: clock(50 + i))  # restart: nothing new, nothing missing
     assert enriched(spark, c).count() == 1000
+
+
+def test_target_probe_reads_only_overlapping_batch_folders(spark, tmp_path):
+    from tidemark.operators.quality import RowCountBetween
+
+    c = P.PipelineConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "lake"), max_files=1,
+                         suite=(RowCountBetween(1, None),), min_records=1)
+    P.bootstrap(spark, c, dimension(spark))
+    def growing(off, folder):  # invoice ids off .. off+99: ids grow from batch to batch
+        df = synth_transactions(spark.range(off, off + 100), "id").coalesce(1)
+        df = df.withColumn("invoiceid", F.monotonically_increasing_id() + F.lit(off))  # one partition: 0..99
+        df.write.mode("append").parquet(f"{c.landing}/{folder}")
+
+    for i, off in enumerate([0, 1000, 2000]):  # three batches with growing, disjoint invoice ids
+        growing(off, f"f{i}")
+        assert P.run_batch(spark, c, clock(i)).inserted == 100
+    dim = spark.read.parquet(f"{c.root}/dimension")
+    enr_t = c.enriched_table(dim.schema)
+    ledger = read_ledger(spark, c.ledger_path)
+    batches = sorted({r.batch_id for r in ledger.collect()})
+    kr = {r.batch_id: (r.key_min, r.key_max) for r in ledger.filter("state = 'archived'").collect()}
+    assert all(lo is not None and lo <= hi for lo, hi in kr.values())
+    # a key range inside the second batch's range: only that folder is probed
+    lo, hi = kr[batches[1]]
+    probe = P.probe_target(spark, enr_t, ledger, "current", lo, hi, 100)
+    assert all(f"batch_id={batches[1]}" in f for f in probe.inputFiles())
+    assert probe.count() == 100
+    # too many folders for the bound: read the whole table
+    assert P.probe_target(spark, enr_t, ledger, "current", 0, 10**9, 2) is None
+    # a re-delivery of the first batch's ids is still recognised with pruning on
+    growing(0, "g_again")
+    r = P.run_batch(spark, c, clock(9))
+    assert r.status == "loaded" and r.inserted == 0
+    assert enriched(spark, c).count() == 300
+
+
+def test_target_probe_keeps_untracked_folders(spark, tmp_path):
+    from tidemark.plans.tables import append as table_append
+
+    c = P.PipelineConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "lake"))
+    P.bootstrap(spark, c, dimension(spark))
+    landing(spark, c.landing, 5, 100)
+    P.run_batch(spark, c, clock(0))
+    dim = spark.read.parquet(f"{c.root}/dimension")
+    enr_t = c.enriched_table(dim.schema)
+    rows = P.read_table(spark, enr_t).limit(3)
+    table_append(enr_t, rows, batch_id="loaded-elsewhere")  # content the ledger never saw
+    ledger = read_ledger(spark, c.ledger_path)
+    probe = P.probe_target(spark, enr_t, ledger, "current", 10**12, 10**12 + 1, 100)
+    assert probe.count() == 3  # the tracked batch is skipped (range misses), the untracked one kept
+    # unknown layout (a data file at the table root): no pruning
+    spark.range(1).write.mode("append").parquet(f"{enr_t.path}/../stray")
+    import shutil, glob
+    f = glob.glob(f"{c.root}/stray/*.parquet")[0]
+    shutil.copy(f, f"{enr_t.path}/stray.parquet")
+    assert P.probe_target(spark, enr_t, ledger, "current", 0, 1, 100) is None

@@ -30,9 +30,18 @@ def _not_null(keys: list[str]):
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def source_key_size(source: DataFrame, keys: str | list[str], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    refuse_duplicates: bool = False):
+    """The size probe of the source's non-NULL keys (rows, bytes, min/max of a single key)."""
+    keys = _keys(keys)
+    single = keys[0] if len(keys) == 1 else None
+    src_keys = source.select(*keys).filter(_not_null(keys))
+    return measure(src_keys, max_rows, key=single if refuse_duplicates else None, bounds_of=single)
+
+
 def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
                  max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int | None = None,
-                 refuse_duplicates: bool = False) -> DataFrame | None:
+                 refuse_duplicates: bool = False, size=None) -> DataFrame | None:
     """Distinct keys present in both sides, computed without shuffling the target.
 
     The source's distinct non-NULL keys are measured; if they are provably
@@ -48,7 +57,8 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
     src_keys = source.select(*keys).filter(_not_null(keys))
     # rows bound distinct keys from above: measuring without the distinct saves a shuffle
     single = keys[0] if len(keys) == 1 else None
-    size = measure(src_keys, max_rows, key=single if refuse_duplicates else None, bounds_of=single)
+    if size is None:  # a caller that already probed the source passes ``size``
+        size = measure(src_keys, max_rows, key=single if refuse_duplicates else None, bounds_of=single)
     if not fits_broadcast(size, max_bytes):
         if refuse_duplicates:
             check_unique(source, keys)
@@ -72,10 +82,14 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
 
 
 def merge_insert(target: DataFrame, source: DataFrame, keys: str | list[str],
-                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int | None = None) -> DataFrame:
-    """Source rows to append (not matched by key). No dedupe, NULL keys kept."""
+                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int | None = None,
+                 size=None) -> DataFrame:
+    """Source rows to append (not matched by key). No dedupe, NULL keys kept.
+
+    ``size``: the source's key probe (``source_key_size``) if the caller already has it.
+    """
     keys = _keys(keys)
-    hit = matched_keys(target, source, keys, max_rows, max_bytes)
+    hit = matched_keys(target, source, keys, max_rows, max_bytes, size=size)
     if hit is not None:
         # hit is a subset of the measured source keys, so its size is bounded too.
         return source.join(F.broadcast(hit), keys, "left_anti")

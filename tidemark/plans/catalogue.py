@@ -500,7 +500,8 @@ def q_ledger_next_batch(spark: SparkSession, sf: str) -> DataFrame:
         "path", F.lit("b0").alias("batch_id"), F.lit(None).cast("timestamp").alias("batch_time"),
         F.lit("archived").alias("state"), F.lit(None).cast("timestamp").alias("updated_at"),
         F.lit(0).cast("long").alias("seq"), F.lit(None).cast("long").alias("watermark_us"),
-        F.lit(None).cast("long").alias("version"))
+        F.lit(None).cast("long").alias("version"), F.lit(None).cast("long").alias("key_min"),
+        F.lit(None).cast("long").alias("key_max"))
     return next_batch(listing, done, 5)
 
 
@@ -520,7 +521,8 @@ def q_ledger_current_state(spark: SparkSession, sf: str) -> DataFrame:
     ledger = e.select(F.col("user_id").cast("string").alias("path"), F.lit(None).cast("string").alias("batch_id"),
                       F.lit(None).cast("timestamp").alias("batch_time"), F.col("event_type").alias("state"),
                       F.col("ts").alias("updated_at"), F.col("event_id").alias("seq"),
-                      F.lit(None).cast("long").alias("watermark_us"), F.lit(None).cast("long").alias("version"))
+                      F.lit(None).cast("long").alias("watermark_us"), F.lit(None).cast("long").alias("version"),
+                      F.lit(None).cast("long").alias("key_min"), F.lit(None).cast("long").alias("key_max"))
     return current_state(ledger).select("path", "state")
 
 

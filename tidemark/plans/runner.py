@@ -27,9 +27,10 @@ from tidemark.operators.increment import high_water_mark, increment
 from tidemark.operators.ledger import (LedgerSummary, batch_paths, compact_ledger, current_state,
                                        log_days_since_snapshot, names_of, next_batch, read_ledger, record,
                                        summarise_ledger)
-from tidemark.operators.merge import merge_insert
+from tidemark.operators.merge import merge_insert, source_key_size
 from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
-from tidemark.plans.tables import BATCH_COL, Table, append, create_table, overwrite, read_batch, read_table
+from tidemark.plans.tables import (BATCH_COL, Table, append, create_table, overwrite, read_batch, read_batches,
+                                   read_table)
 from tidemark.schemas import (DEFAULT_MAX_FILES, DEFAULT_MIN_PASS_RATE, DEFAULT_MIN_RECORDS, DIMENSION_KEY,
                               RAW_SCHEMA, enriched_schema)
 from tidemark.sources.files import list_files, read_landing
@@ -58,6 +59,9 @@ class PipelineConfig:
     compact_after_days: int | None = 7
     # schema of the dimension table (as returned by ``bootstrap``): saves schema inference per batch
     dimension_schema: T.StructType | None = None
+    # probe only the enriched batch folders whose recorded key range overlaps the increment's
+    prune_target: bool = True
+    max_probe_folders: int = 2000
 
     @property
     def ledger_path(self) -> str:
@@ -215,20 +219,54 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
         raw_rows = read_batch(spark, raw_t, batch_id)
     new = increment(raw_rows, mark, "processed_date", batch_col=BATCH_COL, min_batch=min_batch)
     enriched_new = enrich(new.select(*raw_t.columns), dim, cfg.fact_key, cfg.dim_key)
-    to_insert = merge_insert(target, enriched_new, cfg.key)
+    size = source_key_size(enriched_new, cfg.key)
+    integral = isinstance(enr_t.schema[cfg.key].dataType, T.IntegralType)
+    if integral and cfg.prune_target and summary.completed > 0 and size.key_min is not None:
+        probe = probe_target(spark, enr_t, read_ledger(spark, cfg.ledger_path), batch_id,
+                             int(size.key_min), int(size.key_max), cfg.max_probe_folders)
+        if probe is not None:
+            target = probe
+    to_insert = merge_insert(target, enriched_new, cfg.key, size=size)
     # metrics of the rows actually written, gathered by the write job itself
     obs = Observation(f"insert_{batch_id}")
-    to_insert = to_insert.observe(obs, F.count(F.lit(1)).alias("n"),
-                                  timestamp_to_micros(F.max("processed_date"), T.TimestampType()).alias("m"))
+    metrics = [F.count(F.lit(1)).alias("n"),
+               timestamp_to_micros(F.max("processed_date"), T.TimestampType()).alias("m")]
+    if integral:
+        metrics += [F.min(cfg.key).cast("long").alias("kmin"), F.max(cfg.key).cast("long").alias("kmax")]
+    to_insert = to_insert.observe(obs, *metrics)
     append(enr_t, to_insert, batch_id, cluster="local")
     got = obs.get
     new_mark = max([m for m in (mark, got.get("m")) if m is not None], default=None)
-    record(spark, cfg.ledger_path, files, batch_id, batch_time, ("loaded", "archived"), watermark_us=new_mark)
+    key_range = None
+    if integral:  # (1, 0): tracked, no non-NULL key inserted
+        key_range = (got["kmin"], got["kmax"]) if got.get("kmin") is not None else (1, 0)
+    record(spark, cfg.ledger_path, files, batch_id, batch_time, ("loaded", "archived"), watermark_us=new_mark,
+           key_range=key_range)
     if cfg.archive_dir:
         move_files(spark, paths, cfg.landing, cfg.archive_dir)
     return BatchResult("loaded", batch_id, batch_time, tuple(paths), quality, tuple(results), int(got["n"]))
 
 
+def probe_target(spark: SparkSession, table: Table, ledger: DataFrame, exclude_batch: str, lo: int, hi: int,
+                 limit: int) -> DataFrame | None:
+    """The part of the enriched table that can hold keys in ``[lo, hi]``, or None (read it all).
+
+    Every batch folder except the current one is kept unless the ledger recorded
+    the key range that batch inserted and the range misses ``[lo, hi]``; folders
+    the ledger does not know (rows loaded another way, upsert folders) are kept.
+    Data files outside ``batch_id=`` folders make the layout unknown: None.
+    """
+    from tidemark.operators.ledger import batches_to_probe
+    from tidemark.sources.fs import child_entries
+
+    entries = [(n, d) for n, d in child_entries(spark, table.path) if not n.startswith(("_", "."))]
+    if any(not d or not n.startswith(f"{BATCH_COL}=") for n, d in entries):
+        return None
+    folders = [n.split("=", 1)[1] for n, _ in entries]
+    keep = batches_to_probe(spark, ledger, [f for f in folders if f != exclude_batch], lo, hi, limit)
+    return None if keep is None else read_batches(spark, table, keep)
+
+
 def tidy_landing(spark: SparkSession, cfg: PipelineConfig, max_moves: int = 1000) -> int:
     """Finish moves interrupted by a crash: files still in the landing area whose ledger
     state is already archived/quarantined are moved (at most ``max_moves`` per call)."""

@@ -87,6 +87,15 @@ def read_batch(spark: SparkSession, table: Table, batch_id: str) -> DataFrame:
         raise
 
 
+def read_batches(spark: SparkSession, table: Table, batch_ids: list[str]) -> DataFrame:
+    """Visible columns of the given batch folders only, addressed by path."""
+    if not batch_ids:
+        return spark.createDataFrame([], table.schema)
+    folders = [f"{table.path.rstrip('/')}/{BATCH_COL}={b}" for b in batch_ids]
+    df = spark.read.schema(table.full_schema()).option("basePath", table.path).parquet(*folders)
+    return df.select(*table.columns)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """By-name column resolution (K1): same column set required; types cast to the table's."""
     have, want = set(df.columns), [f.name for f in schema.fields]

@@ -137,6 +137,9 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("watermark_us", T.LongType()),
     T.StructField("version", T.LongType()),
+    # range of the (integral) merge keys the batch inserted; min > max means none
+    T.StructField("key_min", T.LongType()),
+    T.StructField("key_max", T.LongType()),
 ])
 
 LEDGER_STATES = ("pending", "loaded", "archived", "quarantined")

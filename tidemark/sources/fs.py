@@ -55,6 +55,14 @@ def child_dirs(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
     return sorted(out)
 
 
+def child_entries(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """Direct children of ``folder`` as (name, is_folder); one listing call."""
+    fs, root = _fs_path(spark, folder)
+    if not fs.exists(root):
+        return []
+    return sorted((st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(root))
+
+
 def delete_dir(spark: SparkSession, folder: str) -> None:
     fs, p = _fs_path(spark, folder)
     fs.delete(p, True)
