@@ -10,6 +10,11 @@ Replay safety (a retry after a crash at any point gives the same tables):
   the anti-join and for the high-water mark, and the mark is read from the
   ledger (recorded at each completed merge), not recomputed from the table;
 * the ledger says ``loaded`` only after both writes.
+
+What a batch reads: its own landing files, its own raw folder (after the first
+merge), the ledger (one snapshot + a few day folders), the dimension (size
+checked once per version) and, for the anti-join, the key column of only
+those enriched batch folders whose recorded key range overlaps its keys.
 """
 
 from __future__ import annotations
