@@ -8,7 +8,6 @@ the runner builds it (batch-folder increment, pruned target probe).
 from __future__ import annotations
 
 import sys
-import tempfile
 from datetime import datetime, timedelta, timezone
 
 sys.path.insert(0, ".")
@@ -22,6 +21,7 @@ from tidemark.operators.ledger import read_ledger, summarise_ledger  # noqa: E40
 from tidemark.operators.merge import merge_insert, source_key_size  # noqa: E402
 from tidemark.operators.quality import RowCountBetween  # noqa: E402
 from tidemark.operators.rollup import rollup_dimension  # noqa: E402
+from tidemark.session import scratch_path  # noqa: E402
 from tidemark.sources.fixtures import county_rows  # noqa: E402
 from tidemark.sources.synth import synth_transactions  # noqa: E402
 
@@ -35,7 +35,7 @@ def main() -> None:
              .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "8")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    root = tempfile.mkdtemp(prefix="explain-batch-")
+    root = scratch_path(spark, "explain-batch")
     cfg = R.PipelineConfig(landing=f"{root}/landing", root=f"{root}/lake", max_files=1,
                            suite=(RowCountBetween(1, None),), min_records=1, fact_key="state")
     R.bootstrap(spark, cfg, rollup_dimension(county_rows(spark, sf), key="State"))
