@@ -367,3 +367,19 @@ def test_target_probe_keeps_untracked_folders(spark, tmp_path):
     f = glob.glob(f"{c.root}/stray/*.parquet")[0]
     shutil.copy(f, f"{enr_t.path}/stray.parquet")
     assert P.probe_target(spark, enr_t, ledger, "current", 0, 1, 100) is None
+
+
+def test_command_line_stream(spark, tmp_path):
+    from tidemark.cli import main
+    from tidemark.schemas import DIMENSION_KEY
+
+    csv = str(tmp_path / "dim.csv")
+    dimension(spark).write.option("header", True).csv(csv)
+    root, land = str(tmp_path / "lake"), str(tmp_path / "landing")
+    main(["bootstrap", "--landing", land, "--root", root, "--dimension-csv", csv], spark=spark)
+    landing(spark, land, 5, 100)
+    assert main(["stream", "--landing", land, "--root", root], spark=spark) == {"stream": "done"}
+    dim = spark.read.parquet(f"{root}/dimension")
+    assert DIMENSION_KEY in dim.columns
+    e = P.read_table(spark, P.PipelineConfig(landing=land, root=root).enriched_table(dim.schema))
+    assert e.count() == 500
