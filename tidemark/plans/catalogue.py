@@ -14,7 +14,6 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.columns import (derive_check_columns, epoch_to_timestamp, month_index,
                                         normalise_names, timestamp_to_epoch)
