@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +31,8 @@ def prepare_dimension(dim: DataFrame, key: str = DIMENSION_KEY, prefix: str = EN
     return dim.select(*out)
 
 
-_SIZES: dict[tuple, object] = {}
+_SIZES: OrderedDict[tuple, object] = OrderedDict()
+_SIZES_KEPT = 32  # dimension versions remembered (a long-running driver sees a few)
 
 
 def _measured(right: DataFrame, max_rows: int, check_keys: bool):
@@ -44,10 +47,13 @@ def _measured(right: DataFrame, max_rows: int, check_keys: bool):
     except Exception:  # noqa: BLE001 - plans without a stable hash are simply measured
         key = None
     if key is not None and key in _SIZES:
+        _SIZES.move_to_end(key)
         return _SIZES[key]
     size = measure(right, max_rows, key=_KEY if check_keys else None)
     if key is not None and right.inputFiles():
         _SIZES[key] = size
+        while len(_SIZES) > _SIZES_KEPT:
+            _SIZES.popitem(last=False)
     return size
 
 
