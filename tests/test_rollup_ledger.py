@@ -80,3 +80,15 @@ def test_same_name_new_version_is_a_new_file(spark):
     ledger = ledger_rows(spark, [("s3a://b/raw/t1.parquet", 100), ("s3a://b/raw/t2.parquet", 100)], "b0", t,
                          "archived")
     assert [r.path for r in next_batch(listing, ledger, 5).collect()] == ["s3a://b/raw/t1.parquet"]
+
+
+def test_batches_to_probe_edges(spark):
+    from tidemark.operators.ledger import batches_to_probe
+
+    t = datetime(2024, 1, 1)
+    ledger = ledger_rows(spark, ["a"], "b1", t, "archived", key_range=(10, 20)).unionByName(
+        ledger_rows(spark, ["b"], "b2", t, "archived", key_range=(1, 0)))  # b2: no key inserted
+    assert batches_to_probe(spark, ledger, [], 0, 100, 10) == []
+    assert batches_to_probe(spark, ledger, ["b1", "b2", "b9"], 15, 15, 10) == ["b1", "b9"]  # b9 untracked
+    assert batches_to_probe(spark, ledger, ["b1", "b2"], 21, 30, 10) == []
+    assert batches_to_probe(spark, ledger, ["b1", "b9"], 0, 100, 1) is None  # over the bound
