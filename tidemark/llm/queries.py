@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adaptive_quality, jump_shards, tree_mix
+from . import adaptive_quality, icws_dedup, jump_shards, tree_mix, winnowing
 from .common import table
 
 SHARDS = 8
@@ -39,13 +39,24 @@ def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.shard_rows(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.decontamination_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("spans")
+
+
 def op8_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_mix.mix_rows(table(spark, sf_dir, "documents"), mix_levels(), MIX)
 
 
+def op10_icws_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return icws_dedup.near_duplicate_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_adaptive_quality": op4_adaptive_quality,
     "op5_jump_shards": op5_jump_shards,
+    "op6_winnowing": op6_winnowing,
     "op8_tree_mix": op8_tree_mix,
+    "op10_icws_near_dedup": op10_icws_near_dedup,
 }
 ORACLES: dict[str, str] = {}
