@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adaptive_quality, icws_dedup, jump_shards, tree_mix, winnowing
+from . import adaptive_quality, icws_dedup, jump_shards, markov_secrets, tree_mix, winnowing
 from .common import table
 
 SHARDS = 8
@@ -44,6 +44,10 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op7_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markov_secrets.secret_rows(table(spark, sf_dir, "documents"))
+
+
 def op8_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_mix.mix_rows(table(spark, sf_dir, "documents"), mix_levels(), MIX)
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_adaptive_quality": op4_adaptive_quality,
     "op5_jump_shards": op5_jump_shards,
     "op6_winnowing": op6_winnowing,
+    "op7_markov_secrets": op7_markov_secrets,
     "op8_tree_mix": op8_tree_mix,
     "op10_icws_near_dedup": op10_icws_near_dedup,
 }
