@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adaptive_quality, icws_dedup, jump_shards, markov_secrets, tree_mix, winnowing
+from . import adaptive_quality, icws_dedup, jump_shards, langid, markov_secrets, pairwise_quality, tree_mix, winnowing
 from .common import table
 
 SHARDS = 8
@@ -31,6 +31,10 @@ def mix_levels() -> dict[str, Column]:
     return {"domain": domain(F.col("source")), "lang": F.col("lang"), "source": F.col("source")}
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_rows(table(spark, sf_dir, "documents"))
+
+
 def op4_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality.quality_rows(table(spark, sf_dir, "documents"))
 
@@ -52,16 +56,22 @@ def op8_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_mix.mix_rows(table(spark, sf_dir, "documents"), mix_levels(), MIX)
 
 
+def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairwise_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_icws_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return icws_dedup.near_duplicate_rows(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op4_adaptive_quality": op4_adaptive_quality,
     "op5_jump_shards": op5_jump_shards,
     "op6_winnowing": op6_winnowing,
     "op7_markov_secrets": op7_markov_secrets,
     "op8_tree_mix": op8_tree_mix,
+    "op9_pairwise_quality": op9_pairwise_quality,
     "op10_icws_near_dedup": op10_icws_near_dedup,
 }
 ORACLES: dict[str, str] = {}
