@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adaptive_quality, chunk_dedup, icws_dedup, jump_shards, langid, markov_secrets, pairwise_quality, tree_mix, winnowing
+from . import adaptive_quality, chunk_dedup, html_text, icws_dedup, jump_shards, langid, markov_secrets, pairwise_quality, tree_mix, winnowing
 from .common import table
 
 SHARDS = 8
@@ -35,6 +35,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_rows(table(spark, sf_dir, "documents"))
 
 
+def op2_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted_rows(table(spark, sf_dir, "pages"))
+
+
 def op3_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeat_rows(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ def op10_icws_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_html_layout": op2_html_layout,
     "op3_chunk_dedup": op3_chunk_dedup,
     "op4_adaptive_quality": op4_adaptive_quality,
     "op5_jump_shards": op5_jump_shards,
