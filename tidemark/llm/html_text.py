@@ -198,16 +198,19 @@ class Writer:
 
     def __init__(self) -> None:
         self.lines: list[str] = []
-        self.now = ""
+        self.now: list[str] = []  # pieces of the current line
         self.pending = 0
         self.space = False
         self.indent = ""
         self.marker = ""
 
+    def _end_line(self) -> None:
+        self.lines.append("".join(self.now).rstrip(" "))
+        self.now = []
+
     def _flush(self) -> None:
         if self.now:
-            self.lines.append(self.now.rstrip(" "))
-            self.now = ""
+            self._end_line()
 
     def need(self, breaks: int) -> None:
         self.space = False
@@ -215,8 +218,7 @@ class Writer:
 
     def newline(self) -> None:
         if self.now or (self.lines and not self.pending):
-            self.lines.append(self.now.rstrip(" "))
-            self.now = ""
+            self._end_line()
         self.space = False
 
     def _begin(self) -> None:
@@ -226,7 +228,8 @@ class Writer:
                 self.lines.append("")
             self.pending = 0
         if not self.now:
-            self.now = self.indent[:len(self.indent) - len(self.marker)] + self.marker if self.marker else self.indent
+            lead = self.indent[:len(self.indent) - len(self.marker)] + self.marker if self.marker else self.indent
+            self.now = [lead] if lead else []
             self.marker = ""
 
     def words(self, data: str) -> None:
@@ -237,25 +240,25 @@ class Writer:
         fresh = bool(self.pending) or not self.now
         self._begin()
         if not fresh and (self.space or data[0].isspace()):
-            self.now += " "
-        self.now += " ".join(words)
+            self.now.append(" ")
+        self.now.append(" ".join(words))
         self.space = data[-1].isspace()
 
     def verbatim(self, data: str) -> None:
         first, *more = data.split("\n")
         if first or more:
             self._begin()
-            self.now += first
+            self.now.append(first)
         for line in more:
-            self.lines.append(self.now.rstrip(" "))
-            self.now = self.indent + line
+            self._end_line()
+            self.now = [x for x in (self.indent, line) if x]
         self.space = False
 
     def block(self, lines: list[str]) -> None:
         for line in lines:
             self.need(1)
             self._begin()
-            self.now += line
+            self.now.append(line)
         self.need(1)
 
     def done(self) -> list[str]:
