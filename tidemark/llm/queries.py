@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adaptive_quality, chunk_dedup, html_text, icws_dedup, jump_shards, langid, markov_secrets, pairwise_quality, tree_mix, winnowing
+from . import adaptive_quality, chunk_dedup, html_text, icws_dedup, jump_shards, langid, markov_secrets, oracles, pairwise_quality, tree_mix, winnowing
 from .common import table
 
 SHARDS = 8
@@ -84,4 +84,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pairwise_quality": op9_pairwise_quality,
     "op10_icws_near_dedup": op10_icws_near_dedup,
 }
-ORACLES: dict[str, str] = {}
+_DOMAIN_SQL = """CASE WHEN regexp_matches(source, '^src[0-9]{1,6}$') THEN
+  CASE WHEN substr(source, 4)::INT < 8 THEN 'web' WHEN substr(source, 4)::INT < 14 THEN 'books'
+       WHEN substr(source, 4)::INT < 20 THEN 'forums' ELSE 'other' END ELSE 'other' END"""
+
+#: The other queries learn models, hash at random or build trees: they are tested against
+#: brute force, held-out accuracy or fixtures instead.
+ORACLES: dict[str, str] = {
+    "op4_adaptive_quality": oracles.OP4,
+    "op5_jump_shards": oracles.OP5,
+    "op6_winnowing": oracles.OP6,
+    "op7_markov_secrets": oracles.OP7,
+    "op8_tree_mix": oracles.op8(MIX, _DOMAIN_SQL),
+}
