@@ -189,10 +189,16 @@ def limits_of(rows: DataFrame, f: Fences, lang: str = "lang", source: str = "sou
 
 
 def judged(rows: DataFrame, limits: DataFrame, lang: str, source: str) -> DataFrame:
-    """``rows`` (with ``counts``) plus ``kept``, joined with the fences of their group."""
+    """``rows`` (with ``counts``) plus ``kept``, joined with the fences of their group.
+
+    ``kept`` is one CASE over both sides of the join on purpose. As a conjunction, its part
+    over the counts could be pushed down into the measuring of the texts, whose steps would
+    then be nested into one expression and repeated for every word.
+    """
     out = rows.join(limits, F.col(lang).eqNullSafe(F.col("f_lang"))
                     & F.col(source).eqNullSafe(F.col("f_source")), "left")
-    return out.withColumn("kept", ~base_failed() & F.coalesce(inside(), F.lit(True)))
+    known = F.col("limit").isNull() | inside()
+    return out.withColumn("kept", F.when(known, ~base_failed()).otherwise(F.lit(False)))
 
 
 def _group_keys() -> list[Column]:
