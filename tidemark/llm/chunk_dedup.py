@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
+from .common import small_batches
 from .wordhash import U64, _powers, mix64, pieces, raw_bytes
 
 WINDOW_STEPS = 4  # the gear hash covers 1 << WINDOW_STEPS bytes
@@ -112,8 +113,9 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 
 def _staged_chunks(rows: DataFrame) -> DataFrame:
     path = scratch_path(rows.sparkSession, "chunks")
-    rows.mapInArrow(_chunks, "uid long, doc_id long, start int, end int, n_bytes int, d1 long, d2 long"
-                    ).write.parquet(path)
+    chunks = rows.mapInArrow(_chunks, "uid long, doc_id long, start int, end int, n_bytes int, d1 long, d2 long")
+    with small_batches(rows.sparkSession):
+        chunks.write.parquet(path)
     return rows.sparkSession.read.parquet(path)
 
 
