@@ -38,7 +38,7 @@ def test_current_state_uses_seq_for_equal_times(spark):
     ledger = spark.createDataFrame(rows, LEDGER_SCHEMA)
     state = {r.path: r.state for r in current_state(ledger).collect()}
     assert state == {"f": "archived", "g": "pending"}
-    pend = pending_batch(ledger, 5)
+    pend = pending_batch(ledger)
     assert pend.batch_id == "b2" and pend.paths == ["g"]
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast, measure
 from tidemark.schemas import DIMENSION_KEY, ENRICHED_PREFIX, enriched_name
+from tidemark.sources.fs import file_versions
 
 _KEY = "__dim_key"
 
@@ -33,24 +34,26 @@ def prepare_dimension(dim: DataFrame, key: str = DIMENSION_KEY, prefix: str = EN
 
 _SIZES: OrderedDict[tuple, object] = OrderedDict()
 _SIZES_KEPT = 32  # dimension versions remembered (a long-running driver sees a few)
+_FILES_KEPT = 64  # files of a dimension whose measures are remembered
 
 
 def _measured(right: DataFrame, max_rows: int, check_keys: bool):
     """Size (and key uniqueness) of the prepared dimension, measured once per dimension version.
 
-    The cache key is the plan's semantic hash plus the files it reads, so an
-    overwritten dimension (new files) is measured again; an hourly pipeline
-    does not pay a job per batch for an unchanged dimension.
+    The cache key is the plan's semantic hash plus name, length and time of the
+    files it reads, so an overwritten dimension is measured again, also under the
+    same names; an hourly pipeline does not pay a job per batch for an unchanged
+    dimension. A dimension of many files is measured every time.
     """
-    try:
-        key = (right.semanticHash(), tuple(sorted(right.inputFiles())), max_rows, check_keys)
-    except Exception:  # noqa: BLE001 - plans without a stable hash are simply measured
-        key = None
+    key = None
+    files = right.inputFiles()
+    if 0 < len(files) <= _FILES_KEPT:
+        key = (right.semanticHash(), file_versions(right.sparkSession, sorted(files)), max_rows, check_keys)
     if key is not None and key in _SIZES:
         _SIZES.move_to_end(key)
         return _SIZES[key]
     size = measure(right, max_rows, key=_KEY if check_keys else None)
-    if key is not None and right.inputFiles():
+    if key is not None:
         _SIZES[key] = size
         while len(_SIZES) > _SIZES_KEPT:
             _SIZES.popitem(last=False)
@@ -75,9 +78,9 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str = "state", dim_key: s
         max_bytes = broadcast_threshold(facts.sparkSession) or 50 * 1024 * 1024
     right = prepare_dimension(dim, dim_key, prefix, columns=columns)
     size = _measured(right, max_rows, on_duplicate == "error")
+    if size.duplicate_keys:  # at any size: the join strategy must not change the answer
+        raise DuplicateDimensionKey(f"dimension key {dim_key!r} is not unique")
     if fits_broadcast(size, max_bytes):
-        if size.duplicate_keys:
-            raise DuplicateDimensionKey(f"dimension key {dim_key!r} is not unique")
         right = F.broadcast(right)
     joined = facts.join(right, facts[fact_key] == right[_KEY], "left")
     return joined.drop(_KEY)

@@ -17,6 +17,9 @@ from tidemark.functions.columns import micros_to_timestamp, timestamp_to_micros
 from tidemark.schemas import BOOTSTRAP_WATERMARK
 
 
+STAMP_KEY = r"^[0-9]{8}T[0-9]{12}Z$"  # batch keys that sort like their stamp
+
+
 def high_water_mark(target: DataFrame, col: str = "processed_date") -> int | None:
     """MAX(col) of ``target`` as epoch microseconds, or None for an empty target."""
     dtype = target.schema[col].dataType
@@ -36,14 +39,16 @@ def increment(raw: DataFrame, watermark_us: int | None, col: str = "processed_da
               batch_col: str | None = None, min_batch: str | None = None) -> DataFrame:
     """Rows strictly above the mark; NULL stamps are never selected.
 
-    ``batch_col``/``min_batch``: when the table is partitioned by a batch key
-    that sorts like the stamp, ``batch_col >= min_batch`` is added so that old
-    partitions are not even listed. It never removes a qualifying row.
+    ``batch_col``/``min_batch``: when the table is partitioned by a batch key,
+    folders whose key is a stamp (``STAMP_KEY``) below ``min_batch`` are not even
+    listed. A NULL key or one that is no stamp is always read, so no qualifying row
+    is removed.
     """
     dtype = raw.schema[col].dataType
     out = raw.filter(F.col(col) > watermark_literal(watermark_us, dtype, bootstrap))
     if batch_col is not None and min_batch is not None:
-        out = out.filter(F.col(batch_col) >= F.lit(min_batch))
+        key = F.col(batch_col)
+        out = out.filter(key.isNull() | ~key.rlike(STAMP_KEY) | (key >= F.lit(min_batch)))
     return out
 
 

@@ -178,19 +178,18 @@ def log_days_since_snapshot(spark: SparkSession, ledger_path: str) -> int:
     return len(_ledger_parts(spark, ledger_path)[1])
 
 
-def pending_batch(ledger: DataFrame, max_files: int) -> PendingBatch | None:
-    """The batch that was started but not finished (crash before ``loaded``/``quarantined``).
+def pending_batch(ledger: DataFrame) -> PendingBatch | None:
+    """The first batch that was started but not finished (crash before ``loaded``/``quarantined``).
 
-    Reads at most ``max_files + 1`` rows to the driver.
+    All its files come back, whatever ``max_files`` is now: a batch is bounded by the
+    setting under which it was recorded.
     """
-    rows = (current_state(ledger).filter(F.col("state") == "pending")
-            .select("path", "batch_id", "batch_time").orderBy("batch_id", "path")
-            .limit(max_files + 1).collect())
-    if not rows:
+    rows = current_state(ledger).filter(F.col("state") == "pending")
+    first = rows.agg(F.min(F.struct("batch_id", "batch_time")).alias("b")).first()["b"]
+    if first is None:
         return None
-    first = rows[0]["batch_id"]
-    paths = [r["path"] for r in rows if r["batch_id"] == first]
-    return PendingBatch(first, rows[0]["batch_time"], paths)
+    paths = [r["path"] for r in rows.filter(F.col("batch_id") == first["batch_id"]).select("path").collect()]
+    return PendingBatch(first["batch_id"], first["batch_time"], sorted(paths))
 
 
 @dataclass(frozen=True)
@@ -199,7 +198,7 @@ class LedgerSummary:
     last_batch_time: datetime | None
     last_state: str | None  # state of the most recent row (of the latest batch)
     watermark_us: int | None  # mark recorded at the last completed merge
-    completed: int  # rows in a state other than pending
+    merged: int  # rows of merged batches (loaded or archived; a quarantined batch merged nothing)
 
     @property
     def pending(self) -> bool:
@@ -219,13 +218,22 @@ def summarise_ledger(ledger: DataFrame) -> LedgerSummary:
         F.max("batch_time").alias("t"),
         F.max_by("state", latest).alias("s"),
         F.max("watermark_us").alias("w"),
-        F.count_if(F.col("state") != "pending").alias("c"),
+        F.count_if(F.col("state").isin("loaded", "archived")).alias("c"),
     ).first()
     return LedgerSummary(row["b"], row["t"], row["s"], None if row["w"] is None else int(row["w"]), int(row["c"]))
 
 
-def batch_paths(ledger: DataFrame, batch_id: str, max_files: int) -> list[tuple[str, int | None]]:
-    """(path, version) of the files of one batch (at most ``max_files`` rows to the driver)."""
+def batch_paths(ledger: DataFrame, batch_id: str) -> list[tuple[str, int | None]]:
+    """(path, version) of all files of one batch, as many as were recorded when it was started."""
     rows = (ledger.filter((F.col("batch_id") == batch_id) & (F.col("state") == "pending"))
-            .select("path", "version").distinct().limit(max_files + 1).collect())
+            .select("path", "version").distinct().collect())
     return sorted((r[0], r[1]) for r in rows)
+
+
+def unmerged_batches(spark: SparkSession, ledger: DataFrame, folders: list[str]) -> list[str]:
+    """Those batch folders (ids) that the ledger does not record as merged."""
+    if not folders:
+        return []
+    merged = ledger.filter(F.col("state").isin("loaded", "archived")).select("batch_id").distinct()
+    names = spark.range(0, 1, 1, 1).select(F.explode(F.lit(list(folders))).alias("batch_id"))
+    return sorted(r[0] for r in names.join(merged, "batch_id", "left_anti").collect())

@@ -11,8 +11,8 @@ Replay safety (a retry after a crash at any point gives the same tables):
   ledger (recorded at each completed merge), not recomputed from the table;
 * the ledger says ``loaded`` only after both writes.
 
-What a batch reads: its own landing files, its own raw folder (after the first
-merge), the ledger (one snapshot + a few day folders), the dimension (size
+What a batch reads: its own landing files, its own raw folder and those that the
+ledger does not record as merged (after the first merge), the ledger (one snapshot + a few day folders), the dimension (size
 checked once per version) and, for the anti-join, the key column of only
 those enriched batch folders whose recorded key range overlaps its keys.
 """
@@ -31,15 +31,14 @@ from tidemark.operators.enrich import enrich
 from tidemark.operators.increment import high_water_mark, increment
 from tidemark.operators.ledger import (LedgerSummary, batch_paths, compact_ledger, current_state,
                                        log_days_since_snapshot, names_of, next_batch, read_ledger, record,
-                                       summarise_ledger)
+                                       summarise_ledger, unmerged_batches)
 from tidemark.operators.merge import merge_insert, source_key_size
 from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
-from tidemark.plans.tables import (BATCH_COL, Table, append, create_table, overwrite, read_batch, read_batches,
-                                   read_table)
+from tidemark.plans.tables import (BATCH_COL, Table, append, create_table, overwrite, read_batches, read_table)
 from tidemark.schemas import (DEFAULT_MAX_FILES, DEFAULT_MIN_PASS_RATE, DEFAULT_MIN_RECORDS, DIMENSION_KEY,
                               RAW_SCHEMA, enriched_schema)
-from tidemark.sources.files import list_files, read_landing
-from tidemark.sources.fs import move_files
+from tidemark.sources.files import list_files, read_landing, schema_faults
+from tidemark.sources.fs import child_entries, move_files
 
 PARTS = (BATCH_COL, "order_month")
 
@@ -138,8 +137,12 @@ def _dimension(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, T.S
 
 
 def _stamp(summary: LedgerSummary, wanted: datetime | None) -> datetime:
-    """Stamps must strictly increase across batches (strict ``>`` in the increment)."""
+    """Stamps must strictly increase across batches and lie above the mark (strict ``>`` in the
+    increment; a backfill may have raised the mark beyond the last batch's stamp)."""
     last = None if summary.last_batch_time is None else _utc(summary.last_batch_time)
+    if summary.watermark_us is not None:
+        mark = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=summary.watermark_us)
+        last = mark if last is None else max(last, mark)
     if wanted is not None:
         wanted = _utc(wanted)
         if last is not None and wanted <= last:
@@ -157,7 +160,7 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig, batch_time: datetime | N
     summary = summarise_ledger(ledger)
     if summary.pending:
         batch_id, stamp = summary.last_batch_id, _utc(summary.last_batch_time)
-        files = batch_paths(ledger, batch_id, cfg.max_files)
+        files = batch_paths(ledger, batch_id)
     else:
         listing = list_files(spark, cfg.landing, cfg.pattern)
         files = [(r["path"], r["version"]) for r in next_batch(listing, ledger, cfg.max_files).collect()]
@@ -179,15 +182,12 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     paths = names_of(files)
     if summary is None:
         summary = summarise_ledger(read_ledger(spark, cfg.ledger_path))
-    try:
+    readable = not schema_faults(spark, paths)  # broken footers, missing or extra columns, other types
+    if readable:
         results, quality = run_suite(derive_check_columns(batch), list(cfg.suite))  # one scan
-        readable = True
-    except Exception as exc:  # noqa: BLE001 - a file that cannot be read must not block every later batch
-        if not _is_read_error(exc):
-            raise
-        results, readable = [], False
-        quality = {"success": False, "total_expectations": len(cfg.suite), "passed_expectations": 0,
-                   "failed_expectations": len(cfg.suite), "pass_rate": 0.0, "record_count": None}
+    else:
+        results, quality = [], {"success": False, "total_expectations": len(cfg.suite), "passed_expectations": 0,
+                                "failed_expectations": len(cfg.suite), "pass_rate": 0.0, "record_count": None}
     decision = gate(quality, cfg.min_pass_rate, cfg.min_records)
     execution_date = cfg.execution_date or batch_time.strftime("%Y-%m-%d")
     write_audit(audit_frame(spark, quality, execution_date, batch_id, decision), cfg.audit_path, batch_id,
@@ -209,24 +209,27 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     enr_t = cfg.enriched_table(dim_schema)
     target = read_table(spark, enr_t, exclude_batch=batch_id)
     mark = summary.watermark_us  # pending batches carry no mark: this is the target without this batch
-    if mark is None and summary.completed == 0:
+    if mark is None and summary.merged == 0:
         mark = high_water_mark(target)  # first merge: the table may hold rows from elsewhere
-    if summary.completed == 0:
+    if summary.merged == 0:
         # first merge: the whole raw table above the mark (folders pruned by batch id)
         min_batch = batch_id_for(datetime.fromtimestamp(mark / 1e6, timezone.utc)) if mark is not None else None
         raw_rows = read_table(spark, raw_t, keep_hidden=True)
     else:
-        # Every earlier batch was merged before this one started, and the enriched table only
-        # grows: raw rows of earlier batches that are above the mark were all matched then and
-        # are matched now. So the increment is this batch's own folder, read by path: the raw
-        # table is never listed as a whole.
+        # Raw folders of merged batches hold nothing that a merge has not seen, and the enriched
+        # table only grows. What is left: this batch's own folder and folders that the ledger does
+        # not record as merged (a backfill written by another job). They are read by path: only
+        # folder names of the raw table are listed.
         min_batch = None
-        raw_rows = read_batch(spark, raw_t, batch_id)
+        folders = [n.split("=", 1)[1] for n, is_dir in child_entries(spark, raw_t.path)
+                   if is_dir and n.startswith(f"{BATCH_COL}=")]
+        raw_rows = read_batches(spark, raw_t, unmerged_batches(spark, read_ledger(spark, cfg.ledger_path), folders),
+                                keep_hidden=True)
     new = increment(raw_rows, mark, "processed_date", batch_col=BATCH_COL, min_batch=min_batch)
     enriched_new = enrich(new.select(*raw_t.columns), dim, cfg.fact_key, cfg.dim_key)
     size = source_key_size(enriched_new, cfg.key)
     integral = isinstance(enr_t.schema[cfg.key].dataType, T.IntegralType)
-    if integral and cfg.prune_target and summary.completed > 0 and size.key_min is not None:
+    if integral and cfg.prune_target and summary.merged > 0 and size.key_min is not None:
         probe = probe_target(spark, enr_t, read_ledger(spark, cfg.ledger_path), batch_id,
                              int(size.key_min), int(size.key_max), cfg.max_probe_folders)
         if probe is not None:
@@ -273,31 +276,22 @@ def probe_target(spark: SparkSession, table: Table, ledger: DataFrame, exclude_b
 
 
 def tidy_landing(spark: SparkSession, cfg: PipelineConfig, max_moves: int = 1000) -> int:
-    """Finish moves interrupted by a crash: files still in the landing area whose ledger
-    state is already archived/quarantined are moved (at most ``max_moves`` per call)."""
-    if not (cfg.archive_dir or cfg.quarantine_files_dir):
-        return 0
-    listing = list_files(spark, cfg.landing, cfg.pattern).select("path", "version")
-    done = (current_state(read_ledger(spark, cfg.ledger_path))
-            .filter(F.col("state").isin("archived", "quarantined")).select("path", "version", "state"))
-    left = listing.join(done, ["path", "version"], "inner").limit(max_moves).collect()
+    """Finish moves interrupted by a crash: all files still in the landing area whose ledger
+    state is already archived/quarantined are moved, ``max_moves`` at a time."""
+    where = {s: d for s, d in (("archived", cfg.archive_dir), ("quarantined", cfg.quarantine_files_dir)) if d}
     moved = 0
-    for state, dest in (("archived", cfg.archive_dir), ("quarantined", cfg.quarantine_files_dir)):
-        paths = [r["path"] for r in left if r["state"] == state]
-        if dest and paths:
-            moved += len(move_files(spark, paths, cfg.landing, dest))
+    while where:
+        listing = list_files(spark, cfg.landing, cfg.pattern).select("path", "version")
+        done = (current_state(read_ledger(spark, cfg.ledger_path))
+                .filter(F.col("state").isin(list(where))).select("path", "version", "state"))
+        left = listing.join(done, ["path", "version"], "inner").limit(max_moves).collect()
+        if not left:
+            break
+        for state, dest in where.items():
+            moved += len(move_files(spark, [r["path"] for r in left if r["state"] == state], cfg.landing, dest))
     return moved
 
 
-_READ_ERRORS = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "PARQUET_COLUMN_DATA_TYPE",
-                "Parquet column cannot be converted", "FileNotFoundException", "PATH_NOT_FOUND")
-
-
-def _is_read_error(exc: Exception) -> bool:
-    text = f"{type(exc).__name__} {exc}"
-    return any(m in text for m in _READ_ERRORS)
-
-
 def run_all(spark: SparkSession, cfg: PipelineConfig, clock=None, max_batches: int | None = None) -> list[BatchResult]:
     """Run batches until the landing area has nothing new. ``clock(i)`` gives batch i's stamp."""
     out: list[BatchResult] = []

@@ -87,13 +87,13 @@ def read_batch(spark: SparkSession, table: Table, batch_id: str) -> DataFrame:
         raise
 
 
-def read_batches(spark: SparkSession, table: Table, batch_ids: list[str]) -> DataFrame:
-    """Visible columns of the given batch folders only, addressed by path."""
+def read_batches(spark: SparkSession, table: Table, batch_ids: list[str], keep_hidden: bool = False) -> DataFrame:
+    """The given batch folders only, addressed by path (no listing of the rest of the table)."""
     if not batch_ids:
-        return spark.createDataFrame([], table.schema)
+        return spark.createDataFrame([], table.full_schema() if keep_hidden else table.schema)
     folders = [f"{table.path.rstrip('/')}/{BATCH_COL}={b}" for b in batch_ids]
     df = spark.read.schema(table.full_schema()).option("basePath", table.path).parquet(*folders)
-    return df.select(*table.columns)
+    return df if keep_hidden else df.select(*table.columns)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -7,6 +7,7 @@ cluster's ``spark.checkpoint.dir`` so that staged tables live on shared storage.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -65,14 +66,17 @@ def broadcast_threshold(spark: SparkSession) -> int:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a private folder is created
-    and registered with ``setCheckpointDir`` (the core setting itself cannot be
-    changed at run time).
+    Only when the setting is absent and the master is local (tests) a private
+    folder is created and registered with ``setCheckpointDir`` (the core setting
+    itself cannot be changed at run time). On a cluster a missing setting is an
+    error: a machine-local folder would lose what other executors write.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[.*\])?", sc.master or ""):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not root:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         root = sc.getCheckpointDir()

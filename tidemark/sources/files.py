@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError, Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,43 @@ def manifest_paths(manifest: DataFrame, max_files: int, path_col: str = "path")
     return [r[0] for r in rows]
 
 
+_NO_FOOTER = {"FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA"}
+
+
+def error_conditions(exc: Exception) -> set[str]:
+    """Spark's error conditions of an exception and its causes."""
+    if isinstance(exc, PySparkException):
+        return {exc.getCondition()} - {None}
+    found, cause = set(), exc.java_exception
+    while cause is not None:
+        try:
+            found.add(cause.getCondition())
+        except Py4JError:  # not an exception of Spark's own
+            pass
+        cause = cause.getCause()
+    return found - {None}
+
+
+def schema_faults(spark: SparkSession, paths: list[str], schema: T.StructType = LANDING_SCHEMA) -> list[str]:
+    """What is wrong with the columns of each file: names by name, types by type (one footer
+    read per file of a batch). A read with a declared schema would make a missing column NULL
+    and ignore an extra one."""
+    want = {f.name: f.dataType for f in schema.fields}
+    faults = []
+    for p in paths:
+        try:
+            have = {f.name: f.dataType for f in spark.read.parquet(p).schema.fields}
+        except (Py4JJavaError, PySparkException) as exc:
+            if not error_conditions(exc) & _NO_FOOTER:
+                raise  # a file system that does not answer, say: the batch stays pending and is retried
+            faults.append(f"{p}: no readable footer")
+            continue
+        for c in sorted(set(want) | set(have)):
+            if have.get(c) != want.get(c):
+                faults.append(f"{p}: {c} is {have.get(c)}, not {want.get(c)}")
+    return faults
+
+
 def read_landing(spark: SparkSession, paths: list[str], schema: T.StructType = LANDING_SCHEMA) -> DataFrame:
     """One scan over all batch files with the declared schema (no footer inference)."""
     if not paths:

@@ -20,9 +20,13 @@ def move_files(spark: SparkSession, paths: list[str], landing: str, dest_root: s
     """Move ``paths`` (below ``landing``) to the same relative place below ``dest_root``.
 
     Keeps the path relative to the landing root, so equal basenames in
-    different folders stay apart. Files already gone (moved by an earlier
-    attempt) are skipped.
+    different folders stay apart. If the place is taken by an earlier delivery,
+    the new file's modification time is added to its name; nothing is replaced.
+    Across file systems the file is copied, and its source deleted once the copy
+    is complete. Files already gone (moved by an earlier attempt) are skipped; a
+    move that fails raises.
     """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     _, root = _fs_path(spark, landing)
     root_s = root.toString().rstrip("/") + "/"
     moved = []
@@ -30,17 +34,35 @@ def move_files(spark: SparkSession, paths: list[str], landing: str, dest_root: s
         fs, src = _fs_path(spark, p)
         s = src.toString()
         rel = s[len(root_s):] if s.startswith(root_s) else src.getName()
-        _, dst = _fs_path(spark, f"{dest_root.rstrip('/')}/{rel}")
         if not fs.exists(src):
             continue
-        fs.mkdirs(dst.getParent())
-        if fs.exists(dst):
-            fs.delete(dst, False)
-        if fs.rename(src, dst):
-            moved.append(dst.toString())
+        dest_fs, dst = _fs_path(spark, f"{dest_root.rstrip('/')}/{rel}")
+        if dest_fs.exists(dst):
+            stem, dot, ext = dst.getName().rpartition(".")
+            version = fs.getFileStatus(src).getModificationTime()
+            name = f"{stem}-{version}.{ext}" if dot else f"{ext}-{version}"
+            dst = jvm.org.apache.hadoop.fs.Path(dst.getParent(), name)
+        dest_fs.mkdirs(dst.getParent())
+        if fs.getUri().equals(dest_fs.getUri()):
+            done = fs.rename(src, dst)
+        else:  # overwrite=True: a half-written copy of an interrupted attempt
+            done = jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, dest_fs, dst, True, True, conf)
+        if not done:
+            raise OSError(f"could not move {s} to {dst.toString()}")
+        moved.append(dst.toString())
     return moved
 
 
+def file_versions(spark: SparkSession, paths: list[str]) -> tuple[tuple[str, int, int], ...]:
+    """(path, length, modification time) of a few files."""
+    out = []
+    for p in paths:
+        fs, path = _fs_path(spark, p)
+        status = fs.getFileStatus(path)
+        out.append((p, int(status.getLen()), int(status.getModificationTime())))
+    return tuple(out)
+
+
 def child_dirs(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
     """Direct sub-folders of ``folder`` as (name, committed); committed = holds ``_SUCCESS``."""
     fs, root = _fs_path(spark, folder)

@@ -59,8 +59,14 @@ def synth_transactions(keys: DataFrame, key_col: str = "id", seed: int = 42,
     return out.select(*[F.col(f.name).cast(f.dataType) for f in LANDING_SCHEMA.fields])
 
 
+def id_digits_for(n: int) -> tuple[int, int, int]:
+    """Digits of the three ids for keys below ``n``: the original widths, more where ids would repeat."""
+    need = len(str(max(n - 1, 0)))
+    return max(7, need), max(3, need), max(5, need)
+
+
 def synth_range(spark: SparkSession, n: int, seed: int = 42, partitions: int | None = None) -> DataFrame:
-    return synth_transactions(spark.range(0, n, 1, partitions), "id", seed)
+    return synth_transactions(spark.range(0, n, 1, partitions), "id", seed, id_digits_for(n))
 
 
 def write_landing_files(df: DataFrame, folder: str, n_files: int) -> None:

@@ -1,74 +1,68 @@
 """Streaming ingest of the landing folder (R2).
 
-``readStream`` over the landing folder with ``maxFilesPerTrigger`` = batch
-size; each micro-batch runs the same validate/gate/load/merge step as the
-batch pipeline through ``foreachBatch``. A micro-batch replayed after a failure
-holds the same files; the ledger then still has them ``pending`` with their
-stamp, so the replay writes the same folders again (no duplicates).
+The stream watches file names and times only (``binaryFile`` without content) with
+``maxFilesPerTrigger`` = batch size; each micro-batch hands its files to the same
+validate/gate/load/merge step as the batch pipeline, through ``foreachBatch``. So files
+that cannot be read, or hold no rows, are treated alike in both.
+
+The ledger decides what is done: files it has finished are left out, a batch it has
+pending is finished first, with its own files and stamp, and the rest of the micro-batch
+becomes a new batch. A replay after a failure therefore neither loses nor repeats a file,
+nor does a stream that starts over a folder which batches have worked on.
 """
 
 from __future__ import annotations
 
-
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.ledger import current_state, read_ledger, record, summarise_ledger
+from tidemark.operators.ledger import (batch_paths, current_state, names_of, read_ledger, record, summarise_ledger)
 from tidemark.plans.runner import PipelineConfig, _stamp, _utc, batch_id_for, process_batch
-from tidemark.schemas import LANDING_SCHEMA
+from tidemark.sources.files import read_landing
 
-_PATH = "__source_path"
-_VERSION = "__source_version"
+# The columns of the file source that lists files.
+FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 
 
 def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, available_now: bool = True,
                   processing_time: str | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains the folder and stops."""
-    reader = (spark.readStream.schema(LANDING_SCHEMA)
+    reader = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
               .option("maxFilesPerTrigger", cfg.max_files)
               .option("pathGlobFilter", cfg.pattern)
               .option("recursiveFileLookup", "true"))  # same files as the batch listing
     if cfg.archive_dir or cfg.quarantine_files_dir:
-        # a micro-batch replayed after its files were moved reads as empty: the ledger
-        # already has those files in a final state, so there is nothing left to do
+        # a replayed micro-batch may name files that were moved meanwhile: the ledger has
+        # them in a final state, so there is nothing left to do for them
         reader = reader.option("ignoreMissingFiles", "true")
-    source = (reader.parquet(cfg.landing)
-              .withColumn(_PATH, F.col("_metadata.file_path"))
-              .withColumn(_VERSION, F.unix_millis(F.col("_metadata.file_modification_time"))))
+    source = reader.load(cfg.landing).select("path", F.unix_millis("modificationTime").alias("version"))
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        # the micro-batch is read several times (paths, checks, writes): keep it for this call;
-        # blocks lost with an executor are recomputed from the source files
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            _handle(batch, epoch_id)
-        finally:
-            batch.unpersist()
-
-    def _handle(batch: DataFrame, epoch_id: int) -> None:
-        # at most max_files distinct files per micro-batch
-        files = sorted((r[0], r[1]) for r in batch.select(_PATH, _VERSION).distinct().collect())
+        # at most max_files names per micro-batch
+        files = sorted((r["path"], r["version"]) for r in batch.distinct().collect())
         if not files:
             return
-        paths = [p for p, _ in files]
         ledger = read_ledger(spark, cfg.ledger_path)
         summary = summarise_ledger(ledger)
-        mine = set(files)
-        seen = [r for r in current_state(ledger.filter(F.col("path").isin(paths)))
-                .select("path", "version", "state", "batch_id", "batch_time").collect()
-                if (r["path"], r["version"]) in mine]
-        if seen and all(r["state"] == "pending" for r in seen) and len({r["batch_id"] for r in seen}) == 1:
-            batch_id, stamp = seen[0]["batch_id"], _utc(seen[0]["batch_time"])
-        elif seen:
-            return  # this micro-batch was completed before the failure
-        else:
-            stamp = _stamp(summary, clock(epoch_id) if clock else None)
-            batch_id = batch_id_for(stamp)
-            record(spark, cfg.ledger_path, files, batch_id, stamp, "pending")
-        process_batch(spark, cfg, batch.drop(_PATH, _VERSION), batch_id, stamp, files, summary)
+        if summary.pending:
+            batch_id, stamp = summary.last_batch_id, _utc(summary.last_batch_time)
+            pending = batch_paths(ledger, batch_id)
+            process_batch(spark, cfg, read_landing(spark, names_of(pending)), batch_id, stamp, pending, summary)
+            ledger = read_ledger(spark, cfg.ledger_path)
+            summary = summarise_ledger(ledger)
+        known = current_state(ledger.filter(F.col("path").isin(names_of(files)))).select("path", "version")
+        done = {(r["path"], r["version"]) for r in known.collect()}
+        fresh = [f for f in files if f not in done]
+        if not fresh:
+            return
+        stamp = _stamp(summary, clock(epoch_id) if clock else None)
+        batch_id = batch_id_for(stamp)
+        record(spark, cfg.ledger_path, fresh, batch_id, stamp, "pending")
+        process_batch(spark, cfg, read_landing(spark, names_of(fresh)), batch_id, stamp, fresh, summary)
 
     writer = (source.writeStream.foreachBatch(handle)
               .option("checkpointLocation", cfg.stream_checkpoint))
