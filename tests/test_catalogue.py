@@ -39,10 +39,8 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(rows, key=_key) == sorted(expect, key=_key)
 
 
-def test_every_query_has_an_oracle_or_is_rows_only(spark):
-    rows_only = set(CATALOGUE) - set(E.oracle_sql())
-    assert rows_only == {"synth_transactions"}
-    assert E.queries()["synth_transactions"](spark, SF).count() > 0
+def test_every_query_has_an_oracle():
+    assert set(CATALOGUE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

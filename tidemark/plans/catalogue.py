@@ -20,20 +20,20 @@ from tidemark.functions.columns import (derive_check_columns, epoch_to_timestamp
 from tidemark.operators.enrich import enrich, prepare_dimension
 from tidemark.operators.increment import high_water_mark, increment, increment_subquery
 from tidemark.operators.layout import cluster_for_write, with_month
-from tidemark.operators.ledger import current_state, next_batch
+from tidemark.operators.ledger import current_state, next_batch, read_ledger, record
 from tidemark.operators.merge import merge_insert, merge_insert_table, merge_upsert
 from tidemark.operators.quality import (Between, MatchRegex, NotNull, RowCountBetween, audit_frame,
                                         decision_column, read_audit, run_suite, validate, write_audit)
 from tidemark.operators.rollup import rollup_dimension
-from tidemark.plans.runner import PipelineConfig, bootstrap, run_all
+from tidemark.plans.runner import PipelineConfig, batch_id_for, bootstrap, run_all, run_batch, to_raw
 from tidemark.plans.tables import (Table, append, create_table, overwrite, read_table, repartition_table,
                                    upsert_table)
-from tidemark.schemas import DATE_REGEX, LANDING_SCHEMA, LEDGER_SCHEMA
+from tidemark.schemas import DATE_REGEX, LANDING_SCHEMA, LEDGER_SCHEMA, SHIPPING_TYPES, US_STATES
 from tidemark.session import ensure_utc, scratch_path
 from tidemark.sources.csv import read_dimension_csv, write_csv
 from tidemark.sources.files import list_files, manifest_paths, read_landing, read_manifest, write_manifest
 from tidemark.sources.fixtures import county_rows, table, transactions
-from tidemark.sources.synth import synth_transactions
+from tidemark.sources.synth import DATE_RANGE, WORDS, id_digits_for, synth_transactions
 from tidemark.streaming.ingest import run_stream_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,13 +53,13 @@ SELECT n_name AS state_abbreviation,
        CAST(SUM(CAST(ROUND(c_acctbal * 100) AS BIGINT)) AS DOUBLE)
          / COUNT(CAST(ROUND(c_acctbal * 100) AS BIGINT)) AS Income_Mean_Account_Balance_Cents
 FROM customer JOIN nation ON c_nationkey = n_nationkey
-WHERE n_nationkey < 20
 GROUP BY n_name
 """
 
 _TX_SQL = """
 SELECT o_orderkey AS invoiceid, o_custkey AS customerid, o_totalprice AS price,
-       o_orderdate, n_name AS state
+       o_orderdate, CASE WHEN o_orderstatus = 'P' THEN NULL
+                         WHEN n_nationkey >= 20 THEN lower(n_name) ELSE n_name END AS state
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 """
 
@@ -615,10 +615,116 @@ WHERE year(t.o_orderdate) BETWEEN 1995 AND 2000
 """
 
 
+def q_resume_pending_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of four files is recorded, the run dies, and is resumed with one file per batch."""
+    cfg = _pipeline_setup(spark, sf, max_files=4)
+    files = [(r["path"], r["version"]) for r in
+             next_batch(list_files(spark, cfg.landing, cfg.pattern), read_ledger(spark, cfg.ledger_path), 4).collect()]
+    record(spark, cfg.ledger_path, files, batch_id_for(PIPELINE_START - timedelta(hours=1)),
+           PIPELINE_START - timedelta(hours=1), "pending")
+    run_all(spark, replace(cfg, max_files=1), clock=_clock)
+    return _enriched_out(spark, cfg)
+
+
+def q_stream_after_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """One batch, then the stream (three files per trigger) over the same folder and ledger."""
+    cfg = replace(_pipeline_setup(spark, sf, max_files=1, move_files=False), suite=(NotNull("invoiceid"),))
+    run_batch(spark, cfg, _clock(0))
+    run_stream_to_end(spark, replace(cfg, max_files=3), clock=lambda i: _clock(i + 1))
+    return _enriched_out(spark, cfg)
+
+
+SQL_ALL_YEARS = f"""
+SELECT t.invoiceid, t.customerid, t.price, t.state, {_ENRICHED_COLS_SQL}
+FROM ({_TX_SQL}) t LEFT JOIN ({_DIM_SQL}) d ON t.state = d.state_abbreviation
+"""
+
+
+def q_backfill_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """Between two batches another job appends the orders of 2001 to the raw table; the next
+    batch's increment holds them too (as landing files they are quarantined)."""
+    cfg = _pipeline_setup(spark, sf)
+    run_batch(spark, cfg, _clock(0))
+    late = transactions(spark, sf).filter(F.year(epoch_to_timestamp("orderdate")) == 2001)
+    append(cfg.raw_table(), to_raw(late, _clock(0) + timedelta(minutes=30)), "backfill-2001", cluster="local")
+    run_all(spark, cfg, clock=lambda i: _clock(i + 1))
+    return _enriched_out(spark, cfg)
+
+
+SQL_BACKFILL = f"""
+SELECT t.invoiceid, t.customerid, t.price, t.state, {_ENRICHED_COLS_SQL}
+FROM ({_TX_SQL}) t LEFT JOIN ({_DIM_SQL}) d ON t.state = d.state_abbreviation
+WHERE year(t.o_orderdate) BETWEEN 1995 AND 1999 OR year(t.o_orderdate) = 2001
+"""
+
+
+def q_schema_mismatch_quarantined(spark: SparkSession, sf: str) -> DataFrame:
+    """Final state of every delivery; one has ``cost`` instead of ``price``."""
+    cfg = _pipeline_setup(spark, sf, max_files=1)
+    (spark.read.schema(LANDING_SCHEMA).parquet(f"{cfg.landing}/year=1999").withColumnRenamed("price", "cost")
+     .write.parquet(f"{cfg.landing}/year=1999_renamed"))
+    run_all(spark, cfg, clock=_clock)
+    return current_state(read_ledger(spark, cfg.ledger_path)).select(
+        F.regexp_extract("path", "year=([^/]+)/", 1).alias("delivery"), "state")
+
+
+SQL_SCHEMA_MISMATCH = """
+SELECT DISTINCT strftime(o_orderdate, '%Y') AS delivery,
+       CASE WHEN year(o_orderdate) BETWEEN 1995 AND 2000 THEN 'archived' ELSE 'quarantined' END AS state
+FROM orders
+UNION ALL VALUES ('1998_redelivery', 'archived'), ('1999_renamed', 'quarantined')
+"""
+
+
+def q_moved_files(spark: SparkSession, sf: str) -> DataFrame:
+    """K6/K7: every landing file read back from where the pipeline moved it."""
+    cfg = _pipeline_setup(spark, sf)
+    run_all(spark, cfg, clock=_clock)
+    places = {"archive": cfg.archive_dir, "quarantine": cfg.quarantine_files_dir, "landing": cfg.landing}
+    out = None
+    for place, folder in places.items():
+        files = list_files(spark, folder).select("path").collect()
+        rows = read_landing(spark, [r["path"] for r in files]).select(F.lit(place).alias("place"), "invoiceid", "price")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+SQL_MOVED_FILES = f"""
+SELECT CASE WHEN year(o_orderdate) BETWEEN 1995 AND 1999 THEN 'archive' ELSE 'quarantine' END AS place, invoiceid, price
+FROM ({_TX_SQL})
+UNION ALL SELECT 'archive', invoiceid, price FROM ({_TX_SQL}) WHERE year(o_orderdate) = 1995
+"""
+
+
 def q_synth_transactions(spark: SparkSession, sf: str) -> DataFrame:
     """One synthetic landing row per order key (values are functions of key and seed)."""
     keys = table(spark, sf, "orders").select("o_orderkey")
-    return synth_transactions(keys, "o_orderkey", seed=42)
+    top = keys.agg(F.max("o_orderkey")).first()[0] or 0
+    return synth_transactions(keys, "o_orderkey", seed=42, id_digits=id_digits_for(top + 1))
+
+
+def _synth_u(field: int) -> str:
+    return f"(('0x' || substr(md5(k || ':42:{field}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
+def _synth_pick(values: list[str], field: int) -> str:
+    return f"{values}[floor({_synth_u(field)} * {len(values)})::INT + 1]"
+
+
+def _synth_id(least: int, mult: int) -> str:
+    return f"((k::HUGEINT * {mult} + 1) % (10::HUGEINT ** greatest({least}, digits))::HUGEINT)::BIGINT"
+
+
+_SYNTH_LO, _SYNTH_HI = (int(d.timestamp()) for d in DATE_RANGE)
+SQL_SYNTH = f"""
+SELECT {_synth_id(7, 7_654_321)} AS invoiceid, {_synth_id(3, 373)} AS itemid, {_synth_id(5, 45_673)} AS customerid,
+       {_synth_pick(WORDS, 1)} AS category, (floor({_synth_u(2)} * 9001)::BIGINT + 1000) / 100.0::DOUBLE AS price,
+       (floor({_synth_u(3)} * 5) + 1)::INT AS quantity,
+       floor({_synth_u(4)} * {_SYNTH_HI - _SYNTH_LO})::BIGINT + {_SYNTH_LO} AS orderdate,
+       {_synth_pick(US_STATES, 5)} AS state, {_synth_pick(SHIPPING_TYPES, 6)} AS shippingtype,
+       {_synth_pick(WORDS, 7)} AS referral
+FROM (SELECT o_orderkey::BIGINT AS k, length(max(o_orderkey) OVER ()::VARCHAR) AS digits FROM orders)
+"""
 
 
 # ---------------------------------------------------------------------------
@@ -654,5 +760,10 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "ingest_end_to_end": (q_ingest_end_to_end, SQL_PIPELINE),
     "quarantine_batch": (q_quarantine_batch, SQL_QUARANTINE),
     "stream_ingest": (q_stream_ingest, SQL_STREAM),
-    "synth_transactions": (q_synth_transactions, None),
+    "resume_pending_batch": (q_resume_pending_batch, SQL_STREAM),
+    "stream_after_batch": (q_stream_after_batch, SQL_ALL_YEARS),
+    "backfill_increment": (q_backfill_increment, SQL_BACKFILL),
+    "schema_mismatch_quarantined": (q_schema_mismatch_quarantined, SQL_SCHEMA_MISMATCH),
+    "moved_files": (q_moved_files, SQL_MOVED_FILES),
+    "synth_transactions": (q_synth_transactions, SQL_SYNTH),
 }

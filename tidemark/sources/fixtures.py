@@ -3,21 +3,21 @@
 * transaction  = orders JOIN customer JOIN nation
   (invoiceid=o_orderkey, customerid=o_custkey, price=o_totalprice,
   orderdate=epoch seconds of o_orderdate, state=n_name, category=o_orderpriority,
+  with NULL and lower-case states (``fact_state``), which no dimension row matches;
   shippingtype=o_orderstatus, referral=c_mktsegment, itemid=n_regionkey, quantity=c_nationkey)
-* county rows  = customers per nation (only nations with key < 20, so that
-  five fact states have no dimension row)
+* county rows  = all customers, per nation
 * merge source with repeated keys = lineitem (l_orderkey)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import timestamp_to_epoch
 from tidemark.schemas import LANDING_SCHEMA
 
-DIM_NATION_LIMIT = 20
+LOWER_CASE_NATION = 20  # states of nations from this key on are written in lower case on the fact side
 # County measure columns (odd names on purpose: dots, spaces, hyphens).
 COUNTY_CUSTOMERS = "Population.Customers"
 COUNTY_BALANCE = "Sales.Account Balance Cents"
@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_state() -> Column:
+    """State of an order: NULL while it is pending, else the nation's name, for some in lower case."""
+    name = F.when(F.col("n_nationkey") >= LOWER_CASE_NATION, F.lower("n_name")).otherwise(F.col("n_name"))
+    return F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(name)
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing-shaped rows (LANDING_SCHEMA), one per order."""
     orders = table(spark, sf_dir, "orders")
@@ -45,7 +51,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("price"),
         F.col("c_nationkey").cast("int").alias("quantity"),
         timestamp_to_epoch("o_orderdate").alias("orderdate"),
-        F.col("n_name").alias("state"),
+        fact_state().alias("state"),
         F.col("o_orderstatus").alias("shippingtype"),
         F.col("c_mktsegment").alias("referral"),
     )
@@ -53,9 +59,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def county_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer of a dimension nation: ``State`` plus integer measures."""
+    """One row per customer: ``State`` plus integer measures."""
     customer = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < DIM_NATION_LIMIT)
+    nation = table(spark, sf_dir, "nation")
     cents = F.round(F.col("c_acctbal") * 100).cast("long")
     j = customer.join(nation.select("n_nationkey", "n_name"), customer.c_nationkey == nation.n_nationkey)
     return j.select(

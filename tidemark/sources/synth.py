@@ -23,9 +23,9 @@ WORDS = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf", "hotel
 
 
 def _u(key: Column, seed: int, field: int) -> Column:
-    """Uniform [0, 1) from a 64-bit hash of (key, seed, field)."""
-    h = F.xxhash64(key, F.lit(seed), F.lit(field))
-    return F.pmod(h, F.lit(1 << 52)).cast("double") / float(1 << 52)
+    """Uniform [0, 1) from the first 52 bits of the md5 of (key, seed, field)."""
+    text = F.concat_ws(":", key.cast("string"), F.lit(str(seed)), F.lit(str(field)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
 def _permute(key: Column, digits: int, mult: int) -> Column:
@@ -39,6 +39,7 @@ def synth_transactions(keys: DataFrame, key_col: str = "id", seed: int = 42,
     """One landing row per key (keys must be distinct integers below 10^digits for unique ids)."""
     k = F.col(key_col).cast("long")
     lo, hi = (int(d.timestamp()) for d in DATE_RANGE)
+    cents = [round(100 * p) for p in PRICE_RANGE]
     states = F.array(*[F.lit(s) for s in US_STATES])
     ships = F.array(*[F.lit(s) for s in SHIPPING_TYPES])
     words = F.array(*[F.lit(w) for w in WORDS])
@@ -48,7 +49,7 @@ def synth_transactions(keys: DataFrame, key_col: str = "id", seed: int = 42,
         _permute(k, id_digits[1], 373).alias("itemid"),
         _permute(k, id_digits[2], 45_673).alias("customerid"),
         pick(words, len(WORDS), 1).alias("category"),
-        F.round(F.lit(PRICE_RANGE[0]) + _u(k, seed, 2) * (PRICE_RANGE[1] - PRICE_RANGE[0]), 2).alias("price"),
+        ((F.floor(_u(k, seed, 2) * (cents[1] - cents[0] + 1)) + cents[0]) / 100.0).alias("price"),
         (F.floor(_u(k, seed, 3) * (QUANTITY_RANGE[1] - QUANTITY_RANGE[0] + 1)) + QUANTITY_RANGE[0])
         .cast("int").alias("quantity"),
         (F.floor(_u(k, seed, 4) * (hi - lo)) + lo).cast("long").alias("orderdate"),
