@@ -45,8 +45,24 @@ def test_no_broadcast_past_the_bound(spark):
 
 
 def test_duplicate_dimension_key_is_refused(spark):
-    with pytest.raises(DuplicateDimensionKey):
-        enrich(facts(spark), dim(spark, [("CA", 1, 1.0), ("CA", 2, 2.0)]))
+    for bound in (1, 100):  # past the broadcast bound and below it
+        with pytest.raises(DuplicateDimensionKey):
+            enrich(facts(spark), dim(spark, [("CA", 1, 1.0), ("CA", 2, 2.0)]), max_rows=bound)
     # the original would fan out; on request we keep that behaviour
     out = enrich(facts(spark), dim(spark, [("CA", 1, 1.0), ("CA", 2, 2.0)]), on_duplicate="keep")
     assert out.count() == 8
+
+
+def test_dimension_rewritten_under_the_same_name_is_measured_again(spark, tmp_path):
+    folder = str(tmp_path / "dim")
+    dim(spark, [("CA", 1, 1.0)]).coalesce(1).write.parquet(folder)
+    name = next(p for p in (tmp_path / "dim").iterdir() if p.name.startswith("part-"))
+    assert enrich(facts(spark), spark.read.parquet(folder)).count() == 6
+    other = str(tmp_path / "other")
+    dim(spark, [("CA", 1, 1.0), ("CA", 2, 2.0)]).coalesce(1).write.parquet(other)
+    new = next(p for p in (tmp_path / "other").iterdir() if p.name.startswith("part-"))
+    name.write_bytes(new.read_bytes())
+    (tmp_path / "dim" / f".{name.name}.crc").unlink(missing_ok=True)
+    spark.catalog.refreshByPath(folder)
+    with pytest.raises(DuplicateDimensionKey):
+        enrich(facts(spark), spark.read.parquet(folder))

@@ -383,3 +383,62 @@ def test_command_line_stream(spark, tmp_path):
     assert DIMENSION_KEY in dim.columns
     e = P.read_table(spark, P.PipelineConfig(landing=land, root=root).enriched_table(dim.schema))
     assert e.count() == 500
+
+
+def test_stream_quarantines_broken_and_empty_files(spark, cfg):
+    import os
+
+    landing(spark, cfg.landing, 2, 500)
+    os.makedirs(f"{cfg.landing}/bad", exist_ok=True)
+    with open(f"{cfg.landing}/bad/broken.parquet", "wb") as fh:
+        fh.write(b"this is not parquet")
+    synth_transactions(spark.range(0), "id").coalesce(1).write.parquet(f"{cfg.landing}/empty")
+    c = P.PipelineConfig(landing=cfg.landing, root=cfg.root, max_files=1)
+    run_stream_to_end(spark, c, clock=clock)
+    states = {r.path.rsplit("/", 2)[1]: r.state for r in current_state(read_ledger(spark, c.ledger_path)).collect()}
+    assert states == {"raw": "quarantined" if enriched(spark, c).count() == 0 else "archived",
+                      "bad": "quarantined", "empty": "quarantined"}
+    listed = [f for _, _, fs in os.walk(c.landing) for f in fs if f.endswith(".parquet")]
+    assert current_state(read_ledger(spark, c.ledger_path)).count() == len(listed)
+
+
+def test_passing_read_error_keeps_the_batch_pending(spark, cfg, monkeypatch):
+    landing(spark, cfg.landing, 5, 100)
+    real = P.run_suite
+    monkeypatch.setattr(P, "run_suite", lambda *a: (_ for _ in ()).throw(OSError("store does not answer")))
+    with pytest.raises(OSError, match="does not answer"):
+        P.run_batch(spark, cfg, clock(0))
+    monkeypatch.setattr(P, "run_suite", real)
+    assert P.run_batch(spark, cfg, clock(1)).inserted == 500
+
+
+def test_moves_never_replace_a_file(spark, tmp_path):
+    from tidemark.sources.fs import move_files
+
+    land, dest = tmp_path / "land", tmp_path / "dest"
+    for text in ("one", "two"):
+        land.mkdir(exist_ok=True)
+        (land / "a.parquet").write_text(text)
+        assert len(move_files(spark, [str(land / "a.parquet")], str(land), str(dest))) == 1
+    assert sorted(p.read_text() for p in dest.iterdir() if not p.name.startswith(".")) == ["one", "two"]
+    assert move_files(spark, [str(land / "a.parquet")], str(land), str(dest)) == []
+
+
+def test_increment_reads_unstamped_batch_keys(spark):
+    from tidemark.operators.increment import increment
+
+    rows = [(1, "20240101T000000000000Z"), (2, "20230101T000000000000Z"), (3, None), (4, "backfill-7"), (5, "0")]
+    raw = spark.createDataFrame(rows, "id long, batch_id string").withColumn("processed_date", F.lit(T0))
+    got = increment(raw, None, "processed_date", batch_col="batch_id", min_batch="20230601T000000000000Z")
+    assert {r["id"] for r in got.collect()} == {1, 3, 4, 5}
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode(monkeypatch):
+    from types import SimpleNamespace
+
+    from tidemark.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=sc, conf=conf))
