@@ -25,6 +25,7 @@ from tidemark.operators.merge import merge_insert, merge_insert_table, merge_ups
 from tidemark.operators.quality import (Between, MatchRegex, NotNull, RowCountBetween, audit_frame,
                                         decision_column, read_audit, run_suite, validate, write_audit)
 from tidemark.operators.rollup import rollup_dimension
+from tidemark.plans.named import append_named, create_named, overwrite_named
 from tidemark.plans.runner import PipelineConfig, batch_id_for, bootstrap, run_all, run_batch, to_raw
 from tidemark.plans.tables import (Table, append, create_table, overwrite, read_table, repartition_table,
                                    upsert_table)
@@ -434,6 +435,33 @@ def q_overwrite_table(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, new)
 
 
+def _catalog_name(spark: SparkSession, name: str) -> str:
+    """A table name in a fresh namespace that lies in the shared scratch folder."""
+    path = scratch_path(spark, "namespace")
+    namespace = "tidemark_" + path.rpartition("-")[2]
+    spark.sql(f"CREATE NAMESPACE {namespace} LOCATION '{path}'")
+    return f"{namespace}.{name}"
+
+
+def q_catalog_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Two appends to a catalog table, the second with its columns in reverse order."""
+    o = table(spark, sf, "orders")
+    name = _catalog_name(spark, "orders")
+    create_named(spark, name, o.schema)
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    append_named(spark, name, o.filter(early))
+    append_named(spark, name, o.filter(~early | early.isNull()).select(*reversed(o.columns)))
+    return spark.table(name)
+
+
+def q_catalog_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table overwritten by a frame of another schema."""
+    name = _catalog_name(spark, "customer")
+    create_named(spark, name, table(spark, sf, "orders").schema)
+    append_named(spark, name, table(spark, sf, "orders"))
+    return overwrite_named(spark, name, table(spark, sf, "customer"))
+
+
 def q_repartition_table(spark: SparkSession, sf: str) -> DataFrame:
     """Unpartitioned table rewritten month-partitioned."""
     t, o = _orders_table(spark, sf, "flat")
@@ -751,6 +779,8 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "csv_round_trip": (q_csv_round_trip, _DIM_SQL),
     "append_by_name": (q_append_by_name, SQL_ORDERS),
     "overwrite_table": (q_overwrite_table, "SELECT * FROM customer"),
+    "catalog_append": (q_catalog_append, SQL_ORDERS),
+    "catalog_overwrite": (q_catalog_overwrite, "SELECT * FROM customer"),
     "repartition_table": (q_repartition_table, SQL_ORDERS),
     "cluster_sorted_write": (q_cluster_sorted_write, SQL_ORDERS),
     "multi_path_scan": (q_multi_path_scan, SQL_MULTI_PATH_SCAN),
