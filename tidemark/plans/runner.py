@@ -207,9 +207,10 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
 
     dim, dim_schema = _dimension(spark, cfg)
     enr_t = cfg.enriched_table(dim_schema)
-    target = read_table(spark, enr_t, exclude_batch=batch_id)
+    target = None  # reading the whole table lists all its files: only where nothing narrower will do
     mark = summary.watermark_us  # pending batches carry no mark: this is the target without this batch
     if mark is None and summary.merged == 0:
+        target = read_table(spark, enr_t, exclude_batch=batch_id)
         mark = high_water_mark(target)  # first merge: the table may hold rows from elsewhere
     if summary.merged == 0:
         # first merge: the whole raw table above the mark (folders pruned by batch id)
@@ -227,13 +228,15 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
                                 keep_hidden=True)
     new = increment(raw_rows, mark, "processed_date", batch_col=BATCH_COL, min_batch=min_batch)
     enriched_new = enrich(new.select(*raw_t.columns), dim, cfg.fact_key, cfg.dim_key)
-    size = source_key_size(enriched_new, cfg.key)
+    size = source_key_size(new, cfg.key)  # enrichment keeps rows and keys: no need to join for their size
     integral = isinstance(enr_t.schema[cfg.key].dataType, T.IntegralType)
     if integral and cfg.prune_target and summary.merged > 0 and size.key_min is not None:
         probe = probe_target(spark, enr_t, read_ledger(spark, cfg.ledger_path), batch_id,
                              int(size.key_min), int(size.key_max), cfg.max_probe_folders)
         if probe is not None:
             target = probe
+    if target is None:
+        target = read_table(spark, enr_t, exclude_batch=batch_id)
     to_insert = merge_insert(target, enriched_new, cfg.key, size=size)
     # metrics of the rows actually written, gathered by the write job itself
     obs = Observation(f"insert_{batch_id}")
