@@ -44,7 +44,7 @@ class Mix:
     budget_percent: int = 100
     max_epochs: int = 1
     seed: int = 0
-    slice_rows: int = 4096
+    slice_rows: int = 1024
 
 
 def step_name(level: Column) -> Column:
@@ -104,13 +104,17 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], mix: Mix) -> DataFrame:
         "capacity", F.col("available") * mix.max_epochs)
     for i in range(1, depth + 1):  # an excluded subtree holds nothing for its ancestors
         leaves = leaves.withColumn("capacity", F.when(_weight(mix, f"p{i}") > 0, F.col("capacity")).otherwise(0))
-    total = (F.lit(mix.budget).cast("long") if mix.budget is not None
-             else _div(F.sum("available") * mix.budget_percent, F.lit(100).cast("long")))
-    budgets = leaves.groupBy("p0").agg(total.alias("budget"))
+    budgets = None
     for i in range(1, depth + 1):
-        nodes = (leaves.groupBy(f"p{i - 1}", f"p{i}").agg(F.sum("capacity").alias("capacity"))
-                 .withColumn("path", F.col(f"p{i}")).withColumn("weight", _weight(mix, "path"))
-                 .join(budgets, f"p{i - 1}"))
+        nodes = leaves.groupBy(f"p{i - 1}", f"p{i}").agg(
+            F.sum("capacity").alias("capacity"), F.sum("available").alias("held"))
+        nodes = nodes.withColumn("path", F.col(f"p{i}")).withColumn("weight", _weight(mix, "path"))
+        if budgets is None:  # the root's budget
+            held = F.sum("held").over(Window.partitionBy("p0"))
+            nodes = nodes.withColumn("budget", F.lit(mix.budget).cast("long") if mix.budget is not None
+                                     else _div(held * mix.budget_percent, F.lit(100).cast("long")))
+        else:
+            nodes = nodes.join(budgets, f"p{i - 1}")
         budgets = water_fill(nodes, f"p{i - 1}", "budget").select(f"p{i}", F.col("share").alias("budget"))
     leaf = f"p{depth}"
     out = leaves.join(budgets, leaf, "left").withColumn("budget", F.coalesce("budget", F.lit(0).cast("long")))
