@@ -23,3 +23,13 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_has_a_query():
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+
+
+def test_batch_settings_are_restored(spark):
+    from tidemark.llm.common import small_batches
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with small_batches(spark, 7):
+        assert spark.conf.get(name) == "7"
+    assert spark.conf.get(name) == before

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,21 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
+    """Column and Arrow batches of at most ``rows`` rows for the jobs run inside, for rows with
+    whole texts: both hold a batch's texts in one buffer. The session's settings are restored."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in before.items():
+        spark.conf.set(n, min(rows, int(v)) if int(v) > 0 else rows)
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for documents that no learner may see (a NULL id counts as held out)."""
     r = F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(HELD_OUT_MODULUS))

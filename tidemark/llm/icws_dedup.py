@@ -17,9 +17,10 @@ Scale:
 * equal texts are one node, whatever their number.
 * a bucket's members are compared with one leader first, which links large groups of
   copies with one comparison each. Only in buckets that then still hold several
-  components, more leaders follow (1, 2, 4, ...), until every pair of members in different
-  components was compared: no pair of a bucket is skipped, and none within a
-  component is made.
+  components, more leaders follow, until every pair of members in different components was
+  compared: no pair of a bucket is skipped, and none within a component is made.
+* buckets are split by the texts' total weight, which loses no pair of similar texts, so
+  texts that share only a common passage rarely meet.
 * components are found by distributed star contraction.
 """
 
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-from .common import stage
+from .common import small_batches, stage
 from .components import components
 from .wordhash import U64, batches, grams, mix64
 
@@ -43,6 +44,7 @@ BANDS, ROWS = 16, 5
 RARE = 1024  # words in fewer than one of so many documents weigh the same
 MAX_WORDS = 2_000_000
 MAX_BROADCAST_IDS = 2_000_000
+SMALL = 64  # buckets up to this size are compared completely at once
 _TABLE_BITS = 16
 
 
@@ -79,7 +81,8 @@ class Weights:
 def word_weights(texts: DataFrame) -> Weights:
     """Weights 1 + ln(N / df), at most those of a word in one of ``RARE`` documents."""
     counts = texts.select("text").mapInArrow(_count_words, "word long, n long")
-    df = stage(counts.groupBy("word").agg(F.sum("n").alias("df")))
+    with small_batches(texts.sparkSession, 1024):
+        df = stage(counts.groupBy("word").agg(F.sum("n").alias("df")))
     n_docs = texts.count()
     occurrences = df.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
     floor = max(n_docs / RARE, occurrences / MAX_WORDS)
@@ -154,8 +157,13 @@ class Sampler:
         return out.view(np.int64)
 
 
-def band_column(text: Column, weights) -> Column:
-    """Array of band hashes of a text (empty if it has no words)."""
+def band_column(text: Column, weights, threshold: float) -> Column:
+    """Bucket keys of a text: its bands, each with its two weight classes (none without words).
+
+    Texts of similarity s weigh at least s times each other. A class is one factor of the
+    similarity wide and a text belongs to the next one as well, so similar texts share a
+    class, and texts that only share a passage are mostly kept apart.
+    """
     made: list = []
 
     @F.arrow_udf("array<bigint>")
@@ -166,9 +174,9 @@ def band_column(text: Column, weights) -> Column:
         for a, b, w in batches(texts):
             for t in range(b - a):
                 g, v = vector(w.hash[w.first[t]:w.first[t + 1]], made[1])
-                sizes.append(BANDS if len(g) else 0)
+                sizes.append(2 * BANDS if len(g) else 0)
                 if len(g):
-                    values.append(made[0].bands(g, v))
+                    values.append(keys(made[0].bands(g, v), float(v.sum()), threshold))
         flat = np.concatenate(values) if values else np.zeros(0, np.int64)
         ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -176,19 +184,28 @@ def band_column(text: Column, weights) -> Column:
     return sign(text)
 
 
+def keys(bands: np.ndarray, total: float, threshold: float) -> np.ndarray:
+    level = int(np.floor(np.log(total) / -np.log(threshold * 0.999)))
+    classes = np.array([level, level + 1], np.int64).astype(U64)
+    return mix64(bands.view(U64)[:, None] + classes * U64(0x9E3779B97F4A7C15)).ravel().view(np.int64)
+
+
 def similarity_column(left: Column, right: Column, weights) -> Column:
-    def vectors(texts: pa.Array) -> list:
-        out, table = [], Weights(*weights.value)
-        for a, b, w in batches(texts):
+    def vectors(texts: pa.Array, table: Weights) -> list:
+        """Vectors of a few texts; equal ones, such as a leader's, are made once."""
+        known = texts.dictionary_encode()
+        out = []
+        for a, b, w in batches(known.dictionary):
             out += [vector(w.hash[w.first[t]:w.first[t + 1]], table) for t in range(b - a)]
-        return out
+        return [out[i] for i in known.indices.to_pylist()]
 
     @F.arrow_udf("double")
     def compare(a: pa.Array, b: pa.Array) -> pa.Array:
         step = 256  # bounds the vectors held at once
-        out = []
+        out, table = [], Weights(*weights.value)
         for i in range(0, len(a), step):
-            out += [similarity(x, y) for x, y in zip(vectors(a.slice(i, step)), vectors(b.slice(i, step)), strict=True)]
+            pairs = zip(vectors(a.slice(i, step), table), vectors(b.slice(i, step), table), strict=True)
+            out += [similarity(x, y) for x, y in pairs]
         return pa.array(out, pa.float64())
 
     return compare(left, right)
@@ -208,14 +225,17 @@ def links(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> Data
     both = (pairs.join(used.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
             .join(used.select(F.col("node").alias("b"), F.col("text").alias("right")), "b"))
     scored = both.select("a", "b", similarity_column(F.col("left"), F.col("right"), weights).alias("similarity"))
-    return stage(scored.filter(F.col("similarity") >= threshold))
+    with small_batches(pairs.sparkSession):
+        return stage(scored.filter(F.col("similarity") >= threshold))
 
 
 def link_buckets(buckets: DataFrame, texts: DataFrame, weights, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Links and components (node, root) of ``buckets`` (band, node), staged.
 
     Ends when in every bucket at most one component has members that were not compared
-    with all members of the other components.
+    with all members of the other components. Round 1 has one leader per bucket. After that
+    a bucket of up to ``SMALL`` members has all of them as leaders, which settles it; a
+    larger one has ``SMALL`` new leaders, then four times as many, and so on.
     """
     session = buckets.sparkSession
     sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
@@ -225,17 +245,17 @@ def link_buckets(buckets: DataFrame, texts: DataFrame, weights, threshold: float
     led = session.createDataFrame([], "band long, node long")
     leaders = 1
     while True:
-        member = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = member.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("band")
-        member = stage(member.join(mixed, "band"))
-        main = (member.groupBy("band", "root").agg(F.count("*").alias("n"))
-                .groupBy("band").agg(F.max(F.struct("n", -F.col("root"))).alias("m"))
-                .select("band", (-F.col("m.col2")).alias("main")))
-        order = Window.partitionBy("band").orderBy("node")
-        if leaders == 1:  # the smallest of all members
-            fresh = member.groupBy("band").agg(F.min(F.struct("node", "root")).alias("l")).select("band", "l.*")
+        if leaders == 1:  # the smallest member
+            member = buckets.withColumn("root", F.col("node"))
+            fresh = member.groupBy("band").agg(F.min("node").alias("node")).withColumn("root", F.col("node"))
         else:
-            fresh = (member.join(main, "band").filter("root <> main").join(led, ["band", "node"], "left_anti")
+            member = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            parts = member.groupBy("band", "root").agg(F.count("*").alias("n"))
+            main = (parts.groupBy("band").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"))
+                    .filter("parts > 1").select("band", "main"))
+            member = stage(member.join(main, "band"))
+            order = Window.partitionBy("band").orderBy("node")
+            fresh = (member.filter("root <> main").join(led, ["band", "node"], "left_anti")
                      .withColumn("no", F.row_number().over(order)).filter(F.col("no") <= leaders)
                      .select("band", "node", "root"))
         fresh = stage(fresh)
@@ -245,18 +265,22 @@ def link_buckets(buckets: DataFrame, texts: DataFrame, weights, threshold: float
         pairs = (member.join(fresh.select("band", F.col("node").alias("leader"), F.col("root").alias("theirs")), "band")
                  .filter("root <> theirs")
                  .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")))
-        found = stage(found.unionByName(links(pairs, texts, weights, threshold)))
-        roots = stage(components(found.select("a", "b")))
-        leaders *= 2
+        more = links(pairs, texts, weights, threshold)
+        found = found.unionByName(more)
+        roots = stage(components(more.select("a", "b").unionByName(
+            roots.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+        leaders = SMALL if leaders == 1 else 4 * leaders
 
 
 def _classes(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """``rows`` (uid, doc_id, text) -> staged (uid, doc_id, root, n_links)."""
     found = word_weights(rows)
     weights = rows.sparkSession.sparkContext.broadcast((found.word, found.idf, found.rare))
-    signed = stage(rows.filter("text is not null").select(
+    signed = rows.filter("text is not null").select(
         "uid", "doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"),
-        band_column(F.col("text"), weights).alias("bands")))
+        band_column(F.col("text"), weights, threshold).alias("bands"))
+    with small_batches(rows.sparkSession):
+        signed = stage(signed)
     nodes = stage(signed.groupBy("digest").agg(F.min("uid").alias("node")))
     signed = signed.join(nodes, "digest")
     buckets = signed.filter("uid = node").select("node", F.explode("bands").alias("band"))
@@ -276,7 +300,8 @@ def _staged_texts(docs: DataFrame, columns: list[Column]) -> DataFrame:
     """A copy with a row id, in the shared folder: rows need an identity that survives
     recomputation, and equal rows have none of their own."""
     path = scratch_path(docs.sparkSession, "near-duplicates")
-    docs.select(F.monotonically_increasing_id().alias("uid"), *columns).write.parquet(path)
+    with small_batches(docs.sparkSession):
+        docs.select(F.monotonically_increasing_id().alias("uid"), *columns).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 

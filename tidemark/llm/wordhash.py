@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 U64 = np.uint64
 
 _LOWER = np.zeros(256, np.uint8)  # 0: no word character
