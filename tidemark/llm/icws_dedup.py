@@ -44,7 +44,7 @@ BANDS, ROWS = 16, 5
 RARE = 1024  # words in fewer than one of so many documents weigh the same
 MAX_WORDS = 2_000_000
 MAX_BROADCAST_IDS = 2_000_000
-SMALL = 64  # buckets up to this size are compared completely at once
+SMALL = 16  # buckets up to this size are compared completely at once
 _TABLE_BITS = 16
 
 
@@ -235,26 +235,31 @@ def link_buckets(buckets: DataFrame, texts: DataFrame, weights, threshold: float
     Ends when in every bucket at most one component has members that were not compared
     with all members of the other components. Round 1 has one leader per bucket. After that
     a bucket of up to ``SMALL`` members has all of them as leaders, which settles it; a
-    larger one has ``SMALL`` new leaders, then four times as many, and so on.
+    larger one has ``SMALL`` new leaders, then four times as many, and so on. Leaders are the
+    members with the most company over all their buckets: the text that a group was copied
+    from meets every copy more often than copies meet each other, so it leads.
     """
     session = buckets.sparkSession
-    sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    buckets = stage(buckets.join(sizes, "band"))
+    sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = buckets.join(sizes, "band")
+    company = buckets.groupBy("node").agg(F.sum("n").alias("company"))
+    buckets = stage(buckets.join(company, "node").select("band", "node", "company"))
     found = session.createDataFrame([], "a long, b long, similarity double")
     roots = session.createDataFrame([], "node long, root long")
     led = session.createDataFrame([], "band long, node long")
     leaders = 1
     while True:
-        if leaders == 1:  # the smallest member
+        if leaders == 1:
             member = buckets.withColumn("root", F.col("node"))
-            fresh = member.groupBy("band").agg(F.min("node").alias("node")).withColumn("root", F.col("node"))
+            most = F.max(F.struct("company", (-F.col("node")).alias("minus")))["minus"]
+            fresh = member.groupBy("band").agg((-most).alias("node")).withColumn("root", F.col("node"))
         else:
             member = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             parts = member.groupBy("band", "root").agg(F.count("*").alias("n"))
             main = (parts.groupBy("band").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"))
                     .filter("parts > 1").select("band", "main"))
             member = stage(member.join(main, "band"))
-            order = Window.partitionBy("band").orderBy("node")
+            order = Window.partitionBy("band").orderBy(F.desc("company"), "node")
             fresh = (member.filter("root <> main").join(led, ["band", "node"], "left_anti")
                      .withColumn("no", F.row_number().over(order)).filter(F.col("no") <= leaders)
                      .select("band", "node", "root"))
