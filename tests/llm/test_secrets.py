@@ -2,7 +2,10 @@ import hashlib
 import random
 import re
 
-from tidemark.llm.markov_secrets import log_ratios, secret_rows
+from tidemark.llm.markov_secrets import ALPHABETS, log_ratios, secret_rows
+from tidemark.llm.queries import op7_markov_secrets
+
+from .conftest import SF
 
 PATTERNS = [
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
@@ -57,3 +60,21 @@ def test_models_add_random_strings_and_spare_words(spark):
 def test_models_need_both_labels(spark):
     one = spark.createDataFrame([("abcdef", True)], "sample string, random boolean")
     assert not any(log_ratios(one)) and not any(log_ratios(one.filter("1 = 0")))
+
+
+def test_query_finds_random_strings_of_every_alphabet(spark, tmp_path):
+    pick = random.Random(3)
+    kinds = {k: a for k, a in ALPHABETS.items() if k != "hex"}  # found by the base pattern
+    secrets = [(k, "".join(pick.choices(a, k=n))) for k, a in kinds.items() for n in (16, 20, 24, 32, 40) for _ in range(30)]
+    secrets.append(("example", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"))
+    plain = ["src/main/java/org/apache/spark", "my_long_variable_name_here", "MAX_RETRY_COUNT_LIMIT_DEFAULT",
+             "getElementByClassName", "internationalization", "=" * 30, "-" * 30, "file_name_2023_v2_final"]
+    texts = spark.read.parquet(f"{SF}/documents.parquet").select("text")
+    rows = [(k, f"see {x} here") for k, x in secrets] + [("plain", f"see {x} here") for x in plain]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    docs.unionByName(texts.selectExpr("-1L AS doc_id", "text")).write.parquet(str(tmp_path / "documents.parquet"))
+    spans = {r["doc_id"]: r["spans"] for r in op7_markov_secrets(spark, str(tmp_path)).filter("doc_id >= 0").collect()}
+    hit = [bool(spans[i]) for i in range(len(rows))]  # base patterns count, as for a run of digits
+    for kind in [*kinds, "example", "plain"]:
+        found = [h for h, (k, _) in zip(hit, rows) if k == kind]
+        assert sum(found) / len(found) >= 0.95 if kind != "plain" else not any(found), kind

@@ -6,7 +6,9 @@ its log-likelihood ratio is high enough, in total and per character.
 
 The labelled samples come from the corpus itself unless a table is given: what the base
 patterns match is random, candidate strings apart from any base match are ordinary. All of
-them are counted, none is sampled. A model is at most one row per pair of characters, so
+them are counted, none is sampled. Such samples know only the alphabets that the base
+patterns happen to match; ``labelled_samples`` gives random strings of all usual alphabets,
+and the corpus' words and identifiers (strings of their shape, not all candidates). A model is at most one row per pair of characters, so
 counts are combined map-side and the two models (a table of fixed size, one number per pair
 of characters) are the only thing that passes the driver.
 
@@ -19,6 +21,8 @@ candidates are staged.
 from __future__ import annotations
 
 import math
+import random
+import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -40,6 +44,36 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 _CODES = 128
 _SCALE = 1000  # log ratios are kept as integers of 1/1000 nat, so sums do not depend on order
 
+#: Alphabets of random strings: base64 and its URL form, base62, base58, base36 and base32 and hex in both cases.
+ALPHABETS = {
+    "base64": string.ascii_letters + string.digits + "+/", "base64url": string.ascii_letters + string.digits + "-_",
+    "base62": string.ascii_letters + string.digits,
+    "base58": "".join(sorted(set(string.ascii_letters + string.digits) - set("0OIl"))),
+    "upper36": string.ascii_uppercase + string.digits, "lower36": string.ascii_lowercase + string.digits,
+    "base32": string.ascii_uppercase + "234567", "hex": string.digits + "abcdef", "HEX": string.digits + "ABCDEF",
+}
+_RANDOM_STRINGS, _RANDOM_LENGTH = 20, 500  # per alphabet
+
+# Words and identifiers that the ordinary model learns from: whole strings of at most 64
+# characters whose parts between separators are words (camel case has two or more small letters
+# after a capital, capitals come in runs of 15 or fewer) with up to four digits, or numbers.
+_MARKS = "+/_=-"
+_TOKEN = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{2,64}+(?![\p{L}\p{N}+/_=-])"
+_PART = r"(?:(?:[A-Za-z]?[a-z]*(?:[A-Z][a-z]{2,})*|[A-Z]{1,15})[0-9]{0,4}|[0-9]+)"
+IDENTIFIER = rf"^{_PART}(?:[{_MARKS}]+{_PART})*$"
+
+_COMMON_NAMES = 2000  # identifiers made of these words
+_COMMON = ("access account action address array base buffer cache call char check class client code column config "
+           "connection content context count create current data date default delete device document element "
+           "error event export false field file filter find first format frame function group handle header height image "
+           "import index input instance item join json key language last length level library line link list load local "
+           "manager map message method model module name network next node null number object offset option order "
+           "output package page parameter parent parse path position previous process project property query "
+           "queue quick read record region remove request response result return schema score search section select "
+           "server service session size source start state status stream string subject system table target task "
+           "text thread time title total true type update upload user utils value variable version view virtual "
+           "wait width window word wrap write xml year zero zone").split()
+
 
 @dataclass(frozen=True)
 class Scan:
@@ -97,6 +131,50 @@ def corpus_samples(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.concat(secret, plain)).alias("s")).select("s.*")
 
 
+def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(sample, random): random strings of every alphabet, and the words and identifiers of the corpus.
+
+    Each distinct word or identifier counts once, and a word once more in one of the writings
+    of identifiers (camel case, or small or capital letters with separators and numbers),
+    which a hash of the word chooses. Identifiers of common words weigh at least a tenth of
+    that, so that a pair of characters is not odd only because the corpus lacks it.
+    """
+    pick = random.Random(11)
+    noise = ["".join(pick.choices(a, k=_RANDOM_LENGTH)) for a in ALPHABETS.values() for _ in range(_RANDOM_STRINGS)]
+    common = []
+    for i in range(_COMMON_NAMES):
+        parts = pick.choices(_COMMON, k=3) + [str(pick.randrange(10_000))] * (i % 2)
+        if i % 3 == 0:
+            common.append((str.upper if i % 4 else str.capitalize)(parts[0]) + "".join(map(str.capitalize, parts[1:])))
+        else:
+            mark, other = pick.choices(_MARKS, k=2)
+            name = mark.join(parts) + (mark * 3 + other + mark) * (i % 4 == 0)
+            common.append(name.upper() if i % 3 == 1 else name)
+
+    def listed(values: list[str]) -> Column:
+        return F.explode(F.split(F.lit(" ".join(values)), " ")).alias("sample")
+
+    found = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(_TOKEN), F.lit(0))
+    tokens = stage(docs.select(F.explode(F.array_distinct(found)).alias("sample"))
+                   .filter(F.col("sample").rlike(IDENTIFIER)).distinct())
+    word, small = F.col("sample"), F.lower("sample")
+
+    def chosen(name: str, n: int) -> Column:
+        return F.pmod(F.crc32(F.concat(F.lit(name), word).cast("binary")), F.lit(n)).cast("int")
+
+    number = F.lpad(chosen("number", 10_000).cast("string"), 4, "0")
+    one, two = (F.substring(F.lit(_MARKS), chosen(name, len(_MARKS)) + 1, F.lit(1)) for name in ("one", "two"))
+    writings = [F.concat(F.initcap(small), F.initcap(small), number)]
+    writings += [F.concat(w, one, w, one, one, two, one, number, one, w, number) for w in (small, F.upper(word))]
+    names = F.when(word.rlike("^[A-Za-z][a-z]+$"), F.array(word, F.get(F.array(*writings), chosen("writing", len(writings)))))
+    ordinary = tokens.select(F.explode(F.coalesce(names, F.array(word))).alias("sample"))
+    times = max(1, -(-tokens.count() // (10 * _COMMON_NAMES)))
+    spark = docs.sparkSession
+    usual = spark.range(times).select(listed(common))
+    return (spark.range(1).select(listed(noise)).withColumn("random", F.lit(True))
+            .unionByName(ordinary.unionByName(usual).withColumn("random", F.lit(False))))
+
+
 def _codes(text: Column) -> Column:
     """ASCII codes of a string's characters; any other character counts as code 0."""
     return F.transform(F.split(text, ""), lambda c: F.when(F.ascii(c) < _CODES, F.ascii(c)).otherwise(F.lit(0)))

@@ -57,7 +57,8 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markov_secrets.secret_rows(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return markov_secrets.secret_rows(docs, samples=markov_secrets.labelled_samples(docs))
 
 
 def op8_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
