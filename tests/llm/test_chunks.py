@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -82,3 +84,15 @@ def test_edge_rows(edge_docs, no_docs):
     assert out.filter("text is null").count() == 2
     assert out.filter((F.col("doc_id") == 6) & (F.col("text") == LONG)).count() == 1
     assert repeat_rows(no_docs).collect() == [] and without_repeats(no_docs).collect() == []
+
+
+def test_shared_runs_of_a_short_period_are_found(spark):
+    pick = random.Random(4)
+    words = ["and", "der", "los", "mehr", "internationalization", "a b", "one two three", "über", "des mots qui reviennent",
+             *["".join(pick.choices("abcdefghijklmnopqrstuvwxyz ", k=k)) for k in range(4, 40)]]
+
+    def around():
+        return " ".join("".join(pick.choices("abcdefghijklmnop", k=6)) for _ in range(20))
+    docs = [(2 * i + j, f"{around()} {' '.join([w] * (60 + 9 * j))} {around()}") for i, w in enumerate(words) for j in (0, 1)]
+    got = {r["doc_id"]: r for r in repeat_rows(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert set(got) == {i for i, _ in docs}

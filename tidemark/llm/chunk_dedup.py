@@ -3,7 +3,10 @@
 A text is cut after a byte where the gear hash of the last ``WINDOW`` bytes has ``CUT_BITS``
 zero bits (and no other such byte lies in the last ``MIN_CHUNK`` bytes). Cuts depend on the
 bytes around them only, so an insertion moves the chunks behind it but does not
-change them. Chunks are deduplicated by a 128-bit digest: a chunk that occurs before, in
+change them. A run with a short period ('and and and ...') has such a byte in every period or in
+none, so it would get no cut; inside a gap of more than ``MAX_GAP`` bytes, it is cut where the gear
+hash is smallest in each period, which is the same place of the period in every text. Such chunks
+count as repeats only if another row has them too: a run that goes on is no copy of itself. Chunks are deduplicated by a 128-bit digest: a chunk that occurs before, in
 the order of (doc_id, row, position), is a repeat. Neighbouring chunks that occur more than
 once form a run; runs of at least ``min_bytes`` are passages, shorter ones (stock phrases,
 single lines) are left alone.
@@ -30,6 +33,9 @@ WINDOW_STEPS = 4  # the gear hash covers 1 << WINDOW_STEPS bytes
 WINDOW = 1 << WINDOW_STEPS
 CUT_BITS = 5
 MIN_CHUNK, MAX_CHUNK = 16, 1024
+MAX_GAP = 64  # longer chunks are searched for periods
+_REACH = MIN_CHUNK - 1  # bytes on both sides over which a hash is the smallest
+_LAGS = 8  # periods have at most so many smallest places
 MIN_PASSAGE = 100
 
 _GEAR = mix64(np.arange(1, 257, dtype=U64) * U64(0xA0761D6478BD642F)).astype(np.uint32)
@@ -53,11 +59,59 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _smallest(h: np.ndarray) -> np.ndarray:
+    """Places whose hash is not above any other at most _REACH away, equal ones included."""
+    n, width, low = len(h), 2 * _REACH + 1, np.full(len(h) + 2 * _REACH, 0xFFFFFFFF, np.uint32)
+    low[_REACH:_REACH + n] = h
+    step = 1
+    while step * 2 <= width:
+        low = np.minimum(low[:-step], low[step:])
+        step *= 2
+    rest = width - step
+    return np.flatnonzero(h == np.minimum(low[:len(low) - rest], low[rest:]))
+
+
+def _period_cuts(data: np.ndarray, h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Cuts inside the chunks longer than MAX_GAP, where these repeat with a period.
+
+    A smallest place counts if its hash comes back at one of the next or last _LAGS ones of
+    the same chunk. Cuts are at least MIN_CHUNK apart; where periods are shorter, a chunk holds several of them.
+    """
+    long = np.flatnonzero(ends - starts > MAX_GAP)
+    if not len(long):
+        return long
+    h = h.copy()
+    h[:-1][(data[1:] & 0xC0) == 0x80] = 0xFFFFFFFF  # never inside a character
+    at = _smallest(h) + 1
+    gap = np.searchsorted(starts[long], at, side="right") - 1
+    first, last = starts[long][gap] + WINDOW, ends[long][gap] - MIN_CHUNK
+    inside = (gap >= 0) & (at >= first) & (at <= last)
+    at, gap = at[inside], gap[inside]
+    again = np.zeros(len(at), bool)
+    for lag in range(1, min(_LAGS, len(at) - 1) + 1):
+        same = (h[at[lag:] - 1] == h[at[:-lag] - 1]) & (gap[lag:] == gap[:-lag])
+        again[lag:] |= same
+        again[:-lag] |= same
+    at, gap = at[again], gap[again]
+    out, end, of = [], 0, -1
+    for x, g in zip(at.tolist(), gap.tolist()):
+        if g != of or x - end >= MIN_CHUNK:
+            out.append(x)
+            end, of = x, g
+    return np.array(out, np.int64)
+
+
 def cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Chunk ends (exclusive), ascending, of the texts that ``bounds`` marks in ``data``."""
+    return _cuts(data, bounds)[0]
+
+
+def _cuts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``cuts``, and which of them lie inside a run with a period."""
     top = np.uint32(((1 << CUT_BITS) - 1) << (WINDOW - CUT_BITS))
     n = len(data)
-    wanted = np.flatnonzero(gear(data) & top == 0) + 1 if n else np.zeros(0, np.int64)
+    h = gear(data) if n else np.zeros(0, np.uint32)
+    wanted = np.flatnonzero(h & top == 0) + 1
     far = np.ones(len(wanted), bool)
     far[1:] = np.diff(wanted) >= MIN_CHUNK
     wanted = wanted[far & (wanted < n)]
@@ -67,6 +121,10 @@ def cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     wanted = wanted[wanted - bounds[owner] >= WINDOW]
     ends = np.union1d(wanted, bounds[1:][np.diff(bounds) > 0])
     starts = np.concatenate(([0], ends[:-1]))
+    within = _period_cuts(data, h, starts, ends)
+    if len(within):
+        ends = np.union1d(ends, within)
+        starts = np.concatenate(([0], ends[:-1]))
     long = np.flatnonzero(ends - starts > MAX_CHUNK)
     extra = []
     for i in long:  # cut at fixed distances, before a character
@@ -74,11 +132,12 @@ def cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
             while data[at] & 0xC0 == 0x80:
                 at -= 1
             extra.append(at)
-    return np.union1d(ends, np.array(extra, np.int64)) if extra else ends
+    ends = np.union1d(ends, np.array(extra, np.int64)) if extra else ends
+    return ends, np.isin(ends, within)
 
 
 def _chunks(batches):
-    """Batches of (uid, doc_id, text) -> (uid, doc_id, start, end, n_bytes, d1, d2) per chunk."""
+    """Batches of (uid, doc_id, text) -> (uid, doc_id, start, end, n_bytes, d1, d2, run) per chunk."""
     for batch in batches:
         uid, doc_id = batch.column(0).to_numpy(), batch.column(1)
         data, bounds = raw_bytes(batch.column(2))
@@ -87,8 +146,9 @@ def _chunks(batches):
             part, mine = data[base:int(bounds[b])], bounds[a:b + 1] - base
             if not len(part):
                 continue
-            end = cuts(part, mine)
+            end, inside = _cuts(part, mine)
             start = np.concatenate(([0], end[:-1]))
+            run = inside & np.concatenate(([False], inside[:-1]))
             owner = np.searchsorted(mine, start, side="right") - 1
             up, down = _powers(len(part) + 1)
             digest = []
@@ -101,8 +161,8 @@ def _chunks(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(uid[a + owner]), doc_id.take(pa.array(a + owner)),
                  pa.array((chars[start] - first).astype(np.int32)), pa.array((chars[end] - first).astype(np.int32)),
-                 pa.array((end - start).astype(np.int32)), pa.array(digest[0]), pa.array(digest[1])],
-                names=["uid", "doc_id", "start", "end", "n_bytes", "d1", "d2"])
+                 pa.array((end - start).astype(np.int32)), pa.array(digest[0]), pa.array(digest[1]), pa.array(run)],
+                names=["uid", "doc_id", "start", "end", "n_bytes", "d1", "d2", "run"])
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
@@ -113,7 +173,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 
 def _staged_chunks(rows: DataFrame) -> DataFrame:
     path = scratch_path(rows.sparkSession, "chunks")
-    chunks = rows.mapInArrow(_chunks, "uid long, doc_id long, start int, end int, n_bytes int, d1 long, d2 long")
+    chunks = rows.mapInArrow(_chunks, "uid long, doc_id long, start int, end int, n_bytes int, d1 long, d2 long, run boolean")
     with small_batches(rows.sparkSession):
         chunks.write.parquet(path)
     return rows.sparkSession.read.parquet(path)
@@ -128,8 +188,10 @@ def repeated_passages(chunks: DataFrame, min_bytes: int = MIN_PASSAGE) -> DataFr
     its first chunk.
     """
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "start")
-    seen = (chunks.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-            .filter("n > 1").select("d1", "d2", "first"))
+    owner = F.when(F.col("run"), F.col("uid")).otherwise(F.lit(-1))
+    seen = (chunks.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("first"),
+                                           F.min(owner).alias("low"), F.max(owner).alias("high"))
+            .filter("n > 1 AND (low < 0 OR low < high)").select("d1", "d2", "first"))
     shared = chunks.join(seen, ["d1", "d2"]).select(
         "uid", "doc_id", "start", "end", "n_bytes", F.col("first.doc_id").alias("first_doc_id"),
         ((F.col("first.uid") != F.col("uid")) | (F.col("first.start") != F.col("start"))).alias("again"))
