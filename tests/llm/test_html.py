@@ -76,3 +76,12 @@ def test_edge_rows(spark):
     rows = sorted(map(tuple, extracted_rows(df).filter("page_id is null or page_id < 3").collect()), key=repr)
     assert rows == sorted([(1, None, 0, 0), (None, "x", 1, 1), (2, "", 0, 0), (2, "", 0, 0)], key=repr)
     assert extracted_rows(df).count() == 5 and extracted_rows(df.filter("1 = 0")).collect() == []
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<p title=don't>visible one</p><p>it's here</p>", "visible one\n\nit's here"),
+    ("""<p title = "a>b" x='c>d' y=e"f>g</p>h"i""", 'g\n\nh"i'),
+    ("İ<SCRIPT>a</SCRIPT>b<STYLE>c</STYLE>d", "İbd"),
+])
+def test_quotes_in_tags_and_raw_ends_keep_visible_text(page, text):
+    assert visible_text(page) == text

@@ -56,14 +56,19 @@ _IMPLIED = {
 }
 _PARAGRAPH_BARRIER = frozenset("table td th caption button object".split())
 
+# A quote opens a section only where the value of an attribute begins; elsewhere it is a character.
+_VALUE = r"""\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+>|[^>]*>)|<[!?/][^>]*>""", re.S)
+    rf"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE})?+)*+>|[^>]*>)|<[!?/][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _DISPLAY_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.I)
 _WANTED = frozenset("hidden style open type start value colspan selected".split())
 
 
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
+
+
 class Node:
     __slots__ = ("tag", "attributes", "children")
 
@@ -164,7 +169,6 @@ class Builder:
 def parse(page: str) -> Node:
     """Tree of a page. Whatever cannot be read as markup is text; nothing is rejected."""
     b, at, last = Builder(), 0, page.rfind(">")
-    raw_end = page.lower() if len(page) == len(page.lower()) else page
     while at <= last:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -181,8 +185,8 @@ def parse(page: str) -> Node:
         rest = m[3]
         b.start(tag, _attributes(rest[:-1]) if len(rest) > 1 else {})
         if tag in RAW:
-            end = raw_end.find(f"</{tag}", at)
-            end = len(page) if end < 0 else end
+            closing = _RAW_END[tag].search(page, at)
+            end = closing.start() if closing else len(page)
             if tag in ("textarea", "title"):
                 b.text(html.unescape(page[at:end]))
             at = end
