@@ -54,6 +54,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(r == HELD_OUT_REMAINDER, F.lit(True))
 
 
+def group_key(value: Column) -> Column:
+    """A group's value as a string that sorts NULL first, then bytewise; never NULL."""
+    s = value.cast("string")
+    return F.coalesce(F.concat(F.lit("="), s), F.lit(""))
+
+
 def hash60(*parts: Column) -> Column:
     """60 uniform bits of the md5 of the parts joined by ':' (NULL counts as '')."""
     text = F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])

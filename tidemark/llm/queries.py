@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adaptive_quality, chunk_dedup, html_text, icws_dedup, jump_shards, langid, markov_secrets, oracles, pairwise_quality, tree_mix, winnowing
+from tidemark.session import scratch_path
+
+from . import (adaptive_quality, chunk_dedup, conversation_repair, html_text, icws_dedup, jump_shards, langid,
+               markov_secrets, merkle_manifest, oracles, pairwise_quality, token_store, tree_mix, winnowing)
 from .common import table
 
 SHARDS = 8
+VOCABULARY = "word_bpe_49k.json"
 
 
 def domain(source: Column) -> Column:
@@ -73,6 +77,23 @@ def op10_icws_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return icws_dedup.near_duplicate_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest_rows(table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    vocabulary = token_store.Vocabulary(public_tokenizers.path(VOCABULARY), end_id=1, by_word=True)
+    token_store.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary)
+    return token_store.token_rows(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_html_layout": op2_html_layout,
@@ -84,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tree_mix": op8_tree_mix,
     "op9_pairwise_quality": op9_pairwise_quality,
     "op10_icws_near_dedup": op10_icws_near_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_files": op13_token_files,
 }
 _DOMAIN_SQL = """CASE WHEN regexp_matches(source, '^src[0-9]{1,6}$') THEN
   CASE WHEN substr(source, 4)::INT < 8 THEN 'web' WHEN substr(source, 4)::INT < 14 THEN 'books'
