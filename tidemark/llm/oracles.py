@@ -101,6 +101,67 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INT AS sha
 FROM sums JOIN place USING (rid)
 """
 
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _:
+           CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256))::BIGINT AS i))"""
+
+
+def op12(fields: tuple[str, ...], levels: int = 9, group_levels: int = 4) -> str:
+    """Manifest of up to 8**levels rows a language and 8**group_levels languages: all trees
+    level by level, then each leaf's siblings by its rank."""
+    def encoded(text: str) -> str:
+        parts = [text if f == "text" else f"{f}::VARCHAR" for f in fields]
+        return " || ".join(f"CASE WHEN {x} IS NULL THEN '-' ELSE octet_length(encode({x})) || ':' || {x} END" for x in parts)
+
+    def tree(name: str, by: str, base: str, depth: int) -> str:
+        out = [f"{name}0 AS ({base})"]
+        for k in range(depth):
+            out.append(f"""{name}{k + 1} AS (
+  SELECT {by}, i // 8 AS i, any_value((n + 7) // 8) AS n, list(h ORDER BY i) AS kids,
+         CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+  FROM {name}{k} GROUP BY {by}, i // 8)""")
+        return ", ".join(out)
+
+    def climb(source: str, name: str, by: str, rank: str, depth: int) -> str:
+        """Adds the siblings and the folded digest level by level, from ``rank`` on."""
+        for k in range(depth):
+            at = f"({rank} // {8 ** k})"
+            left = f"array_to_string(t{k}.kids[1:{at} % 8], '')"
+            right = f"array_to_string(t{k}.kids[{at} % 8 + 2:], '')"
+            source = f"""(SELECT d.* EXCLUDE (proof, f),
+  CASE WHEN len(t{k}.kids) > 1 OR below{k}.n > 1 THEN d.proof || {left} || {right} ELSE d.proof END AS proof,
+  CASE WHEN below{k}.n > 1 THEN sha256({left} || d.f || {right}) ELSE d.f END AS f
+  FROM {source} d JOIN {name}{k + 1} t{k} ON t{k}.{by} IS NOT DISTINCT FROM d.{by} AND t{k}.i = {at} // 8
+  JOIN {name}{k} below{k} ON below{k}.{by} IS NOT DISTINCT FROM d.{by} AND below{k}.i = {at})"""
+        return source
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+               regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+    return f"""
+WITH {_CRC_TABLE},
+docs AS (SELECT doc_id, lang, sha256({encoded("text")}) AS h, coalesce({crc} % 3 = 0, false) AS hit,
+                sha256({encoded(low)}) AS changed
+         FROM documents, crc_table),
+ordered AS (SELECT doc_id, lang, h, CASE WHEN hit THEN changed ELSE h END AS f,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+                   count(*) OVER (PARTITION BY lang) AS n FROM docs),
+{tree("l", "lang", "SELECT lang, i, n, h, NULL::VARCHAR[] AS kids FROM ordered", levels)},
+subroots AS (SELECT true AS every, lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i,
+                    count(*) OVER () AS n FROM l{levels}),
+{tree("g", "every", "SELECT every, i, n, h, NULL::VARCHAR[] AS kids FROM subroots", group_levels)},
+inside AS (SELECT * FROM {climb("(SELECT doc_id, lang, h AS leaf, i, f, '' AS proof FROM ordered)", "l", "lang", "d.i", levels)}),
+placed AS (SELECT inside.*, s.every, s.i AS place, s.h AS subroot
+           FROM inside JOIN subroots s ON inside.lang IS NOT DISTINCT FROM s.lang),
+whole AS (SELECT * FROM {climb("placed", "g", "every", "d.place", group_levels)})
+SELECT doc_id, leaf, subroot, (SELECT h FROM g{group_levels}) AS root, sha256(proof) AS proof_sha256,
+       f AS folded_root, f = (SELECT h FROM g{group_levels}) AS verified
+FROM whole
+"""
+
+
 OP6 = """
 WITH docs AS (
   SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),

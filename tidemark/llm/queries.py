@@ -121,4 +121,5 @@ ORACLES: dict[str, str] = {
     "op6_winnowing": oracles.OP6,
     "op7_markov_secrets": oracles.OP7,
     "op8_tree_mix": oracles.op8(MIX, _DOMAIN_SQL),
+    "op12_merkle_manifest": oracles.op12(merkle_manifest.FIELDS),
 }
