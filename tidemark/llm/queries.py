@@ -89,7 +89,7 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = scratch_path(spark, "token-files")
-    vocabulary = token_store.Vocabulary(public_tokenizers.path(VOCABULARY), end_id=1, by_word=True)
+    vocabulary = token_store.Vocabulary(public_tokenizers.path(VOCABULARY), end_id=1, by_piece=True)
     token_store.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary)
     return token_store.token_rows(spark, path)
 

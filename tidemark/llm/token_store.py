@@ -19,13 +19,16 @@ lost executor's files are written anew and never half kept. ``max_blocks`` bound
 Reading takes one file per row; where a block starts in the whole array follows from the
 blocks' id counts.
 
-Tokenizing: where a tokenizer drops white space and splits at it, the ids of a text are those
-of its words one after the other. Words are then looked up in a bounded table of the words
-met before, and the library encodes those that are not in it. Other tokenizers get whole texts.
+Tokenizing: a tokenizer with word ends that drops white space, lower-cases, and splits texts into
+runs of letters, single digits and runs of other characters, encodes these pieces independently
+of each other. Texts of plain characters are then cut into pieces here, pieces met before are
+looked up in a bounded table, and the library encodes the new ones, many at a time. Texts with
+any other character, and texts for other tokenizers, are encoded whole.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -49,14 +52,14 @@ MAX_BROADCAST_BLOCKS = 200_000  # a block's row is under 100 bytes
 class Vocabulary:
     """A tokenizer file and how it is used.
 
-    ``by_word``: the tokenizer drops white space and never joins what stands on both sides of
-    it, so words can be encoded one by one. ``kept_words`` bounds the table of words.
+    ``by_piece``: the tokenizer splits texts as the module's docstring says. ``kept_pieces``
+    bounds the table of pieces.
     """
 
     path: str
     end_id: int = 1
-    by_word: bool = False
-    kept_words: int = 300_000
+    by_piece: bool = False
+    kept_pieces: int = 300_000
 
 
 class EliasFano:
@@ -169,32 +172,72 @@ def blocks(content: bytes) -> Iterator[Block]:
         at = block.end + 1
 
 
-class _Words:
-    """Ids of words: those met lately are looked up, the library encodes the others."""
+# Letters whose lower case and composed form are one letter each, and all other ASCII but the
+# apostrophe (clitics) and "<" (special tokens).
+_LETTERS = "a-zß-öø-ÿœ"
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿŒœ0-9 \n\t!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~¡¿]*")
+_PIECE = re.compile(rf"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9\s]+")
+_AT_ONCE = 2000
+
+
+class _Pieces:
+    """Ids of texts by pieces: those met lately are looked up, the library encodes the others."""
 
     def __init__(self, tokenizer, kept: int):
         self.tokenizer, self.half, self.young, self.old = tokenizer, max(kept // 2, 1), {}, {}
+        suffix = tokenizer.model.end_of_word_suffix
+        if not suffix:
+            raise ValueError("the tokenizer marks no word ends")
+        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        for token, i in tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith(suffix)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Many pieces are encoded as one text and cut at the word ends."""
+        for i in range(0, len(pieces), _AT_ONCE):
+            part = pieces[i:i + _AT_ONCE]
+            ids = self._whole([" ".join(part)])[0]
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part):
+                raise ValueError("the tokenizer does not split texts into these pieces")
+            raw, at = ids.tobytes(), 0
+            for piece, cut in zip(part, (cuts * 4).tolist()):
+                yield piece, raw[at:cut]
+                at = cut
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = {}
-        for w in {w for words in split for w in words}:
-            got = self.young.get(w)
-            known[w] = self.old.get(w) if got is None else got
-        new = [w for w, got in known.items() if got is None]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = np.array(e.ids, np.uint32).tobytes()
-        if len(self.young) + len(known) > self.half:
+        if len(self.young) > self.half:
             self.young, self.old = {}, self.young
-        self.young.update(known if len(known) <= self.half else ())
-        return [np.frombuffer(b"".join([known[w] for w in words]), np.uint32) for words in split]
-
-
-def _token_ids(tokenizer, vocabulary: Vocabulary):
-    if vocabulary.by_word:
-        return _Words(tokenizer, vocabulary.kept_words).ids
-    return lambda texts: [np.array(e.ids, np.uint32)
-                          for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        split = [_PIECE.findall(t.lower()) if _PLAIN.fullmatch(t) else None for t in texts]
+        missing = {p for pieces in split for p in set(pieces or ())} - self.young.keys()
+        known = {p: self.old[p] for p in missing if p in self.old}
+        self.young.update(known)
+        self.young.update(self._new(sorted(missing - known.keys())))
+        odd = iter(self._whole([t for t, pieces in zip(texts, split) if pieces is None]))
+        look = self.young.__getitem__
+        return [next(odd) if pieces is None else np.frombuffer(b"".join(map(look, pieces)), np.uint32) for pieces in split]
+
+
+def _encoder(definition: str, vocabulary: Vocabulary):
+    """(function from texts to ids, vocabulary size), kept from task to task: Python workers are
+    reused, and what hangs on an imported module lives as long as they do."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_kept_encoders", {})
+    key = (zlib.crc32(definition.encode()), vocabulary)
+    if key not in kept:
+        kept.clear()
+        tokenizer = tokenizers.Tokenizer.from_str(definition)
+        if vocabulary.by_piece:
+            encode = _Pieces(tokenizer, vocabulary.kept_pieces).ids
+        else:
+            encode = lambda texts: [np.array(e.ids, np.uint32)
+                                    for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        kept[key] = encode, tokenizer.get_vocab_size()
+    return kept[key]
 
 
 def _vocabulary_file(path: str) -> str:
@@ -221,11 +264,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: Vocabulary, key: s
 
     def to_blocks(batches):
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(definition.value)
-        encode = _token_ids(tokenizer, vocabulary)
-        width = 2 if max(tokenizer.get_vocab_size(), vocabulary.end_id + 1) <= 1 << 16 else 4
+        encode, size = _encoder(definition.value, vocabulary)
+        width = 2 if max(size, vocabulary.end_id + 1) <= 1 << 16 else 4
         end = np.array([vocabulary.end_id], np.uint32)
         part, number, keys, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
 
