@@ -88,7 +88,9 @@ def test_batches_to_probe_edges(spark):
     t = datetime(2024, 1, 1)
     ledger = ledger_rows(spark, ["a"], "b1", t, "archived", key_range=(10, 20)).unionByName(
         ledger_rows(spark, ["b"], "b2", t, "archived", key_range=(1, 0)))  # b2: no key inserted
-    assert batches_to_probe(spark, ledger, [], 0, 100, 10) == []
-    assert batches_to_probe(spark, ledger, ["b1", "b2", "b9"], 15, 15, 10) == ["b1", "b9"]  # b9 untracked
-    assert batches_to_probe(spark, ledger, ["b1", "b2"], 21, 30, 10) == []
-    assert batches_to_probe(spark, ledger, ["b1", "b9"], 0, 100, 1) is None  # over the bound
+    assert batches_to_probe(spark, ledger, [], 0, 100) == {}
+    assert batches_to_probe(spark, ledger, ["b1", "b2", "b9"], 15, 15) == {"b1": None, "b9": None}  # b9 untracked
+    assert batches_to_probe(spark, ledger, ["b1", "b2"], 21, 30) == {}
+    assert batches_to_probe(spark, ledger, ["b1", "b2"], None, None) == {"b1": None, "b2": None}  # no range known
+    indexed = ledger.unionByName(ledger_rows(spark, ["c"], "b3", t, "archived", key_range=(1, 99), key_blocks=4))
+    assert batches_to_probe(spark, indexed, ["b1", "b3"], 0, 100) == {"b1": None, "b3": 4}

@@ -335,11 +335,9 @@ def test_target_probe_reads_only_overlapping_batch_folders(spark, tmp_path):
     assert all(lo is not None and lo <= hi for lo, hi in kr.values())
     # a key range inside the second batch's range: only that folder is probed
     lo, hi = kr[batches[1]]
-    probe = P.probe_target(spark, enr_t, ledger, "current", lo, hi, 100)
+    probe = P.probe_target(spark, enr_t, ledger, "current", lo, hi)
     assert all(f"batch_id={batches[1]}" in f for f in probe.inputFiles())
     assert probe.count() == 100
-    # too many folders for the bound: read the whole table
-    assert P.probe_target(spark, enr_t, ledger, "current", 0, 10**9, 2) is None
     # a re-delivery of the first batch's ids is still recognised with pruning on
     growing(0, "g_again")
     r = P.run_batch(spark, c, clock(9))
@@ -359,14 +357,14 @@ def test_target_probe_keeps_untracked_folders(spark, tmp_path):
     rows = P.read_table(spark, enr_t).limit(3)
     table_append(enr_t, rows, batch_id="loaded-elsewhere")  # content the ledger never saw
     ledger = read_ledger(spark, c.ledger_path)
-    probe = P.probe_target(spark, enr_t, ledger, "current", 10**12, 10**12 + 1, 100)
+    probe = P.probe_target(spark, enr_t, ledger, "current", 10**12, 10**12 + 1)
     assert probe.count() == 3  # the tracked batch is skipped (range misses), the untracked one kept
     # unknown layout (a data file at the table root): no pruning
     spark.range(1).write.mode("append").parquet(f"{enr_t.path}/../stray")
     import shutil, glob
     f = glob.glob(f"{c.root}/stray/*.parquet")[0]
     shutil.copy(f, f"{enr_t.path}/stray.parquet")
-    assert P.probe_target(spark, enr_t, ledger, "current", 0, 1, 100) is None
+    assert P.probe_target(spark, enr_t, ledger, "current", 0, 1) is None
 
 
 def test_command_line_stream(spark, tmp_path):

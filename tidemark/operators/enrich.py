@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.skew import hot_keys, left_join
 from tidemark.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast, measure
 from tidemark.schemas import DIMENSION_KEY, ENRICHED_PREFIX, enriched_name
 from tidemark.sources.fs import file_versions
@@ -69,8 +70,8 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str = "state", dim_key: s
 
     The dimension is broadcast only after ``measure`` proved it under
     ``max_rows`` and ``max_bytes`` (default: the session's broadcast threshold,
-    or 50 MB if that is off); otherwise the join is left to AQE (shuffle join
-    with skew splitting of hot fact keys).
+    or 50 MB if that is off). Otherwise it is a shuffle join, in which the facts of
+    hot keys stay where they are and meet the few dimension rows of those keys by broadcast.
     """
     if max_bytes is None:
         from tidemark.session import broadcast_threshold
@@ -81,6 +82,7 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str = "state", dim_key: s
     if size.duplicate_keys:  # at any size: the join strategy must not change the answer
         raise DuplicateDimensionKey(f"dimension key {dim_key!r} is not unique")
     if fits_broadcast(size, max_bytes):
-        right = F.broadcast(right)
-    joined = facts.join(right, facts[fact_key] == right[_KEY], "left")
-    return joined.drop(_KEY)
+        return facts.join(F.broadcast(right), facts[fact_key] == right[_KEY], "left").drop(_KEY)
+    if on_duplicate != "error":  # keys that may repeat are not proven few
+        return facts.join(right, facts[fact_key] == right[_KEY], "left").drop(_KEY)
+    return left_join(facts, fact_key, right, _KEY, hot_keys(facts, [fact_key])).drop(_KEY)

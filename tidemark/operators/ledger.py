@@ -77,12 +77,13 @@ def names_of(paths) -> list[str]:
 
 def ledger_rows(spark: SparkSession, paths, batch_id: str, batch_time: datetime,
                 state: str | tuple[str, ...], watermark_us: int | None = None,
-                updated_at: datetime | None = None, key_range: tuple[int, int] | None = None) -> DataFrame:
+                updated_at: datetime | None = None, key_range: tuple[int, int] | None = None,
+                key_blocks: int | None = None) -> DataFrame:
     """State-change rows for one batch (at most ``max_files`` files per state).
 
     ``paths`` holds paths or (path, version) pairs. Several states are recorded
     in order (increasing ``seq``) by one write. ``key_range`` is the range of
-    merge keys the batch inserted (``(1, 0)`` = none).
+    merge keys the batch inserted (``(1, 0)`` = none), ``key_blocks`` the size of their index.
     """
     now = updated_at or datetime.now(timezone.utc)
     states = (state,) if isinstance(state, str) else tuple(state)
@@ -90,38 +91,37 @@ def ledger_rows(spark: SparkSession, paths, batch_id: str, batch_time: datetime,
     rows = []
     for st in states:
         seq = _seq()
-        rows += [(p, batch_id, batch_time, st, now, seq, watermark_us, v, kmin, kmax) for p, v in files_of(paths)]
+        rows += [(p, batch_id, batch_time, st, now, seq, watermark_us, v, kmin, kmax, key_blocks) for p, v in files_of(paths)]
     return literal_rows(spark, rows, LEDGER_SCHEMA)
 
 
 def record(spark: SparkSession, ledger_path: str, paths: list[str], batch_id: str, batch_time: datetime,
            state: str | tuple[str, ...], watermark_us: int | None = None, at: datetime | None = None,
-           key_range: tuple[int, int] | None = None) -> None:
+           key_range: tuple[int, int] | None = None, key_blocks: int | None = None) -> None:
     now = (at or datetime.now(timezone.utc)).astimezone(timezone.utc)
     ledger_rows(spark, paths, batch_id, batch_time, state, watermark_us, updated_at=now,
-                key_range=key_range).coalesce(1) \
+                key_range=key_range, key_blocks=key_blocks).coalesce(1) \
         .write.mode("append").parquet(f"{ledger_path}/log/day={now:%Y-%m-%d}")
 
 
-def batches_to_probe(spark: SparkSession, ledger: DataFrame, folders: list[str], lo: int, hi: int,
-                     limit: int) -> list[str] | None:
-    """Batch folders of the target that may hold keys in ``[lo, hi]``.
+def batches_to_probe(spark: SparkSession, ledger: DataFrame, folders: list[str], lo: int | None,
+                     hi: int | None) -> dict[str, int | None]:
+    """Batch folders of the target that may hold keys in ``[lo, hi]``, and the size of their key index.
 
-    A folder is skipped only when the ledger recorded the key range its batch
-    inserted and that range misses ``[lo, hi]``; folders the ledger knows
-    nothing about are always kept. Returns None when more than ``limit``
-    folders remain (the caller then reads the whole table).
+    A folder is skipped only when the ledger recorded the key range its batch inserted and
+    that range misses ``[lo, hi]`` (None: no range is known); folders the ledger knows
+    nothing about are always kept, and have no index (None).
     """
     if not folders:
-        return []
-    ranges = (ledger.filter(F.col("state") == "archived").filter(F.col("key_min").isNotNull())
-              .groupBy("batch_id").agg(F.min("key_min").alias("kmin"), F.max("key_max").alias("kmax")))
+        return {}
+    known = (ledger.filter(F.col("state") == "archived").groupBy("batch_id")
+             .agg(F.min("key_min").alias("kmin"), F.max("key_max").alias("kmax"), F.max("key_blocks").alias("blocks")))
     # one array literal, exploded in the JVM (no Python worker)
     names = spark.range(0, 1, 1, 1).select(F.explode(F.lit(list(folders))).alias("batch_id"))
-    keep = (names.join(ranges, "batch_id", "left")
-            .filter(F.col("kmin").isNull() | ((F.col("kmax") >= F.lit(lo)) & (F.col("kmin") <= F.lit(hi))))
-            .select("batch_id").limit(limit + 1).collect())
-    return None if len(keep) > limit else sorted(r[0] for r in keep)
+    keep = names.join(known, "batch_id", "left")
+    if lo is not None:
+        keep = keep.filter(F.col("kmin").isNull() | ((F.col("kmax") >= F.lit(lo)) & (F.col("kmin") <= F.lit(hi))))
+    return {r["batch_id"]: r["blocks"] for r in keep.select("batch_id", "blocks").collect()}
 
 
 def _ledger_parts(spark: SparkSession, ledger_path: str) -> tuple[str | None, list[str]]:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.skew import anti_join, hot_keys
 from tidemark.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast, measure
 
 
@@ -81,20 +82,38 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
     return probe.join(F.broadcast(src_keys.distinct()), keys, "left_semi").distinct()
 
 
+def first_of_each_key(source: DataFrame, keys: str | list[str], order_by: list[str] | None = None) -> DataFrame:
+    """One row per key, the least by ``order_by`` (then by all columns); rows with NULL keys are all kept.
+
+    An aggregate with map-side combination: a key with very many rows costs one row per task.
+    """
+    keys = _keys(keys)
+    whole = [F.col(f"`{c}`") for c in source.columns]
+    order = F.struct(*[F.col(f"`{c}`") for c in order_by or []], *whole)
+    keyed = source.filter(_not_null(keys))
+    kept = (keyed.select(*[F.col(f"`{k}`") for k in keys], F.struct(order.alias("o"), F.struct(*whole).alias("row")).alias("v"))
+            .groupBy(*keys).agg(F.min("v").alias("v")).select("v.row.*"))
+    return kept.unionByName(source.filter(~_not_null(keys)))
+
+
 def merge_insert(target: DataFrame, source: DataFrame, keys: str | list[str],
                  max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int | None = None,
-                 size=None) -> DataFrame:
-    """Source rows to append (not matched by key). No dedupe, NULL keys kept.
+                 size=None, dedupe_source: bool = False, dedupe_order: list[str] | None = None) -> DataFrame:
+    """Source rows to append (not matched by key). NULL keys are kept.
 
+    Rows of the source that share a key are all kept, as MERGE does, unless
+    ``dedupe_source``: then one of each key is, the least by ``dedupe_order``.
     ``size``: the source's key probe (``source_key_size``) if the caller already has it.
     """
     keys = _keys(keys)
+    if dedupe_source:
+        source = first_of_each_key(source, keys, dedupe_order)
     hit = matched_keys(target, source, keys, max_rows, max_bytes, size=size)
     if hit is not None:
         # hit is a subset of the measured source keys, so its size is bounded too.
         return source.join(F.broadcast(hit), keys, "left_anti")
-    # Large increment (e.g. first load): shuffle anti-join, AQE splits skewed source keys.
-    return source.join(target.select(*keys), keys, "left_anti")
+    # Large increment (e.g. first load): shuffle anti-join; hot keys of either side stay out of the shuffle.
+    return anti_join(source, target, keys, hot_keys(source, keys).union(hot_keys(target.select(*keys), keys)))
 
 
 def merge_insert_table(target: DataFrame, source: DataFrame, keys: str | list[str], **kw) -> DataFrame:

@@ -43,8 +43,11 @@ class NotNull:
     column: str
     kind = "expect_column_values_to_not_be_null"
 
+    def violation(self) -> Column:
+        return F.col(self.column).isNull()
+
     def unexpected(self) -> Column:
-        return F.count_if(F.col(self.column).isNull())
+        return F.count_if(self.violation())
 
     def success(self, rows: Column, unexpected: Column) -> Column:
         return unexpected == 0
@@ -56,9 +59,12 @@ class MatchRegex:
     regex: str
     kind = "expect_column_values_to_match_regex"
 
-    def unexpected(self) -> Column:
+    def violation(self) -> Column:
         c = F.col(self.column)
-        return F.count_if(c.isNotNull() & ~c.rlike(self.regex))
+        return c.isNotNull() & ~c.rlike(self.regex)
+
+    def unexpected(self) -> Column:
+        return F.count_if(self.violation())
 
     def success(self, rows: Column, unexpected: Column) -> Column:
         return unexpected == 0
@@ -71,14 +77,17 @@ class Between:
     max_value: float | int | None = None
     kind = "expect_column_values_to_be_between"
 
-    def unexpected(self) -> Column:
+    def violation(self) -> Column:
         c = F.col(self.column)
         bad = F.lit(False)
         if self.min_value is not None:
             bad = bad | (c < F.lit(self.min_value))
         if self.max_value is not None:
             bad = bad | (c > F.lit(self.max_value))
-        return F.count_if(c.isNotNull() & bad)
+        return c.isNotNull() & bad
+
+    def unexpected(self) -> Column:
+        return F.count_if(self.violation())
 
     def success(self, rows: Column, unexpected: Column) -> Column:
         return unexpected == 0
@@ -128,6 +137,35 @@ def validate(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     return one.select(F.inline(F.array(*structs)))
 
 
+def unexpected_samples(df: DataFrame, suite: list[Expectation], key: str, size: int = 8) -> DataFrame:
+    """``validate`` with examples: per column check up to ``size`` violating rows, as (key, value).
+
+    The examples come out of the same aggregate and scan. A row's hash (of its key) puts it
+    into one of ``size`` slots, and each slot keeps the violating row of the least hash: a
+    uniform, repeatable sample in bounded memory, however many rows violate. Rows are hashed
+    only if they violate. NULL keys are hashed as an empty text.
+    """
+    k = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
+    h = F.conv(F.substring(F.md5(k.cast("binary")), 1, 15), 16, 10).cast("long")
+    aggs, checks = [F.count(F.lit(1)).alias("__rows")], []
+    for i, e in enumerate(suite):
+        if e.column is None:
+            continue
+        bad, checks = e.violation(), [*checks, (i, e)]
+        example = F.struct(h.alias("h"), k.alias("key"), F.col(e.column).cast("string").alias("value"))
+        aggs.append(e.unexpected().alias(f"__u{i}"))
+        aggs += [F.min(F.when(bad, F.when(h % size == s, example))).alias(f"__s{i}_{s}") for s in range(size)]
+    one = df.agg(*aggs)
+    structs = []
+    for i, e in checks:
+        found = F.array_compact(F.array(*[F.col(f"__s{i}_{s}") for s in range(size)]))
+        structs.append(F.struct(
+            F.lit(i).alias("idx"), F.lit(e.kind).alias("expectation"), F.lit(e.column).alias("column_name"),
+            F.col(f"__u{i}").cast("long").alias("unexpected_count"),
+            F.transform(F.array_sort(found), lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value"))).alias("examples")))
+    return one.select(F.inline(F.array(*structs)))
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """One row: success, total/passed/failed expectations, pass_rate (%), record_count.
 

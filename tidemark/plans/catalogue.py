@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import (derive_check_columns, epoch_to_timestamp, month_index,
@@ -566,10 +566,22 @@ PIPELINE_SUITE = (NotNull("invoiceid"), MatchRegex("orderdate_date", DATE_REGEX)
 PIPELINE_START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
-def _pipeline_setup(spark: SparkSession, sf: str, max_files: int = 2, move_files: bool = True) -> PipelineConfig:
-    """Landing: one file per order year plus a re-delivery of 1995 that sorts after 1998.
+ROWS_PER_FILE = 2_000_000
 
-    With 2 files per batch: (1995, 1996) load, (1997, 1998) load,
+
+def _deliver(rows: DataFrame, files: int, folder: str, by: str | None = None) -> None:
+    """``files`` files (per value of ``by``), each written by a task of its own."""
+    part = F.pmod(F.xxhash64("invoiceid"), F.lit(files)).alias("part")
+    keys = [by] if by else []
+    rows.drop("part").select("*", part).repartition(*keys, "part").write.partitionBy(*keys, "part").parquet(folder)
+
+
+def _pipeline_setup(spark: SparkSession, sf: str, max_files: int = 2, move_files: bool = True,
+                    ids: Column | None = None) -> PipelineConfig:
+    """Landing: one delivery per order year plus a re-delivery of 1995 that sorts after 1998.
+
+    A delivery is one file, or as many as the table's size asks for; ``max_files`` counts
+    deliveries. With 2 per batch: (1995, 1996) load, (1997, 1998) load,
     (re-delivery, 1999) load with the re-delivered keys skipped by the merge,
     (2000, 2001) quarantined by the year check.
     """
@@ -577,12 +589,14 @@ def _pipeline_setup(spark: SparkSession, sf: str, max_files: int = 2, move_files
     root = scratch_path(spark, "pipeline")
     landing = f"{root}/landing"
     tx = transactions(spark, sf)
+    if ids is not None:
+        tx = tx.withColumn("invoiceid", ids)
+    files = 1 + tx.count() // (7 * ROWS_PER_FILE)  # seven years
     year = F.year(epoch_to_timestamp("orderdate"))
-    tx.withColumn("year", year).repartition("year").write.partitionBy("year").parquet(landing)
-    # the re-delivery is a copy of the 1995 file (read back, not recomputed)
-    spark.read.schema(LANDING_SCHEMA).parquet(f"{landing}/year=1995").coalesce(1) \
-        .write.parquet(f"{landing}/year=1998_redelivery")
-    cfg = PipelineConfig(landing=landing, root=f"{root}/lake", max_files=max_files, suite=PIPELINE_SUITE,
+    _deliver(tx.withColumn("year", year), files, landing, "year")
+    # the re-delivery is a copy of the 1995 files (read back, not recomputed)
+    _deliver(spark.read.schema(LANDING_SCHEMA).parquet(f"{landing}/year=1995"), files, f"{landing}/year=1998_redelivery")
+    cfg = PipelineConfig(landing=landing, root=f"{root}/lake", max_files=max_files * files, suite=PIPELINE_SUITE,
                          min_records=1, execution_date="2024-01-01",
                          archive_dir=f"{root}/archive" if move_files else None,
                          quarantine_files_dir=f"{root}/quarantined_files" if move_files else None)
@@ -689,7 +703,7 @@ WHERE year(t.o_orderdate) BETWEEN 1995 AND 1999 OR year(t.o_orderdate) = 2001
 def q_schema_mismatch_quarantined(spark: SparkSession, sf: str) -> DataFrame:
     """Final state of every delivery; one has ``cost`` instead of ``price``."""
     cfg = _pipeline_setup(spark, sf, max_files=1)
-    (spark.read.schema(LANDING_SCHEMA).parquet(f"{cfg.landing}/year=1999").withColumnRenamed("price", "cost")
+    (spark.read.schema(LANDING_SCHEMA).parquet(f"{cfg.landing}/year=1999").drop("part").withColumnRenamed("price", "cost")
      .write.parquet(f"{cfg.landing}/year=1999_renamed"))
     run_all(spark, cfg, clock=_clock)
     return current_state(read_ledger(spark, cfg.ledger_path)).select(

@@ -29,14 +29,19 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import derive_check_columns, epoch_to_timestamp, timestamp_to_micros
 from tidemark.operators.enrich import enrich
 from tidemark.operators.increment import high_water_mark, increment
-from tidemark.operators.ledger import (LedgerSummary, batch_paths, compact_ledger, current_state,
+from tidemark.operators.key_index import folders_that_may_hold, write_index
+from tidemark.operators.ledger import (LedgerSummary, batch_paths, batches_to_probe, compact_ledger, current_state,
                                        log_days_since_snapshot, names_of, next_batch, read_ledger, record,
                                        summarise_ledger, unmerged_batches)
 from tidemark.operators.merge import merge_insert, source_key_size
 from tidemark.operators.quality import Expectation, audit_frame, default_suite, gate, run_suite, write_audit
-from tidemark.plans.tables import (BATCH_COL, Table, append, create_table, overwrite, read_batches, read_table)
+from tidemark.operators.sizing import fits_broadcast
+from tidemark.plans.compaction import as_ledger_rows, finish_compactions, read_journal
+from tidemark.plans.tables import (BATCH_COL, Table, append, create_table, overwrite, read_batch, read_batches,
+                                   read_table)
 from tidemark.schemas import (DEFAULT_MAX_FILES, DEFAULT_MIN_PASS_RATE, DEFAULT_MIN_RECORDS, DIMENSION_KEY,
                               RAW_SCHEMA, enriched_schema)
+from tidemark.session import broadcast_threshold
 from tidemark.sources.files import list_files, read_landing, schema_faults
 from tidemark.sources.fs import child_entries, move_files
 
@@ -65,7 +70,8 @@ class PipelineConfig:
     dimension_schema: T.StructType | None = None
     # probe only the enriched batch folders whose recorded key range overlaps the increment's
     prune_target: bool = True
-    max_probe_folders: int = 2000
+    # keep a Bloom filter of each batch's inserted keys and probe only folders whose filter hits
+    key_index: bool = True
 
     @property
     def ledger_path(self) -> str:
@@ -75,6 +81,10 @@ class PipelineConfig:
     def audit_path(self) -> str:
         return f"{self.root}/audit"
 
+    @property
+    def key_index_path(self) -> str:
+        return f"{self.root}/key_index"
+
     @property
     def quarantine_path(self) -> str:
         return f"{self.root}/quarantine"
@@ -169,19 +179,26 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig, batch_time: datetime | N
         stamp = _stamp(summary, batch_time)
         batch_id = batch_id_for(stamp)
         record(spark, cfg.ledger_path, files, batch_id, stamp, "pending")
-    return process_batch(spark, cfg, read_landing(spark, names_of(files)), batch_id, stamp, files, summary)
+    return process_batch(spark, cfg, read_landing(spark, names_of(files)), batch_id, stamp, files, summary, ledger)
 
 
 def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, batch_id: str,
-                  batch_time: datetime, files, summary: LedgerSummary | None = None) -> BatchResult:
+                  batch_time: datetime, files, summary: LedgerSummary | None = None,
+                  ledger: DataFrame | None = None) -> BatchResult:
     """Validate, gate and load one batch whose ledger rows are already ``pending``.
 
-    ``files`` are the batch's paths or (path, version) pairs; ``summary`` is the
-    ledger state read before this batch was started (or resumed).
+    ``files`` are the batch's paths or (path, version) pairs; ``ledger`` and ``summary`` are
+    the ledger and its state read before this batch was started (or resumed): what it says
+    of the earlier batches no longer changes.
     """
     paths = names_of(files)
+    if ledger is None:
+        ledger = read_ledger(spark, cfg.ledger_path)
     if summary is None:
-        summary = summarise_ledger(read_ledger(spark, cfg.ledger_path))
+        summary = summarise_ledger(ledger)
+    journal = read_journal(spark, cfg.root)
+    finish_compactions(spark, cfg.root, journal)  # no table is read with both old and packed folders
+    known = ledger.unionByName(as_ledger_rows(journal))  # what is known of each batch folder
     readable = not schema_faults(spark, paths)  # broken footers, missing or extra columns, other types
     if readable:
         results, quality = run_suite(derive_check_columns(batch), list(cfg.suite))  # one scan
@@ -224,15 +241,17 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
         min_batch = None
         folders = [n.split("=", 1)[1] for n, is_dir in child_entries(spark, raw_t.path)
                    if is_dir and n.startswith(f"{BATCH_COL}=")]
-        raw_rows = read_batches(spark, raw_t, unmerged_batches(spark, read_ledger(spark, cfg.ledger_path), folders),
+        raw_rows = read_batches(spark, raw_t, unmerged_batches(spark, known, folders),
                                 keep_hidden=True)
     new = increment(raw_rows, mark, "processed_date", batch_col=BATCH_COL, min_batch=min_batch)
     enriched_new = enrich(new.select(*raw_t.columns), dim, cfg.fact_key, cfg.dim_key)
     size = source_key_size(new, cfg.key)  # enrichment keeps rows and keys: no need to join for their size
     integral = isinstance(enr_t.schema[cfg.key].dataType, T.IntegralType)
-    if integral and cfg.prune_target and summary.merged > 0 and size.key_min is not None:
-        probe = probe_target(spark, enr_t, read_ledger(spark, cfg.ledger_path), batch_id,
-                             int(size.key_min), int(size.key_max), cfg.max_probe_folders)
+    if cfg.prune_target and summary.merged > 0 and size.key_min is not None:
+        key_range = (int(size.key_min), int(size.key_max)) if integral else (None, None)
+        small = fits_broadcast(size, broadcast_threshold(spark) or 50 * 1024 * 1024)
+        probe = probe_target(spark, enr_t, known, batch_id, *key_range, index=cfg.key_index_path,
+                             keys=new.select(cfg.key) if cfg.key_index and small else None)
         if probe is not None:
             target = probe
     if target is None:
@@ -251,31 +270,37 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     key_range = None
     if integral:  # (1, 0): tracked, no non-NULL key inserted
         key_range = (got["kmin"], got["kmax"]) if got.get("kmin") is not None else (1, 0)
+    blocks = None
+    if cfg.key_index:  # before the ledger says so: a folder without a recorded index is always probed
+        blocks = write_index(read_batch(spark, enr_t, batch_id), cfg.key, int(got["n"]),
+                             f"{cfg.key_index_path}/{BATCH_COL}={batch_id}")
     record(spark, cfg.ledger_path, files, batch_id, batch_time, ("loaded", "archived"), watermark_us=new_mark,
-           key_range=key_range)
+           key_range=key_range, key_blocks=blocks)
     if cfg.archive_dir:
         move_files(spark, paths, cfg.landing, cfg.archive_dir)
     return BatchResult("loaded", batch_id, batch_time, tuple(paths), quality, tuple(results), int(got["n"]))
 
 
-def probe_target(spark: SparkSession, table: Table, ledger: DataFrame, exclude_batch: str, lo: int, hi: int,
-                 limit: int) -> DataFrame | None:
+def probe_target(spark: SparkSession, table: Table, ledger: DataFrame, exclude_batch: str, lo: int | None,
+                 hi: int | None, index: str | None = None, keys: DataFrame | None = None) -> DataFrame | None:
     """The part of the enriched table that can hold keys in ``[lo, hi]``, or None (read it all).
 
-    Every batch folder except the current one is kept unless the ledger recorded
-    the key range that batch inserted and the range misses ``[lo, hi]``; folders
-    the ledger does not know (rows loaded another way, upsert folders) are kept.
-    Data files outside ``batch_id=`` folders make the layout unknown: None.
+    Every batch folder except the current one is kept unless the ledger recorded the key
+    range that batch inserted and the range misses ``[lo, hi]``, or its key index (below
+    ``index``) holds none of ``keys`` (a small frame of one column). Folders the ledger does
+    not know (rows loaded another way, upsert folders) are kept. Data files outside
+    ``batch_id=`` folders make the layout unknown: None.
     """
-    from tidemark.operators.ledger import batches_to_probe
-    from tidemark.sources.fs import child_entries
-
     entries = [(n, d) for n, d in child_entries(spark, table.path) if not n.startswith(("_", "."))]
     if any(not d or not n.startswith(f"{BATCH_COL}=") for n, d in entries):
         return None
     folders = [n.split("=", 1)[1] for n, _ in entries]
-    keep = batches_to_probe(spark, ledger, [f for f in folders if f != exclude_batch], lo, hi, limit)
-    return None if keep is None else read_batches(spark, table, keep)
+    near = batches_to_probe(spark, ledger, [f for f in folders if f != exclude_batch], lo, hi)
+    if keys is not None:
+        indexed = {f: n for f, n in near.items() if n is not None}
+        hit = set(folders_that_may_hold(spark, index, indexed, keys, keys.columns[0], BATCH_COL))
+        near = {f: n for f, n in near.items() if n is None or f in hit}
+    return read_batches(spark, table, sorted(near))
 
 
 def tidy_landing(spark: SparkSession, cfg: PipelineConfig, max_moves: int = 1000) -> int:

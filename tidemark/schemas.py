@@ -140,6 +140,8 @@ LEDGER_SCHEMA = T.StructType([
     # range of the (integral) merge keys the batch inserted; min > max means none
     T.StructField("key_min", T.LongType()),
     T.StructField("key_max", T.LongType()),
+    # bitmaps of the key index of the batch's folder; NULL: not indexed
+    T.StructField("key_blocks", T.IntegerType()),
 ])
 
 LEDGER_STATES = ("pending", "loaded", "archived", "quarantined")

@@ -85,6 +85,17 @@ def child_entries(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
     return sorted((st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(root))
 
 
+def rename_dir(spark: SparkSession, src: str, dst: str) -> None:
+    """Renames a folder; nothing happens if ``src`` is gone and ``dst`` is there (done before)."""
+    fs, a = _fs_path(spark, src)
+    _, b = _fs_path(spark, dst)
+    if not fs.exists(a) and fs.exists(b):
+        return
+    fs.mkdirs(b.getParent())
+    if fs.exists(b) or not fs.rename(a, b):
+        raise OSError(f"could not rename {src} to {dst}")
+
+
 def delete_dir(spark: SparkSession, folder: str) -> None:
     fs, p = _fs_path(spark, folder)
     fs.delete(p, True)

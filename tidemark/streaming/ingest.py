@@ -51,7 +51,8 @@ def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, availabl
         if summary.pending:
             batch_id, stamp = summary.last_batch_id, _utc(summary.last_batch_time)
             pending = batch_paths(ledger, batch_id)
-            process_batch(spark, cfg, read_landing(spark, names_of(pending)), batch_id, stamp, pending, summary)
+            process_batch(spark, cfg, read_landing(spark, names_of(pending)), batch_id, stamp, pending, summary,
+                          ledger)
             ledger = read_ledger(spark, cfg.ledger_path)
             summary = summarise_ledger(ledger)
         known = current_state(ledger.filter(F.col("path").isin(names_of(files)))).select("path", "version")
@@ -62,7 +63,7 @@ def ingest_stream(spark: SparkSession, cfg: PipelineConfig, clock=None, availabl
         stamp = _stamp(summary, clock(epoch_id) if clock else None)
         batch_id = batch_id_for(stamp)
         record(spark, cfg.ledger_path, fresh, batch_id, stamp, "pending")
-        process_batch(spark, cfg, read_landing(spark, names_of(fresh)), batch_id, stamp, fresh, summary)
+        process_batch(spark, cfg, read_landing(spark, names_of(fresh)), batch_id, stamp, fresh, summary, ledger)
 
     writer = (source.writeStream.foreachBatch(handle)
               .option("checkpointLocation", cfg.stream_checkpoint))

@@ -59,7 +59,8 @@ def main() -> None:
     new = increment(R.read_batch(spark, raw_t, batch_id), summary.watermark_us, "processed_date")
     enriched_new = enrich(new.select(*raw_t.columns), dim, cfg.fact_key, cfg.dim_key)
     size = source_key_size(enriched_new, cfg.key)
-    target = R.probe_target(spark, enr_t, ledger, batch_id, int(size.key_min), int(size.key_max), 2000)
+    target = R.probe_target(spark, enr_t, ledger, batch_id, int(size.key_min), int(size.key_max),
+                            index=cfg.key_index_path, keys=new.select(cfg.key))
     print(f"probed folders: {sorted(set(f.split('batch_id=')[1].split('/')[0] for f in target.inputFiles()))}")
     print(tree(merge_insert(target, enriched_new, cfg.key, size=size)))
     spark.stop()
