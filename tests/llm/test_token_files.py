@@ -51,7 +51,8 @@ def test_elias_fano_is_small():
 def test_block_round_trip_and_random_access():
     ids = [np.arange(n, dtype=np.uint32) % 50_000 for n in (1, 5, 1, 40_000, 3)]
     for keys in ([None, -7, -7, 0, 2**62], [None, "a", "bé", "bé", "z"], [None] * 5):
-        data = T.encode_block(3, 9, keys, ids, 2) + b"\n" + T.encode_block(3, 10, keys, ids, 4) + b"\n"
+        data = (T.encode_block(3, 9, keys, [x.astype("<u2").tobytes() for x in ids], 2) + b"\n"
+                + T.encode_block(3, 10, keys, [x.astype("<u4").tobytes() for x in ids], 4) + b"\n")
         first, second = T.blocks(data)
         assert (first.part, first.number, second.number) == (3, 9, 10)
         for b in (first, second):
@@ -95,32 +96,41 @@ PIECES = st.text(alphabet="abcXYZÀéßœ019 \n\t.,!?;:()\"/-_%&@#*+=$¿¡|~^`{}
 @settings(max_examples=300, deadline=None)
 def test_pieces_equal_whole_texts(texts):
     tokenizer = _PLAIN_TOKENIZER
-    got = T._Pieces(tokenizer, 20).ids(texts)
-    assert [x.tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    got = T._Pieces(tokenizer, 20, "<u2").ids(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 _PLAIN_TOKENIZER = plain()
 
 
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(T.pd, "factorize", lambda keys: (np.zeros(len(keys), np.int64), None))
+    data = b"one two one 12 longer than sixteen bytes: abcdefghijklmnopqrstuvw abcdefghijklmnopqrstuvx two"
+    starts, ends = T.split_pieces(data)
+    numbers, distinct = T.number_pieces(data, starts, ends)
+    assert [distinct[n] for n in numbers] == [data[a:b].decode() for a, b in zip(starts, ends)]
+    assert len(set(distinct)) == len(distinct)
+
+
 def test_the_table_of_pieces_is_bounded():
-    pieces = T._Pieces(_PLAIN_TOKENIZER, 100)
+    pieces = T._Pieces(_PLAIN_TOKENIZER, 100, "<u4")
     texts = [f"Words w{chr(97 + i % 26)}x{'q' * (i % 40)} are met again, and {'again ' * (i % 7)}\nnot kept." for i in range(600)]
     for i in [*range(0, 600, 10), *range(0, 600, 10)]:
         for text, ids in zip(texts[i:i + 10], pieces.ids(texts[i:i + 10])):
-            assert ids.tolist() == _PLAIN_TOKENIZER.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == _PLAIN_TOKENIZER.encode(text, add_special_tokens=False).ids
         assert len(pieces.young) + len(pieces.old) <= 250
 
 
 def test_every_plain_character_splits_as_the_tokenizer_does():
     chars = [chr(i) for i in range(0x180) if T._PLAIN.fullmatch(chr(i))]
     texts = [f"{a}{c}{b}" for c in chars for a in "aé1. " for b in "Zß0, "]
-    got = T._Pieces(_PLAIN_TOKENIZER, 10_000).ids(texts)
-    assert [x.tolist() for x in got] == [_PLAIN_TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+    got = T._Pieces(_PLAIN_TOKENIZER, 10_000, "<u2").ids(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [_PLAIN_TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_a_tokenizer_without_word_ends_is_refused():
     with pytest.raises(ValueError):
-        T._Pieces(plain("byte_bpe_50k.json"), 10)
+        T._Pieces(plain("byte_bpe_50k.json"), 10, "<u2")
 
 
 def test_edge_rows(spark, tmp_path, edge_docs, no_docs):

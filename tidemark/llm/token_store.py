@@ -21,9 +21,9 @@ blocks' id counts.
 
 Tokenizing: a tokenizer with word ends that drops white space, lower-cases, and splits texts into
 runs of letters, single digits and runs of other characters, encodes these pieces independently
-of each other. Texts of plain characters are then cut into pieces here, pieces met before are
-looked up in a bounded table, and the library encodes the new ones, many at a time. Texts with
-any other character, and texts for other tokenizers, are encoded whole.
+of each other. Texts of plain characters are then cut into pieces here, a batch of texts at a
+time, pieces met before are looked up in a bounded table, and the library encodes the new ones,
+many at a time. Texts with any other character, and texts for other tokenizers, are encoded whole.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,7 +60,7 @@ class Vocabulary:
     path: str
     end_id: int = 1
     by_piece: bool = False
-    kept_pieces: int = 300_000
+    kept_pieces: int = 1_000_000
 
 
 class EliasFano:
@@ -120,8 +121,8 @@ class EliasFano:
         return out
 
 
-def encode_block(part: int, number: int, keys: list, ids: list[np.ndarray], width: int) -> bytes:
-    """One block: ``keys`` ascending, NULLs first; ``ids`` per document."""
+def encode_block(part: int, number: int, keys: list, ids: list[bytes], width: int) -> bytes:
+    """One block: ``keys`` ascending, NULLs first; per document its ids in ``width`` bytes each."""
     some = [k for k in keys if k is not None]
     kind = TEXT_KEYS if some and isinstance(some[0], str) else INT_KEYS
     if kind == TEXT_KEYS:
@@ -130,11 +131,10 @@ def encode_block(part: int, number: int, keys: list, ids: list[np.ndarray], widt
     else:
         first = some[0] if some else 0
         stored = struct.pack("<q", first) + EliasFano.encode(np.array([k - first for k in some], np.uint64))
-    ends = np.cumsum([len(x) for x in ids])
+    ends = np.cumsum([len(x) // width for x in ids])
     total = int(ends[-1])
-    body = np.concatenate(ids).astype("<u2" if width == 2 else "<u4")
     head = struct.pack(HEADER, MAGIC, part, number, len(keys), len(keys) - len(some), total, width, kind, 0)
-    return b"".join((head, EliasFano.encode(ends), stored, body.tobytes()))
+    return b"".join((head, EliasFano.encode(ends), stored, *ids))
 
 
 class Block:
@@ -172,19 +172,63 @@ def blocks(content: bytes) -> Iterator[Block]:
         at = block.end + 1
 
 
-# Letters whose lower case and composed form are one letter each, and all other ASCII but the
+# Latin-1 letters, whose lower case and composed form are one letter each, and all ASCII but the
 # apostrophe (clitics) and "<" (special tokens).
-_LETTERS = "a-zß-öø-ÿœ"
-_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿŒœ0-9 \n\t!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~¡¿]*")
-_PIECE = re.compile(rf"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9\s]+")
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9 \n\t!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~¡¿]*")
+_BLANK, _LETTER, _DIGIT, _OTHER = range(4)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[[9, 10, 32]] = _BLANK
+_KINDS[48:58] = _DIGIT
+_KINDS[[*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)]] = _LETTER
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _AT_ONCE = 2000
+_PORTION = 4 << 20
+
+
+def split_pieces(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of lower-case plain text (Latin-1 bytes) start and end."""
+    kind = _KINDS[np.frombuffer(data, np.uint8)]
+    edge = np.empty(len(kind) + 1, bool)
+    edge[0] = edge[-1] = True
+    edge[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    solid = kind != _BLANK
+    return np.flatnonzero(edge[:-1] & solid), np.flatnonzero(edge[1:] & solid) + 1
+
+
+def number_pieces(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """(number of each piece, the distinct pieces).
+
+    Pieces of up to 16 bytes are told apart by two 64-bit words that hold them; longer ones, which
+    are rare, as strings.
+    """
+    size = ends - starts
+    words = np.ndarray(len(data) + 8, "<u8", data + bytes(16), strides=(1,))
+    low = words[starts] & _MASKS[np.minimum(size, 8)]
+    high = words[np.minimum(starts + 8, len(data))] & _MASKS[np.clip(size - 8, 0, 8)]
+    long: dict[bytes, int] = {}
+    for i in np.flatnonzero(size > 16).tolist():
+        low[i], high[i] = long.setdefault(data[starts[i]:ends[i]], len(long)), 0
+    few = np.minimum(size, 17).astype(np.uint64)
+    numbers, _ = pd.factorize((low * np.uint64(0x9E3779B97F4A7C15)) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F)) ^ few)
+    first = np.empty(int(numbers.max(initial=-1)) + 1, np.int64)
+    first[numbers[::-1]] = np.arange(len(numbers))[::-1]
+    for part in (low, high, few):
+        if not np.array_equal(part, part[first][numbers]):  # two pieces of one hash: tell them apart by all words
+            _, first, numbers = np.unique(np.stack((low, high, few)), axis=1, return_index=True, return_inverse=True)
+            numbers = numbers.ravel()
+            break
+    return numbers, [data[a:b].decode("latin-1") for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+
+
+def _packed(tokenizer, texts: list[str], dtype: str) -> list[bytes]:
+    return [np.array(e.ids, dtype).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class _Pieces:
     """Ids of texts by pieces: those met lately are looked up, the library encodes the others."""
 
-    def __init__(self, tokenizer, kept: int):
-        self.tokenizer, self.half, self.young, self.old = tokenizer, max(kept // 2, 1), {}, {}
+    def __init__(self, tokenizer, kept: int, dtype: str):
+        self.tokenizer, self.dtype, self.half, self.young, self.old = tokenizer, dtype, max(kept // 2, 1), {}, {}
         suffix = tokenizer.model.end_of_word_suffix
         if not suffix:
             raise ValueError("the tokenizer marks no word ends")
@@ -192,38 +236,58 @@ class _Pieces:
         for token, i in tokenizer.get_vocab().items():
             self.ends[i] = token.endswith(suffix)
 
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
     def _new(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
         """Many pieces are encoded as one text and cut at the word ends."""
         for i in range(0, len(pieces), _AT_ONCE):
             part = pieces[i:i + _AT_ONCE]
-            ids = self._whole([" ".join(part)])[0]
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+            raw = _packed(self.tokenizer, [" ".join(part)], self.dtype)[0]
+            cuts = np.flatnonzero(self.ends[np.frombuffer(raw, self.dtype)]) + 1
             if len(cuts) != len(part):
                 raise ValueError("the tokenizer does not split texts into these pieces")
-            raw, at = ids.tobytes(), 0
-            for piece, cut in zip(part, (cuts * 4).tolist()):
+            at = 0
+            for piece, cut in zip(part, (cuts * np.dtype(self.dtype).itemsize).tolist()):
                 yield piece, raw[at:cut]
                 at = cut
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+    def _known(self, pieces: list[str]) -> list[bytes]:
         if len(self.young) > self.half:
             self.young, self.old = {}, self.young
-        split = [_PIECE.findall(t.lower()) if _PLAIN.fullmatch(t) else None for t in texts]
-        missing = {p for pieces in split for p in set(pieces or ())} - self.young.keys()
-        known = {p: self.old[p] for p in missing if p in self.old}
-        self.young.update(known)
-        self.young.update(self._new(sorted(missing - known.keys())))
-        odd = iter(self._whole([t for t, pieces in zip(texts, split) if pieces is None]))
-        look = self.young.__getitem__
-        return [next(odd) if pieces is None else np.frombuffer(b"".join(map(look, pieces)), np.uint32) for pieces in split]
+        missing = [p for p in pieces if p not in self.young]
+        new = []
+        for p in missing:
+            got = self.old.get(p)
+            if got is None:
+                new.append(p)
+            else:
+                self.young[p] = got
+        self.young.update(self._new(new))
+        return [self.young[p] for p in pieces]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        plain = [bool(_PLAIN.fullmatch(t)) for t in texts]
+        odd = iter(_packed(self.tokenizer, [t for t, ok in zip(texts, plain) if not ok], self.dtype))
+        raw = [t.lower().encode("latin-1") for t, ok in zip(texts, plain) if ok]
+        data = b"\n".join(raw)
+        starts, ends = split_pieces(data)
+        numbers, distinct = number_pieces(data, starts, ends)
+        known = self._known(distinct)
+        # the ids of every piece, gathered from those of the distinct ones
+        width = np.dtype(self.dtype).itemsize
+        flat = np.frombuffer(b"".join(known), self.dtype)
+        sizes = np.array([len(x) // width for x in known], np.int64)
+        offsets = np.cumsum(sizes) - sizes
+        counts = sizes[numbers]
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        ids = flat[np.repeat(offsets[numbers] - upto[:-1], counts) + np.arange(upto[-1])]
+        text_ends = np.cumsum([len(x) + 1 for x in raw])
+        cuts = upto[np.searchsorted(starts, text_ends)].tolist()
+        done = iter([ids[a:b].tobytes() for a, b in zip([0, *cuts], cuts)])
+        return [next(done) if ok else next(odd) for ok in plain]
 
 
 def _encoder(definition: str, vocabulary: Vocabulary):
-    """(function from texts to ids, vocabulary size), kept from task to task: Python workers are
-    reused, and what hangs on an imported module lives as long as they do."""
+    """(function from texts to packed ids, bytes of an id), kept from task to task: Python workers
+    are reused, and what hangs on an imported module lives as long as they do."""
     import tokenizers
 
     kept = vars(tokenizers).setdefault("_kept_encoders", {})
@@ -231,15 +295,28 @@ def _encoder(definition: str, vocabulary: Vocabulary):
     if key not in kept:
         kept.clear()
         tokenizer = tokenizers.Tokenizer.from_str(definition)
+        width = 2 if max(tokenizer.get_vocab_size(), vocabulary.end_id + 1) <= 1 << 16 else 4
         if vocabulary.by_piece:
-            encode = _Pieces(tokenizer, vocabulary.kept_pieces).ids
+            kept[key] = _Pieces(tokenizer, vocabulary.kept_pieces, f"<u{width}").ids, width
         else:
-            encode = lambda texts: [np.array(e.ids, np.uint32)
-                                    for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        kept[key] = encode, tokenizer.get_vocab_size()
+            kept[key] = lambda texts: _packed(tokenizer, texts, f"<u{width}"), width
     return kept[key]
 
 
+def _portions(batches) -> Iterator[tuple[list, list[str]]]:
+    """Keys and texts, as many at a time as make ``_PORTION`` characters."""
+    names, texts, held = [], [], 0
+    for batch in batches:
+        names += batch.column(0).to_pylist()
+        texts += batch.column(1).to_pylist()
+        held += batch.column(1).nbytes
+        if held >= _PORTION:
+            yield names, texts
+            names, texts, held = [], [], 0
+    if names:
+        yield names, texts
+
+
 def _vocabulary_file(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -265,23 +342,23 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: Vocabulary, key: s
     def to_blocks(batches):
         from pyspark import TaskContext
 
-        encode, size = _encoder(definition.value, vocabulary)
-        width = 2 if max(size, vocabulary.end_id + 1) <= 1 << 16 else 4
-        end = np.array([vocabulary.end_id], np.uint32)
+        encode, width = _encoder(definition.value, vocabulary)
+        end = vocabulary.end_id.to_bytes(width, "little")
         part, number, keys, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
 
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array([encode_block(part, number, keys, ids, width)], pa.binary())], names=["block"])
 
-        for batch in batches:
-            for name, found in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
-                if keys and held + len(found) + 1 > block_ids:
+        for names, texts in _portions(batches):
+            for name, found in zip(names, encode(texts)):
+                count = len(found) // width + 1
+                if keys and held + count > block_ids:
                     yield block()
                     number, keys, ids, held = number + 1, [], [], 0
                 keys.append(name)
-                ids.append(np.concatenate((found, end)))
-                held += len(found) + 1
+                ids.append(found + end)
+                held += count
         if keys:
             yield block()
 
