@@ -42,6 +42,7 @@ from tidemark.plans.tables import (BATCH_COL, Table, append, create_table, overw
 from tidemark.schemas import (DEFAULT_MAX_FILES, DEFAULT_MIN_PASS_RATE, DEFAULT_MIN_RECORDS, DIMENSION_KEY,
                               RAW_SCHEMA, enriched_schema)
 from tidemark.session import broadcast_threshold
+from tidemark.sources.cursor import advance_cursor, next_files, read_cursor
 from tidemark.sources.files import list_files, read_landing, schema_faults
 from tidemark.sources.fs import child_entries, move_files
 
@@ -68,6 +69,8 @@ class PipelineConfig:
     compact_after_days: int | None = 7
     # schema of the dimension table (as returned by ``bootstrap``): saves schema inference per batch
     dimension_schema: T.StructType | None = None
+    # list only the landing folders that may hold new files (see ``sources.cursor``), not all of them
+    folder_cursor: bool = False
     # probe only the enriched batch folders whose recorded key range overlaps the increment's
     prune_target: bool = True
     # keep a Bloom filter of each batch's inserted keys and probe only folders whose filter hits
@@ -81,6 +84,10 @@ class PipelineConfig:
     def audit_path(self) -> str:
         return f"{self.root}/audit"
 
+    @property
+    def cursor_path(self) -> str:
+        return f"{self.root}/landing_cursor"
+
     @property
     def key_index_path(self) -> str:
         return f"{self.root}/key_index"
@@ -172,8 +179,13 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig, batch_time: datetime | N
         batch_id, stamp = summary.last_batch_id, _utc(summary.last_batch_time)
         files = batch_paths(ledger, batch_id)
     else:
-        listing = list_files(spark, cfg.landing, cfg.pattern)
-        files = [(r["path"], r["version"]) for r in next_batch(listing, ledger, cfg.max_files).collect()]
+        if cfg.folder_cursor:
+            found = next_files(spark, cfg.landing, ledger, read_cursor(spark, cfg.cursor_path), cfg.max_files, cfg.pattern)
+            advance_cursor(spark, cfg.cursor_path, found.finished)  # folders the ledger holds already
+            files = found.files
+        else:
+            listing = list_files(spark, cfg.landing, cfg.pattern)
+            files = [(r["path"], r["version"]) for r in next_batch(listing, ledger, cfg.max_files).collect()]
         if not files:
             return BatchResult("empty")
         stamp = _stamp(summary, batch_time)

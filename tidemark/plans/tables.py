@@ -9,7 +9,6 @@ replaces its own folders instead of duplicating rows.
 
 from __future__ import annotations
 
-import re
 import uuid
 from dataclasses import dataclass, field, replace
 
@@ -19,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.layout import MONTH_COL, cluster_for_write, with_month
 from tidemark.session import scratch_path
+from tidemark.sources.fs import qualified, scan_roots
 
 BATCH_COL = "batch_id"
 _HIDDEN_TYPES = {BATCH_COL: T.StringType(), MONTH_COL: T.IntegerType()}
@@ -138,14 +138,13 @@ def append(table: Table, df: DataFrame, batch_id: str | None = None, cluster: st
     writer.parquet(table.path)
 
 
-def _norm_uri(p: str) -> str:
-    return re.sub(r"^file:/*", "/", p).rstrip("/")
-
-
 def _reads_from(df: DataFrame, path: str) -> bool:
-    """Does ``df`` read files below ``path``? (file listing of the plan, driver side)."""
-    root = _norm_uri(path) + "/"
-    return any(_norm_uri(f).startswith(root) for f in df.inputFiles())
+    """Does ``df`` read below ``path``? Decided by the roots of its file scans as the plan names
+    them (a few qualified folders), not by its files."""
+    spark = df.sparkSession
+    own = qualified(spark, path) + "/"
+    roots = scan_roots(df)
+    return any((r + "/").startswith(own) or own.startswith(r + "/") for r in roots)
 
 
 def overwrite(spark: SparkSession, table: Table, df: DataFrame, schema: T.StructType | None = None) -> Table:

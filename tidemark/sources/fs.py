@@ -6,6 +6,8 @@ All are driver-side metadata calls on bounded lists (a batch's files, a few fold
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import SparkSession
 
 
@@ -16,6 +18,27 @@ def _fs_path(spark: SparkSession, p: str):
     return fs, fs.makeQualified(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system's scheme and authority."""
+    return _fs_path(spark, path)[1].toString().rstrip("/")
+
+
+def scan_roots(df) -> list[str]:
+    """Qualified root folders of the file scans in a frame's plan."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() != "HadoopFsRelation":
+            continue
+        paths = relation.location().rootPaths()
+        out += [qualified(df.sparkSession, paths.apply(j).toString()) for j in range(paths.size())]
+    return out
+
+
 def move_files(spark: SparkSession, paths: list[str], landing: str, dest_root: str) -> list[str]:
     """Move ``paths`` (below ``landing``) to the same relative place below ``dest_root``.
 
@@ -68,13 +91,30 @@ def child_dirs(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
     fs, root = _fs_path(spark, folder)
     if not fs.exists(root):
         return []
-    jvm = spark.sparkContext._jvm
-    out = []
-    for st in fs.listStatus(root):
-        if st.isDirectory():
-            committed = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-            out.append((st.getPath().getName(), bool(committed)))
-    return sorted(out)
+    folders = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory())
+    if not folders:
+        return []
+    # all markers in one call
+    marked = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, "*/_SUCCESS")) or []
+    committed = {st.getPath().getParent().getName() for st in marked}
+    return [(name, name in committed) for name in folders]
+
+
+@dataclass(frozen=True)
+class FileInfo:
+    path: str
+    name: str
+    is_folder: bool
+    modified: int  # ms
+
+
+def child_files(spark: SparkSession, folder: str) -> list[FileInfo]:
+    """Direct children of ``folder``; one listing call. Paths are written as Spark's readers write them."""
+    fs, root = _fs_path(spark, folder)
+    if not fs.exists(root):
+        return []
+    return [FileInfo(st.getPath().toString(), st.getPath().getName(), bool(st.isDirectory()),
+                     int(st.getModificationTime())) for st in fs.listStatus(root)]
 
 
 def child_entries(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
