@@ -6,25 +6,33 @@ Same rules as ``catalogue``: whole tables, each query with its DuckDB oracle.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_to_timestamp, normalise_names
+from tidemark.functions.columns import epoch_to_timestamp, normalise_names, path_basename, strip_scheme
 from tidemark.operators.drift import drift, profile, read_profiles
 from tidemark.operators.enrich import enrich
+from tidemark.operators.layout import hash_cluster, preview
 from tidemark.operators.merge import merge_insert
 from tidemark.operators.quality import unexpected_samples
+from tidemark.operators.rollup import rollup_dimension
 from tidemark.operators.rollup_state import advance, corrections, rollup_of, signed
 from tidemark.operators.zorder import cluster_zorder
 from tidemark.plans import catalogue as base
 from tidemark.plans.bucketed import compact_bucketed, create_bucketed, merge_insert_bucketed, upsert_bucketed
 from tidemark.plans.compaction import compact_lake
 from tidemark.plans.runner import run_all, run_batch
-from tidemark.plans.tables import append
+from tidemark.plans.tables import append, read_table
+from tidemark.schemas import LANDING_SCHEMA
+from tidemark.session import profile as session_profile
 from tidemark.session import scratch_path
+from tidemark.sources.csv import read_csv_inferred, write_csv
+from tidemark.sources.files import list_files, read_landing
 from tidemark.sources.fixtures import county_rows, table, transactions
+from tidemark.sources.synth import write_landing_files
 from tidemark.streaming.dedupe import drain_unique
 
 # ---------------------------------------------------------------------------
@@ -288,6 +296,115 @@ def q_zorder_write(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(li.schema).parquet(path)
 
 
+# ---------------------------------------------------------------------------
+# sources, sinks and helpers in queries of their own
+# ---------------------------------------------------------------------------
+
+
+def q_ingest_with_cursor(spark: SparkSession, sf: str) -> DataFrame:
+    """The pipeline lists only landing folders that may hold new files; one of them gets
+    a late file after it was finished."""
+    cfg = replace(base._pipeline_setup(spark, sf, move_files=False), folder_cursor=True, suite=(base.NotNull("invoiceid"),))
+    late = spark.read.schema(LANDING_SCHEMA).parquet(f"{cfg.landing}/year=1995").drop("part")
+    run_all(spark, cfg, clock=base._clock)
+    (late.withColumn("invoiceid", -F.col("invoiceid")).write.mode("append").parquet(f"{cfg.landing}/year=1995/part=0"))
+    run_all(spark, cfg, clock=lambda i: base._clock(i + 50))
+    return base._enriched_out(spark, cfg)
+
+
+SQL_INGEST_WITH_CURSOR = f"""
+SELECT t.invoiceid * s.sign AS invoiceid, t.customerid, t.price, t.state, {base._ENRICHED_COLS_SQL}
+FROM ({base._TX_SQL}) t JOIN (VALUES (1), (-1)) s(sign) ON s.sign = 1 OR year(t.o_orderdate) = 1995
+LEFT JOIN ({base._DIM_SQL}) d ON t.state = d.state_abbreviation
+"""
+
+
+def q_county_csv_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """County rows as a CSV file, read with inferred types, then rolled up."""
+    path = scratch_path(spark, "county_csv")
+    write_csv(county_rows(spark, sf), path)
+    return normalise_names(rollup_dimension(read_csv_inferred(spark, path), key="State"))
+
+
+def q_landing_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Landing rows written as files, read back with the landing schema."""
+    path = scratch_path(spark, "landing_files")
+    write_landing_files(transactions(spark, sf), path, 4)
+    files = [r["path"] for r in list_files(spark, path).select("path").collect()]
+    return read_landing(spark, files).select("invoiceid", "customerid", "price", "state")
+
+
+SQL_LANDING_FILES = f"SELECT t.invoiceid, t.customerid, t.price, t.state FROM ({base._TX_SQL}) t"
+
+
+def q_ingest_stamp(spark: SparkSession, sf: str) -> DataFrame:
+    """Every raw row carries its batch's stamp; re-delivered rows a later one."""
+    cfg = base._pipeline_setup(spark, sf)
+    run_all(spark, cfg, clock=base._clock)
+    return read_table(spark, cfg.raw_table()).select("invoiceid", F.col("processed_date").cast("timestamp_ntz").alias("processed_date"))
+
+
+SQL_INGEST_STAMP = """
+SELECT o_orderkey AS invoiceid, TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 HOUR * ((year(o_orderdate) - 1995) // 2) AS processed_date
+FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 1999
+UNION ALL SELECT o_orderkey, TIMESTAMP '2024-01-01 02:00:00' FROM orders WHERE year(o_orderdate) = 1995
+"""
+
+
+def q_path_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Scheme and last part of paths of several forms."""
+    n = F.col("n_name")
+    forms = F.array(F.concat(F.lit("s3a://bucket/raw/"), n, F.lit(".parquet")), F.concat(F.lit("/data/"), n),
+                    F.concat(F.lit("hdfs://host:9000/a/b/"), n, F.lit("/")), n)
+    paths = table(spark, sf, "nation").select(F.explode(forms).alias("path"))
+    return paths.select("path", strip_scheme("path").alias("bare"), path_basename("path").alias("base"))
+
+
+SQL_PATH_PARTS = """
+WITH p AS (SELECT unnest(['s3a://bucket/raw/' || n_name || '.parquet', '/data/' || n_name, 'hdfs://host:9000/a/b/' || n_name || '/',
+                          n_name]) AS path FROM nation)
+SELECT path, CASE WHEN contains(path, '://') THEN split_part(path, '://', 2) ELSE path END AS bare,
+       string_split(path, '/')[-1] AS base FROM p
+"""
+
+
+def q_hash_cluster(spark: SparkSession, sf: str) -> DataFrame:
+    """O1: orders hashed by customer into partitions: each customer lies in one, sorted."""
+    o = hash_cluster(table(spark, sf, "orders").select("o_custkey", "o_orderkey"), 16, "o_custkey", "o_orderkey")
+    by_customer = hash_cluster(o, 16, "o_custkey").withColumn("part", F.spark_partition_id())
+    return by_customer.groupBy("o_custkey").agg(F.count("*").alias("orders"), F.count_distinct("part").cast("long").alias("parts"))
+
+
+def q_ordered_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV written in key order; its lines, in file order, are numbered."""
+    path = scratch_path(spark, "ordered_csv")
+    write_csv(table(spark, sf, "customer").select("c_name", "c_custkey"), path, order_by="c_name")
+    lines = spark.read.option("header", True).csv(path).select(
+        "c_name", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
+    order = Window.partitionBy("file").orderBy("at")
+    # in order inside each file, and files in order of their names: no name is below the one before
+    steps = lines.withColumn("before", F.lag("c_name").over(order))
+    ends = lines.groupBy("file").agg(F.min("c_name").alias("lo"), F.max("c_name").alias("hi"))
+    gaps = ends.withColumn("before", F.lag("hi").over(Window.orderBy("file")))  # one row per file
+    wrong = steps.filter("c_name < before").select("c_name").unionByName(gaps.filter("lo < before").select(F.col("lo").alias("c_name")))
+    return lines.agg(F.count("*").alias("lines"), F.count_distinct("c_name").alias("names")).crossJoin(
+        F.broadcast(wrong.agg(F.count("*").alias("out_of_order"))))  # one row each
+
+
+def q_profiled_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """The roll-up in a session with the runtime profile; the caller's session stays as it is."""
+    own = spark.newSession()
+    set_to = session_profile(own)
+    n = own.conf.get("spark.sql.adaptive.enabled") == "true" and int(set_to["spark.sql.shuffle.partitions"]) >= 24
+    return base._dimension(own, sf).agg(F.count("*").alias("states")).select(
+        "states", F.lit(own.conf.get("spark.sql.session.timeZone")).alias("zone"), F.lit(n).alias("profiled"))
+
+
+def q_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of an ordered frame."""
+    return preview(table(spark, sf, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey"), 5)
+
+
 CATALOGUE: dict[str, tuple[base.Query, str | None]] = {
     "merge_random_ids": (q_merge_random_ids, SQL_MERGE_RANDOM_IDS),
     "merge_insert_skewed": (q_merge_insert_skewed, SQL_MERGE_INSERT_SKEWED),
@@ -301,4 +418,13 @@ CATALOGUE: dict[str, tuple[base.Query, str | None]] = {
     "unexpected_samples": (q_unexpected_samples, SQL_UNEXPECTED_SAMPLES),
     "incremental_rollup": (q_incremental_rollup, base._DIM_SQL),
     "zorder_write": (q_zorder_write, "SELECT * FROM lineitem"),
+    "ingest_with_cursor": (q_ingest_with_cursor, SQL_INGEST_WITH_CURSOR),
+    "county_csv_rollup": (q_county_csv_rollup, base._DIM_SQL),
+    "landing_files": (q_landing_files, SQL_LANDING_FILES),
+    "ingest_stamp": (q_ingest_stamp, SQL_INGEST_STAMP),
+    "path_parts": (q_path_parts, SQL_PATH_PARTS),
+    "hash_cluster": (q_hash_cluster, "SELECT o_custkey, count(*) AS orders, 1::BIGINT AS parts FROM orders GROUP BY ALL"),
+    "ordered_csv": (q_ordered_csv, "SELECT count(*) AS lines, count(DISTINCT c_name) AS names, 0::BIGINT AS out_of_order FROM customer"),
+    "profiled_rollup": (q_profiled_rollup, f"SELECT count(*) AS states, 'UTC' AS zone, true AS profiled FROM ({base._DIM_SQL})"),
+    "preview": (q_preview, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5"),
 }
