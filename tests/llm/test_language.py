@@ -53,3 +53,25 @@ def test_edge_rows(edge_docs, no_docs):
     assert {r["lang_pred"] for r in none} == {"und"}
     assert language_rows(no_docs).collect() == []
     assert SF
+
+
+def test_repeated_ids_keep_the_sample_bounded(spark, sample_docs, monkeypatch):
+    from tidemark.llm import langid as l
+
+    hot = (sample_docs.filter("doc_id = 3").drop("text").crossJoin(spark.range(200))
+           .withColumn("text", F.concat(F.lit("word number "), F.col("id").cast("string"))).drop("id"))
+    twice = sample_docs.unionByName(hot).unionByName(hot)
+    seen = []
+    real = l.fit_ftrl
+    monkeypatch.setattr(l, "fit_ftrl", lambda rows, y, *a, **k: seen.append(np.bincount(y).tolist()) or real(rows, y, *a, **k))
+    l.train(twice, per_language=30)
+    assert sum(seen[0]) <= 4 * 30 and max(seen[0]) <= 30
+
+
+def test_only_the_most_frequent_languages_are_learned(spark, sample_docs, monkeypatch):
+    from tidemark.llm import langid as l
+
+    monkeypatch.setattr(l, "MAX_LANGUAGES", 4)
+    dirty = sample_docs.withColumn("lang", F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("x"), F.col("doc_id").cast("string")))
+                                   .otherwise(F.col("lang")))
+    assert l.train(dirty).languages == ["de", "en", "es", "fr"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_root
@@ -60,6 +60,22 @@ def group_key(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), s), F.lit(""))
 
 
+def least_rows(rows: DataFrame, by: str, place: str, most: int) -> DataFrame:
+    """Of the distinct rows of ``rows``, at most the ``most`` with the least values of ``place``
+    (60 uniform bits) per ``by`` (few groups). Staged.
+
+    The bound is exact: equal rows, however many, are one. So that one group's task never gets
+    more than a few times ``most`` rows, those beyond four times the place that ``most`` rows
+    reach by an estimate of the distinct rows are left out first.
+    """
+    held = stage(rows)
+    n = held.groupBy(by).agg(F.approx_count_distinct(place).alias("n")).withColumnRenamed(by, "__by")
+    upto = F.least(F.lit(1.0), F.lit(4.0 * most) / F.col("n")) * float(1 << 60)
+    near = held.join(F.broadcast(n), F.col(by).eqNullSafe(F.col("__by"))).filter(F.col(place) <= upto).select(*rows.columns)
+    order = Window.partitionBy(by).orderBy(place, *[c for c in rows.columns if c not in (by, place)])
+    return stage(near.distinct().withColumn("__no", F.row_number().over(order)).filter(F.col("__no") <= most).drop("__no"))
+
+
 def hash60(*parts: Column) -> Column:
     """60 uniform bits of the md5 of the parts joined by ':' (NULL counts as '')."""
     text = F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])

@@ -7,9 +7,9 @@ letters is a blank, hashed to ``1 << BITS`` cells. A cell's value is its share o
 n-grams times its inverse document frequency.
 
 * Document frequencies are counted over all learnable documents, one count per cell.
-* The regression is fitted on a bounded sample: at most about ``PER_LANGUAGE`` documents of
-  each language, chosen by a hash of their id, whose cell counts go to the driver. A quarter
-  of the sample is kept apart for the temperature.
+* The regression is fitted on a bounded sample: at most ``PER_LANGUAGE`` different documents of
+  each of the ``MAX_LANGUAGES`` most frequent languages, those of the least hash of id and text,
+  whose cell counts go to the driver. A quarter of the sample is kept apart for the temperature.
 * The fitted weights (cells x languages) go to every task; each whole text is scored where it
   is read, in pieces of bounded size, without any shuffle.
 """
@@ -24,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash60, held_out
+from .common import hash60, held_out, least_rows
 from .wordhash import pieces
 
 BITS = 16
 CELLS = 1 << BITS
 ORDERS = (1, 2, 3)
 PER_LANGUAGE = 1000
+MAX_LANGUAGES = 256  # learned ones; rarer values of lang are taken for noise
 PIECE_CHARS = 1 << 20
 UNKNOWN = "und"
 
@@ -181,19 +182,19 @@ def train(docs: DataFrame, how: Ftrl = Ftrl(), per_language: int = PER_LANGUAGE)
     rows = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     df = (rows.select("text").mapInArrow(_document_frequencies, "cell int, df long")
           .groupBy("cell").agg(F.sum("df").alias("df")).toPandas())  # at most CELLS + 1 rows
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
+    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    languages = sorted(r["lang"] for r in most.collect())
+    if not languages:
         return None
-    languages = sorted(sizes)
     idf = np.zeros(CELLS)
     n_docs = int(df.df[df.cell == -1].sum())
     known = df[df.cell >= 0]
     idf[known.cell] = np.log((1 + n_docs) / (1 + known.df.to_numpy(float))) + 1
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(share)
-    place = hash60(F.lit("language"), F.col("doc_id"))
-    sample = (rows.withColumn("place", place).filter(F.col("place") < share * float(1 << 60))
+    place = hash60(F.lit("language"), F.col("doc_id"), F.md5(F.col("text").cast("binary")))
+    placed = rows.filter(F.col("lang").isin(languages)).select("lang", "text", place.alias("place"))
+    chosen = least_rows(placed.select("lang", "place"), "lang", "place", per_language)
+    # at most MAX_LANGUAGES * per_language rows; equal documents are one
+    sample = (placed.join(F.broadcast(chosen), ["lang", "place"]).dropDuplicates(["lang", "place"])
               .select("lang", "place", _sparse(F.col("text")).alias("x")).toPandas())
     sample = sample.sort_values("place", kind="stable")
     x, y = [], []
