@@ -19,7 +19,7 @@ from .test_runner import clock, dimension, enriched
 @pytest.fixture()
 def lake(spark, tmp_path):
     c = P.PipelineConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "lake"), max_files=1,
-                         suite=(RowCountBetween(1, None),), min_records=1)
+                         suite=(RowCountBetween(1, None),), min_records=1, key_index_min_rows=0)
     P.bootstrap(spark, c, dimension(spark))
     c = replace(c, dimension_schema=spark.read.parquet(f"{c.root}/dimension").schema)
     for i in range(3):

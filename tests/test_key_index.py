@@ -37,7 +37,7 @@ def test_present_keys_are_found_and_absent_ones_hardly_ever(spark, kind, make):
     present = [make(i) for i in range(0, n, 3)]
     assert held(spark, index, present, kind, blocks) == set(present)
     absent = [make(i) for i in range(n, 3 * n)]
-    assert len(held(spark, index, absent, kind, blocks)) <= 12  # 40,000 keys at about 1 in 100,000
+    assert len(held(spark, index, absent, kind, blocks)) <= 12  # 40,000 keys at about 1 in 25,000
     index.unpersist()
 
 
@@ -102,7 +102,7 @@ def random_ids(seed):
 @pytest.fixture()
 def lake(spark, tmp_path):
     c = P.PipelineConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "lake"), max_files=1,
-                         suite=(RowCountBetween(1, None),), min_records=1)
+                         suite=(RowCountBetween(1, None),), min_records=1, key_index_min_rows=0)
     P.bootstrap(spark, c, dimension(spark))
     return c
 
@@ -140,6 +140,16 @@ def test_random_ids_probe_only_the_folders_that_hold_them(spark, lake):
                 P.probe_target(spark, enr_t, ledger, "current", 0, 10**9).inputFiles()}) == 4
 
 
+def test_small_folders_are_probed_without_a_filter(spark, lake):
+    c = replace(lake, key_index_min_rows=201)
+    for i in range(2):
+        deliver(spark, c, f"f{i}", [i])
+        P.run_batch(spark, c, clock(i))
+    assert all(r["key_blocks"] is None for r in read_ledger(spark, c.ledger_path).collect())
+    deliver(spark, c, "f2", [0, 1, 2])
+    assert P.run_batch(spark, c, clock(2)).inserted == 200
+
+
 def test_redelivered_random_ids_are_inserted_once(spark, lake):
     for i, seeds in enumerate([[0], [1], [0, 2], [1, 2, 3]]):
         deliver(spark, lake, f"f{i}", seeds)

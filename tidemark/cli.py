@@ -7,6 +7,7 @@ Commands:
   stream          the same through Structured Streaming (availableNow, or a processing-time trigger)
   compact-ledger  fold old ledger days into a snapshot
   tidy-landing    finish archive/quarantine moves interrupted by a crash
+  compact-lake    pack small batch folders of the raw and enriched table in place
 
 The application owns its session: built here (with the library profile applied)
 unless one is passed to ``main``.
@@ -34,9 +35,9 @@ def _config(args):
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidemark")
     sub = p.add_subparsers(dest="command", required=True)
-    for name in ("bootstrap", "run-batch", "run-all", "stream", "compact-ledger", "tidy-landing"):
+    for name in ("bootstrap", "run-batch", "run-all", "stream", "compact-ledger", "tidy-landing", "compact-lake"):
         s = sub.add_parser(name)
-        s.add_argument("--landing", required=name != "compact-ledger", default=None)
+        s.add_argument("--landing", required=not name.startswith("compact-"), default=None)
         s.add_argument("--root", required=True, help="folder of raw/enriched/ledger/audit/quarantine")
         s.add_argument("--max-files", type=int, default=5)
         s.add_argument("--min-rows", type=int, default=500)
@@ -53,6 +54,10 @@ def _parser() -> argparse.ArgumentParser:
                            help="county-level CSV: roll up by this key column first (sums, Income* means)")
         if name == "stream":
             s.add_argument("--processing-time", default=None, help="e.g. '1 hour'; default: availableNow")
+        if name not in ("compact-ledger", "compact-lake"):
+            s.add_argument("--folder-cursor", action="store_true", help="list only landing folders that may hold new files")
+        if name == "compact-lake":
+            s.add_argument("--target-bytes", type=int, default=512 << 20)
         if name == "compact-ledger":
             s.add_argument("--upto", default=None, help="yyyy-mm-dd (default: today, UTC)")
             s.add_argument("--purge", action="store_true")
@@ -94,6 +99,11 @@ def _run(spark: SparkSession, args) -> dict:
         r = run_batch(spark, cfg)
         return {"status": r.status, "batch_id": r.batch_id, "files": len(r.paths), "inserted": r.inserted,
                 "summary": r.summary}
+    if args.command == "compact-lake":
+        from tidemark.plans.compaction import compact_lake
+
+        packed = compact_lake(spark, cfg, args.target_bytes)
+        return {name: [{"batch_id": p.batch_id, "folders": len(p.folders)} for p in ps] for name, ps in packed.items()}
     if args.command == "tidy-landing":
         return {"moved": tidy_landing(spark, cfg)}
     if args.command == "run-all":

@@ -37,7 +37,7 @@ def source_key_size(source: DataFrame, keys: str | list[str], max_rows: int = DE
     keys = _keys(keys)
     single = keys[0] if len(keys) == 1 else None
     src_keys = source.select(*keys).filter(_not_null(keys))
-    return measure(src_keys, max_rows, key=single if refuse_duplicates else None, bounds_of=single)
+    return measure(src_keys, max_rows, key=single if refuse_duplicates else None, bounds_of=single, hot_keys_of=keys)
 
 
 def matched_keys(target: DataFrame, source: DataFrame, keys: str | list[str],
@@ -108,12 +108,14 @@ def merge_insert(target: DataFrame, source: DataFrame, keys: str | list[str],
     keys = _keys(keys)
     if dedupe_source:
         source = first_of_each_key(source, keys, dedupe_order)
+    if size is None:
+        size = source_key_size(source, keys, max_rows)
     hit = matched_keys(target, source, keys, max_rows, max_bytes, size=size)
     if hit is not None:
         # hit is a subset of the measured source keys, so its size is bounded too.
         return source.join(F.broadcast(hit), keys, "left_anti")
-    # Large increment (e.g. first load): shuffle anti-join; hot keys of either side stay out of the shuffle.
-    return anti_join(source, target, keys, hot_keys(source, keys).union(hot_keys(target.select(*keys), keys)))
+    # Large increment (e.g. first load): shuffle anti-join; hot keys of the source stay out of the shuffle.
+    return anti_join(source, target, keys, size.hot if size.hot is not None else hot_keys(source, keys))
 
 
 def merge_insert_table(target: DataFrame, source: DataFrame, keys: str | list[str], **kw) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.skew import HotKeys, hot_of, sketch
+
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
@@ -26,6 +28,7 @@ class SideSize:
     duplicate_keys: bool = False  # only computed when a key is given
     key_min: object = None  # only computed when bounds_of is given
     key_max: object = None
+    hot: HotKeys | None = None  # only computed when hot_keys_of is given
 
 
 def _width(field: T.StructField) -> Column | int:
@@ -47,11 +50,12 @@ def _width(field: T.StructField) -> Column | int:
 
 
 def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key: str | None = None,
-            bounds_of: str | None = None) -> SideSize:
+            bounds_of: str | None = None, hot_keys_of: list[str] | None = None) -> SideSize:
     """Rows and approximate in-memory bytes of ``df`` (one distributed aggregate).
 
     With ``key``, the same job also tells whether a non-NULL key repeats;
-    with ``bounds_of``, it returns that column's min and max.
+    with ``bounds_of``, it returns that column's min and max, with ``hot_keys_of`` the
+    hot keys of these columns.
     """
     widths = [_width(f) for f in df.schema.fields]
     fixed = sum(w for w in widths if isinstance(w, int)) + 16
@@ -67,11 +71,14 @@ def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key: str
     if bounds_of is not None:
         b = F.col(f"`{bounds_of}`")
         aggs += [F.min(b).alias("lo"), F.max(b).alias("hi")]
+    if hot_keys_of is not None:
+        aggs.append(sketch(hot_keys_of).alias("top"))
     probe = df.agg(*aggs).first()
     rows, size = int(probe["rows"]), int(probe["bytes"])
     dup = bool(probe["dup"]) if key is not None else False
     lo, hi = (probe["lo"], probe["hi"]) if bounds_of is not None else (None, None)
-    return SideSize(rows=rows, bytes=size, bounded=rows <= max_rows, duplicate_keys=dup, key_min=lo, key_max=hi)
+    return SideSize(rows=rows, bytes=size, bounded=rows <= max_rows, duplicate_keys=dup, key_min=lo, key_max=hi,
+                    hot=hot_of(probe["top"], rows) if hot_keys_of is not None else None)
 
 
 def fits_broadcast(size: SideSize, max_bytes: int) -> bool:

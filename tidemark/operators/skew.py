@@ -37,9 +37,6 @@ class HotKeys:
     def __bool__(self) -> bool:
         return bool(self.hashes)
 
-    def union(self, other: HotKeys) -> HotKeys:
-        return HotKeys(tuple(sorted({*self.hashes, *other.hashes})))
-
     def rows(self, df: DataFrame, keys: list[str]) -> DataFrame:
         return df.filter(key_hash(keys).isin(list(self.hashes)))
 
@@ -49,21 +46,33 @@ class HotKeys:
         return df.filter(h.isNull() | ~h.isin(list(self.hashes)))
 
 
+def sketch(keys: list[str], share: float = HOT_SHARE) -> Column:
+    """Aggregate: candidates for keys with at least ``share`` of the rows (for ``hot_of``)."""
+    most = int(1 / share)
+    hashed = ", ".join(f"`{k}`" for k in keys)
+    some = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    return F.expr(f"approx_top_k(CASE WHEN {some} THEN xxhash64({hashed}) END, {most}, {most * _TRACKED_PER_HOT})")
+
+
+def hot_of(top: list | None, rows: int, share: float = HOT_SHARE) -> HotKeys:
+    return HotKeys(tuple(sorted(t["item"] for t in top or [] if t["item"] is not None and t["count"] >= share * rows)))
+
+
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> HotKeys:
     """Keys of ``df`` with at least ``share`` of its rows (one scan of the key columns)."""
-    most = int(1 / share)
-    row = (df.select(key_hash(keys).alias("h"))
-           .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {most}, {most * _TRACKED_PER_HOT})").alias("top"))
-           .first())
-    return HotKeys(tuple(sorted(t["item"] for t in row["top"] or []
-                                if t["item"] is not None and t["count"] >= share * row["n"])))
+    row = df.agg(F.count(F.lit(1)).alias("n"), sketch(keys, share).alias("top")).first()
+    return hot_of(row["top"], row["n"], share)
 
 
 def anti_join(source: DataFrame, target: DataFrame, keys: list[str], hot: HotKeys) -> DataFrame:
-    """Rows of ``source`` whose key ``target`` has not (NULL keys are kept)."""
+    """Rows of ``source`` whose key ``target`` has not (NULL keys are kept); ``hot``: keys of the source.
+
+    The target's keys are made distinct in the tasks that read them, before the shuffle that the
+    join needs anyway, so a key that the target holds very often is no load either.
+    """
     wanted = target.select(*keys)
     cold = hot.others(source, keys) if hot else source
-    out = cold.join(hot.others(wanted, keys) if hot else wanted, keys, "left_anti")
+    out = cold.join((hot.others(wanted, keys) if hot else wanted).distinct(), keys, "left_anti")
     if hot:  # distinct keys of a bounded set: at most as many as there are hot hashes
         known = hot.rows(wanted, keys).distinct()
         out = out.unionByName(hot.rows(source, keys).join(F.broadcast(known), keys, "left_anti"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import literal_rows
-from tidemark.operators.key_index import write_index
+from tidemark.operators.key_index import MIN_ROWS, write_index
 from tidemark.operators.ledger import read_ledger, summarise_ledger, unmerged_batches
 from tidemark.plans.tables import BATCH_COL, Table, _with_hidden, read_batches
 from tidemark.schemas import LEDGER_SCHEMA
@@ -58,9 +58,10 @@ def _journal(root: str) -> str:
     return f"{root}/compactions"
 
 
-def read_journal(spark: SparkSession, root: str) -> DataFrame:
+def read_journal(spark: SparkSession, root: str) -> DataFrame | None:
+    """None if nothing was ever packed."""
     if not any(n.endswith(".parquet") for n, _ in child_entries(spark, _journal(root))):
-        return spark.createDataFrame([], JOURNAL_SCHEMA)
+        return None
     return spark.read.schema(JOURNAL_SCHEMA).parquet(_journal(root))
 
 
@@ -91,14 +92,13 @@ def plan_packing(spark: SparkSession, table: Table, folders: list[str], target_b
             for r in rows.orderBy("pack").collect()]
 
 
-def _finish(spark: SparkSession, root: str, row: dict, index: str | None) -> None:
+def _finish(spark: SparkSession, root: str, row: dict, index: str) -> None:
     place = f"{row['table_path']}/{BATCH_COL}={row['batch_id']}"
     hidden = f"{row['table_path']}/{_HIDDEN}/{row['batch_id']}"
     rename_dir(spark, hidden, place)  # skipped if it was done before
     for folder in row["replaced"]:
         delete_dir(spark, f"{row['table_path']}/{BATCH_COL}={folder}")
-        if index is not None:
-            delete_dir(spark, f"{index}/{BATCH_COL}={folder}")
+        delete_dir(spark, f"{index}/{BATCH_COL}={folder}")  # if it had one
     _note(spark, root, {**row, "state": "done"})
 
 
@@ -106,10 +106,12 @@ def finish_compactions(spark: SparkSession, root: str, journal: DataFrame | None
     """Finishes replacements that a journal row announced and a crash interrupted."""
     if journal is None:
         journal = read_journal(spark, root)
+    if journal is None:
+        return 0
     done = journal.filter("state = 'done'").select("table_path", "batch_id")
     open_rows = journal.filter("state = 'ready'").join(done, ["table_path", "batch_id"], "left_anti").collect()
     for r in open_rows:
-        _finish(spark, root, r.asDict(), f"{root}/key_index" if r["key_blocks"] is not None else None)
+        _finish(spark, root, r.asDict(), f"{root}/key_index")
     return len(open_rows)
 
 
@@ -122,7 +124,7 @@ def as_ledger_rows(journal: DataFrame) -> DataFrame:
 
 
 def pack(spark: SparkSession, root: str, table: Table, packing: Packing, key: str | None, index: str | None,
-         crash: Callable[[str], None] = lambda step: None) -> None:
+         crash: Callable[[str], None] = lambda step: None, index_min_rows: int = MIN_ROWS) -> None:
     """Replaces the folders of one packing. ``key``: its range (if integral) and index are recorded.
 
     ``crash`` is called before each step (tests raise from it).
@@ -143,14 +145,14 @@ def pack(spark: SparkSession, root: str, table: Table, packing: Packing, key: st
         got = written.agg(F.count(k).alias("n"), F.min(k).alias("lo"), F.max(k).alias("hi")).first()
         if integral:
             key_min, key_max = (got["lo"], got["hi"]) if got["n"] else (1, 0)
-        if index is not None:
+        if index is not None and got["n"] >= index_min_rows:
             blocks = write_index(written, key, got["n"], f"{index}/{BATCH_COL}={packing.batch_id}")
     row = {"table_path": table.path, "batch_id": packing.batch_id, "replaced": list(packing.folders),
            "at": datetime.now(timezone.utc), "key_min": key_min, "key_max": key_max, "key_blocks": blocks}
     crash("journal")
     _note(spark, root, {**row, "state": "ready"})
     crash("swap")
-    _finish(spark, root, row, index if blocks is not None else None)
+    _finish(spark, root, row, f"{root}/key_index")
 
 
 def compact(spark: SparkSession, cfg, table: Table, merged_only: bool, target_bytes: int = TARGET_BYTES,
@@ -169,12 +171,13 @@ def compact(spark: SparkSession, cfg, table: Table, merged_only: bool, target_by
     folders = [f for f in folders if f != "__HIVE_DEFAULT_PARTITION__"
                and not (summary.pending and f == summary.last_batch_id)]
     if merged_only:
-        known = ledger.unionByName(as_ledger_rows(read_journal(spark, cfg.root)))
+        journal = read_journal(spark, cfg.root)
+        known = ledger if journal is None else ledger.unionByName(as_ledger_rows(journal))
         folders = sorted(set(folders) - set(unmerged_batches(spark, known, folders)))
     packings = plan_packing(spark, table, folders, target_bytes)
     for p in packings:
         pack(spark, cfg.root, table, p, None if merged_only else cfg.key,
-             cfg.key_index_path if cfg.key_index and not merged_only else None, crash)
+             cfg.key_index_path if cfg.key_index and not merged_only else None, crash, cfg.key_index_min_rows)
     return packings
 
 

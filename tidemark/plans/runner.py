@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import derive_check_columns, epoch_to_timestamp, timestamp_to_micros
 from tidemark.operators.enrich import enrich
 from tidemark.operators.increment import high_water_mark, increment
-from tidemark.operators.key_index import folders_that_may_hold, write_index
+from tidemark.operators.key_index import MIN_ROWS, folders_that_may_hold, write_index
 from tidemark.operators.ledger import (LedgerSummary, batch_paths, batches_to_probe, compact_ledger, current_state,
                                        log_days_since_snapshot, names_of, next_batch, read_ledger, record,
                                        summarise_ledger, unmerged_batches)
@@ -75,6 +75,7 @@ class PipelineConfig:
     prune_target: bool = True
     # keep a Bloom filter of each batch's inserted keys and probe only folders whose filter hits
     key_index: bool = True
+    key_index_min_rows: int = MIN_ROWS  # smaller folders are probed without one
 
     @property
     def ledger_path(self) -> str:
@@ -208,9 +209,11 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
         ledger = read_ledger(spark, cfg.ledger_path)
     if summary is None:
         summary = summarise_ledger(ledger)
+    known = ledger  # what is known of each batch folder
     journal = read_journal(spark, cfg.root)
-    finish_compactions(spark, cfg.root, journal)  # no table is read with both old and packed folders
-    known = ledger.unionByName(as_ledger_rows(journal))  # what is known of each batch folder
+    if journal is not None:
+        finish_compactions(spark, cfg.root, journal)  # no table is read with both old and packed folders
+        known = ledger.unionByName(as_ledger_rows(journal))
     readable = not schema_faults(spark, paths)  # broken footers, missing or extra columns, other types
     if readable:
         results, quality = run_suite(derive_check_columns(batch), list(cfg.suite))  # one scan
@@ -263,7 +266,7 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
         key_range = (int(size.key_min), int(size.key_max)) if integral else (None, None)
         small = fits_broadcast(size, broadcast_threshold(spark) or 50 * 1024 * 1024)
         probe = probe_target(spark, enr_t, known, batch_id, *key_range, index=cfg.key_index_path,
-                             keys=new.select(cfg.key) if cfg.key_index and small else None)
+                             keys=new.select(cfg.key) if cfg.key_index and small else None, rows=size.rows)
         if probe is not None:
             target = probe
     if target is None:
@@ -283,7 +286,7 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
     if integral:  # (1, 0): tracked, no non-NULL key inserted
         key_range = (got["kmin"], got["kmax"]) if got.get("kmin") is not None else (1, 0)
     blocks = None
-    if cfg.key_index:  # before the ledger says so: a folder without a recorded index is always probed
+    if cfg.key_index and int(got["n"]) >= cfg.key_index_min_rows:  # before the ledger says so: a folder without a recorded index is always probed
         blocks = write_index(read_batch(spark, enr_t, batch_id), cfg.key, int(got["n"]),
                              f"{cfg.key_index_path}/{BATCH_COL}={batch_id}")
     record(spark, cfg.ledger_path, files, batch_id, batch_time, ("loaded", "archived"), watermark_us=new_mark,
@@ -294,7 +297,8 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, ba
 
 
 def probe_target(spark: SparkSession, table: Table, ledger: DataFrame, exclude_batch: str, lo: int | None,
-                 hi: int | None, index: str | None = None, keys: DataFrame | None = None) -> DataFrame | None:
+                 hi: int | None, index: str | None = None, keys: DataFrame | None = None,
+                 rows: int | None = None) -> DataFrame | None:
     """The part of the enriched table that can hold keys in ``[lo, hi]``, or None (read it all).
 
     Every batch folder except the current one is kept unless the ledger recorded the key
@@ -310,7 +314,7 @@ def probe_target(spark: SparkSession, table: Table, ledger: DataFrame, exclude_b
     near = batches_to_probe(spark, ledger, [f for f in folders if f != exclude_batch], lo, hi)
     if keys is not None:
         indexed = {f: n for f, n in near.items() if n is not None}
-        hit = set(folders_that_may_hold(spark, index, indexed, keys, keys.columns[0], BATCH_COL))
+        hit = set(folders_that_may_hold(spark, index, indexed, keys, keys.columns[0], BATCH_COL, rows))
         near = {f: n for f, n in near.items() if n is None or f in hit}
     return read_batches(spark, table, sorted(near))
 
