@@ -176,7 +176,7 @@ def test_one_conversation_holds_most_rows(spark):
     for r in sorted(R.repaired_rows(df, found).collect(), key=lambda r: (r["conv_id"], r["place"])):
         if r["edit"] != "D":
             done[r["conv_id"]].append((r["role"], r["text"]))
-    assert done == {k: v[-1] for k, v in want.items()}
+    assert {k: done[k] for k in want} == {k: v[-1] for k, v in want.items()}  # some keep no row
 
 
 @pytest.fixture(scope="module")
