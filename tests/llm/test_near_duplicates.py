@@ -113,3 +113,33 @@ def test_edge_rows(edge_docs, no_docs):
     out = I.deduplicated(edge_docs)
     assert out.columns == edge_docs.columns and out.count() == sum(r["stays"] for r in rows)
     assert I.near_duplicate_rows(no_docs).collect() == [] and I.deduplicated(no_docs).collect() == []
+
+
+def test_group_of_near_copies_that_are_not_similar_to_each_other(spark):
+    """Many texts around one passage, most too far from all others, some in close pairs: the
+    pairs compared stay few, and every similar pair is found."""
+    pick = random.Random(8)
+    base = [f"w{pick.randrange(10**6)}" for _ in range(200)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for at in pick.sample(range(0, 200, 5), 3 + i % 10):
+            w[at] = f"v{pick.randrange(10**6)}"
+        rows.append((2 * i, " ".join(w)))
+        if i % 5 == 0:
+            w[7] = f"x{i}"
+            rows.append((2 * i + 1, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    compared = []
+    plain = I.links
+
+    def counted(pairs, *rest):
+        compared.append(pairs.distinct().count())
+        return plain(pairs, *rest)
+
+    I.links = counted
+    try:
+        agree(docs)
+    finally:
+        I.links = plain
+    assert sum(compared) < len(rows) ** 2 / 8

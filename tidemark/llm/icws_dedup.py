@@ -15,10 +15,10 @@ Scale:
   most 1024 times as many such words as a document has distinct words on average, at any
   corpus size, and never more than ``MAX_WORDS`` (the bound rises, if it must).
 * equal texts are one node, whatever their number.
-* a bucket's members are compared with one leader first, which links large groups of
-  copies with one comparison each. Only in buckets that then still hold several
-  components, more leaders follow, until every pair of members in different components was
-  compared: no pair of a bucket is skipped, and none within a component is made.
+* a bucket's members are compared with one leader, which links large groups of copies with
+  one comparison each. Texts of buckets that then still hold several components are joined on
+  their rarest shingles (prefix filter with weights): no pair of similar texts among them is
+  missed, and texts that are not similar rarely meet, however many share a bucket.
 * buckets are split by the texts' total weight, which loses no pair of similar texts, so
   texts that share only a common passage rarely meet.
 * components are found by distributed star contraction.
@@ -44,7 +44,8 @@ BANDS, ROWS = 16, 5
 RARE = 1024  # words in fewer than one of so many documents weigh the same
 MAX_WORDS = 2_000_000
 MAX_BROADCAST_IDS = 2_000_000
-SMALL = 16  # buckets up to this size are compared completely at once
+CLASS = 0.95  # a weight class of the prefix join is one such factor wide
+SLACK = 1e-6  # rounding of summed weights
 _TABLE_BITS = 16
 
 
@@ -229,52 +230,134 @@ def links(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> Data
         return stage(scored.filter(F.col("similarity") >= threshold))
 
 
+def _united(found: DataFrame, roots: DataFrame) -> DataFrame:
+    """Components (node, root) of the links ``found`` and the components ``roots``, staged."""
+    return stage(components(found.select("a", "b").unionByName(
+        roots.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def element_column(text: Column, weights) -> Column:
+    """The weighted shingles of a text, as an array of (g, w)."""
+    kind = pa.struct([("g", pa.int64()), ("w", pa.float64())])
+
+    @F.arrow_udf("array<struct<g: bigint, w: double>>")
+    def elements(texts: pa.Array) -> pa.Array:
+        table = Weights(*weights.value)
+        hashes, values = [np.zeros(0, U64)], [np.zeros(0)]
+        for a, b, w in batches(texts):
+            for t in range(b - a):
+                g, v = vector(w.hash[w.first[t]:w.first[t + 1]], table)
+                hashes.append(g)
+                values.append(v)
+        ends = np.cumsum([0] + [len(g) for g in hashes[1:]]).astype(np.int32)
+        flat = pa.StructArray.from_arrays(
+            [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(values))], fields=list(kind))
+        return pa.ListArray.from_arrays(pa.array(ends), flat)
+
+    return elements(text)
+
+
+def prefixes(members: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """Prefix rows (node, root, total, before, g) of ``members`` (node, root), staged.
+
+    All shingles are put in one order, the same for every text: first those that only one
+    component holds, then by number of holders. ``before`` is the weight of a text's shingles
+    ahead of ``g``. Texts of similarity s share at least s of the heavier one's weight, so the
+    first shingle that two similar texts of different components share has at most
+    ``1 - threshold`` of either text's weight ahead of it; only such shingles are returned.
+    """
+    used = texts.join(_few(members), "node")
+    bag = used.select("node", "root", element_column(F.col("text"), weights).alias("bag"))
+    bag = bag.withColumn("total", F.aggregate("bag", F.lit(0.0), lambda s, x: s + x["w"]))
+    rows = bag.select("node", "root", "total", F.inline("bag"))
+    held = (rows.groupBy("g").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+            .filter("low <> high").select("g", "n"))
+    node = Window.partitionBy("node")
+    ahead = node.orderBy("n", "g").rowsBetween(Window.unboundedPreceding, -1)
+    rows = (rows.join(held, "g")
+            .withColumn("shared", F.sum("w").over(node))
+            .withColumn("before", F.col("total") - F.col("shared") + F.coalesce(F.sum("w").over(ahead), F.lit(0.0))))
+    with small_batches(texts.sparkSession):
+        return stage(rows.filter(F.col("before") <= F.col("total") * (1 - threshold + SLACK))
+                     .select("node", "root", "total", "before", "g"))
+
+
+def _weight_class(weight: Column) -> Column:
+    return F.floor(F.log(weight) / float(-np.log(CLASS)))
+
+
+def prefix_keys(rows: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Keys (shingle, weight class of the lighter text) of prefix rows: as the lighter text of
+    a pair, and as the heavier one.
+
+    The two texts share ``threshold / (1 + threshold)`` of their joint weight or more, all of
+    it from the first shared shingle on. So the lighter one has at most
+    ``1 - 2 * threshold / (1 + threshold)`` of its weight ahead of that shingle, and the more the
+    heavier one has ahead, the lighter its partner must be.
+    """
+    part = threshold / (1 + threshold)
+    key = lambda c: F.xxhash64("g", c).alias("key")
+    columns = ["node", "root", "total", "before"]
+    light = (rows.filter(F.col("before") <= F.col("total") * (1 - 2 * part + SLACK))
+             .select(key(_weight_class(F.col("total"))), *columns))
+    most = F.least(F.col("total"), ((F.col("total") - F.col("before")) / part - F.col("total")) * (1 + SLACK))
+    least = F.col("total") * threshold * (1 - SLACK)
+    heavy = (rows.filter(most >= least)
+             .withColumn("class", F.explode(F.sequence(_weight_class(least), _weight_class(most))))
+             .select(key(F.col("class")), *columns))
+    return light, heavy
+
+
+def _pairs(light: DataFrame, heavy: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of texts in different components that meet in a key and may be similar."""
+    x, y = light.alias("x"), heavy.alias("y")
+    common = F.least(F.col("x.total") - F.col("x.before"), F.col("y.total") - F.col("y.before"))
+    fits = common >= (F.col("x.total") + F.col("y.total")) * (threshold / (1 + threshold)) * (1 - SLACK)
+    both = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & fits)
+    return both.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
+
+
 def link_buckets(buckets: DataFrame, texts: DataFrame, weights, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Links and components (node, root) of ``buckets`` (band, node), staged.
 
-    Ends when in every bucket at most one component has members that were not compared
-    with all members of the other components. Round 1 has one leader per bucket. After that
-    a bucket of up to ``SMALL`` members has all of them as leaders, which settles it; a
-    larger one has ``SMALL`` new leaders, then four times as many, and so on. Leaders are the
-    members with the most company over all their buckets: the text that a group was copied
-    from meets every copy more often than copies meet each other, so it leads.
+    First every member of a bucket is compared with its leader: the member with most company
+    over all its buckets. The text that a group was copied from meets every copy more often
+    than copies meet each other, so it leads. Buckets that still hold several components are
+    not paired off: their texts are joined on the rarest of their shingles (prefix filter), which
+    finds every pair of similar texts among them, and hardly any other. Here too all that meet in
+    a key are compared with one leader first, then the components that are left with each other.
     """
     session = buckets.sparkSession
     sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = buckets.join(sizes, "band")
-    company = buckets.groupBy("node").agg(F.sum("n").alias("company"))
+    company = stage(buckets.groupBy("node").agg(F.sum("n").alias("company")))
     buckets = stage(buckets.join(company, "node").select("band", "node", "company"))
-    found = session.createDataFrame([], "a long, b long, similarity double")
-    roots = session.createDataFrame([], "node long, root long")
-    led = session.createDataFrame([], "band long, node long")
-    leaders = 1
-    while True:
-        if leaders == 1:
-            member = buckets.withColumn("root", F.col("node"))
-            most = F.max(F.struct("company", (-F.col("node")).alias("minus")))["minus"]
-            fresh = member.groupBy("band").agg((-most).alias("node")).withColumn("root", F.col("node"))
-        else:
-            member = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            parts = member.groupBy("band", "root").agg(F.count("*").alias("n"))
-            main = (parts.groupBy("band").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"))
-                    .filter("parts > 1").select("band", "main"))
-            member = stage(member.join(main, "band"))
-            order = Window.partitionBy("band").orderBy(F.desc("company"), "node")
-            fresh = (member.filter("root <> main").join(led, ["band", "node"], "left_anti")
-                     .withColumn("no", F.row_number().over(order)).filter(F.col("no") <= leaders)
-                     .select("band", "node", "root"))
-        fresh = stage(fresh)
-        if fresh.isEmpty():
-            return found, roots
-        led = stage(led.unionByName(fresh.select("band", "node")))
-        pairs = (member.join(fresh.select("band", F.col("node").alias("leader"), F.col("root").alias("theirs")), "band")
-                 .filter("root <> theirs")
-                 .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")))
-        more = links(pairs, texts, weights, threshold)
-        found = found.unionByName(more)
-        roots = stage(components(more.select("a", "b").unionByName(
-            roots.select(F.col("node").alias("a"), F.col("root").alias("b")))))
-        leaders = SMALL if leaders == 1 else 4 * leaders
+    most = F.max(F.struct("company", (-F.col("node")).alias("minus")))["minus"]
+    leaders = buckets.groupBy("band").agg((-most).alias("leader"))
+    pairs = (buckets.join(leaders, "band").filter("node <> leader")
+             .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")))
+    found = links(pairs, texts, weights, threshold)
+    roots = _united(found, session.createDataFrame([], "node long, root long"))
+
+    member = _rooted(buckets, roots)
+    open_buckets = (member.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                    .filter("low <> high").select("band"))
+    rows = prefixes(stage(member.join(open_buckets, "band").select("node", "root").distinct()), texts, weights, threshold)
+    if rows.isEmpty():
+        return found, roots
+    light, heavy = prefix_keys(rows, threshold)
+    met = light.select("key").distinct()
+    leaders = (heavy.join(met, "key").join(company, "node").groupBy("key").agg((-most).alias("node")))
+    lead = stage(heavy.join(leaders, ["key", "node"]))
+    more = links(_pairs(light, lead, threshold), texts, weights, threshold)
+    found, roots = found.unionByName(more), _united(more, roots)
+    light, heavy = (_rooted(k.drop("root"), roots) for k in (light, heavy))
+    more = links(_pairs(light, heavy, threshold), texts, weights, threshold)
+    return found.unionByName(more), _united(more, roots)
 
 
 def _classes(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -335,7 +418,11 @@ def near_duplicate_rows(docs: DataFrame, threshold: float = SIMILARITY) -> DataF
 
 
 def deduplicated(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """One row of ``docs`` per class, with exactly its columns."""
+    """One row of ``docs`` per class, with exactly its columns.
+
+    The row with the smallest doc_id stays (a NULL id last; the first of equal ids). Equal rows
+    are one class, a NULL text is always kept, an empty table gives an empty result.
+    """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     rows = _staged_texts(docs, [F.col("doc_id"), F.col("text"), whole])
     rows = rows.select("uid", "doc_id", F.col("doc.text").alias("text"), "doc")
