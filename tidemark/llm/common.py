@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 3, 1
 
+PACKED_ROWS = 100_000  # narrow rows to a task
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,6 +35,21 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def packed(df: DataFrame, rows: int = PACKED_ROWS) -> tuple[DataFrame, int]:
+    """``df`` staged, read in partitions of about ``rows`` rows, and its number of rows.
+
+    For narrow frames much smaller than their sources: else every later job on a few rows runs
+    one task, and writes one file, per shuffle partition of the session.
+    """
+    held = stage(df)
+    n = held.count()
+    return held.coalesce(parts(n, rows)), n
+
+
+def parts(n: int, rows: int = PACKED_ROWS) -> int:
+    return n // rows + 1
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
     """Column and Arrow batches of at most ``rows`` rows for the jobs run inside, for rows with

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import packed, parts, stage
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -27,7 +27,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         out = out.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b")))
-    return out.filter("a <> b").distinct()
+    return out.filter("a <> b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,14 +35,18 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has long columns a and b. Loops, repeated and empty edges are fine.
     """
-    edges = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges, n = packed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    before = None
-    while (now := state(edges)) != before:  # at the fixed point each node points at its root
+    before, now = None, (n, None)
+    while n and now != before:  # at the fixed point each node points at its root
         before = now
-        edges = stage(_star(_star(edges, large=True), large=False))
+        # No step makes more edges than nodes and edges: as many tasks as these need.
+        width = parts(now[0])
+        large = _star(edges, large=True).coalesce(width)
+        edges = stage(_star(large, large=False).coalesce(width).distinct()).coalesce(width)
+        now = state(edges)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

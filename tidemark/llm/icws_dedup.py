@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-from .common import small_batches, stage
+from .common import packed, small_batches, stage
 from .components import components
 from .wordhash import U64, batches, grams, mix64
 
@@ -220,20 +220,23 @@ def _few(ids: DataFrame) -> DataFrame:
 
 def links(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
     """The pairs (a, b) of ``texts`` rows (node, text) that are similar enough, staged."""
-    pairs = stage(pairs.distinct())
-    ids = stage(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    pairs, n = packed(pairs.distinct())
+    if not n:
+        return pairs.withColumn("similarity", F.lit(1.0))
+    ids, _ = packed(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
     used = texts.join(_few(ids), "node")
-    both = (pairs.join(used.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+    both = (used.select(F.col("node").alias("a"), F.col("text").alias("left"))
+            .join(F.broadcast(pairs) if n <= MAX_BROADCAST_IDS else pairs, "a")
             .join(used.select(F.col("node").alias("b"), F.col("text").alias("right")), "b"))
     scored = both.select("a", "b", similarity_column(F.col("left"), F.col("right"), weights).alias("similarity"))
-    with small_batches(pairs.sparkSession):
-        return stage(scored.filter(F.col("similarity") >= threshold))
+    with small_batches(texts.sparkSession):
+        return packed(scored.filter(F.col("similarity") >= threshold))[0]
 
 
 def _united(found: DataFrame, roots: DataFrame) -> DataFrame:
     """Components (node, root) of the links ``found`` and the components ``roots``, staged."""
-    return stage(components(found.select("a", "b").unionByName(
-        roots.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+    return packed(components(found.select("a", "b").unionByName(
+        roots.select(F.col("node").alias("a"), F.col("root").alias("b")))))[0]
 
 
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -273,7 +276,8 @@ def prefixes(members: DataFrame, texts: DataFrame, weights, threshold: float) ->
     used = texts.join(_few(members), "node")
     bag = used.select("node", "root", element_column(F.col("text"), weights).alias("bag"))
     bag = bag.withColumn("total", F.aggregate("bag", F.lit(0.0), lambda s, x: s + x["w"]))
-    rows = bag.select("node", "root", "total", F.inline("bag"))
+    # Dealt by shingle once, for the count and the join.
+    rows = bag.select("node", "root", "total", F.inline("bag")).repartition("g")
     held = (rows.groupBy("g").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
             .filter("low <> high").select("g", "n"))
     node = Window.partitionBy("node")
@@ -354,8 +358,9 @@ def link_buckets(buckets: DataFrame, texts: DataFrame, weights, threshold: float
     leaders = (heavy.join(met, "key").join(company, "node").groupBy("key").agg((-most).alias("node")))
     lead = stage(heavy.join(leaders, ["key", "node"]))
     more = links(_pairs(light, lead, threshold), texts, weights, threshold)
-    found, roots = found.unionByName(more), _united(more, roots)
-    light, heavy = (_rooted(k.drop("root"), roots) for k in (light, heavy))
+    if not more.isEmpty():
+        found, roots = found.unionByName(more), _united(more, roots)
+        light, heavy = (_rooted(k.drop("root"), roots) for k in (light, heavy))
     more = links(_pairs(light, heavy, threshold), texts, weights, threshold)
     return found.unionByName(more), _united(more, roots)
 
