@@ -244,10 +244,10 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def element_column(text: Column, weights) -> Column:
-    """The weighted shingles of a text, as an array of (g, w)."""
+    """The weighted shingles of a text: their total weight and an array of (g, w)."""
     kind = pa.struct([("g", pa.int64()), ("w", pa.float64())])
 
-    @F.arrow_udf("array<struct<g: bigint, w: double>>")
+    @F.arrow_udf("struct<total: double, bag: array<struct<g: bigint, w: double>>>")
     def elements(texts: pa.Array) -> pa.Array:
         table = Weights(*weights.value)
         hashes, values = [np.zeros(0, U64)], [np.zeros(0)]
@@ -259,7 +259,8 @@ def element_column(text: Column, weights) -> Column:
         ends = np.cumsum([0] + [len(g) for g in hashes[1:]]).astype(np.int32)
         flat = pa.StructArray.from_arrays(
             [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(values))], fields=list(kind))
-        return pa.ListArray.from_arrays(pa.array(ends), flat)
+        total = pa.array([float(v.sum()) for v in values[1:]], pa.float64())
+        return pa.StructArray.from_arrays([total, pa.ListArray.from_arrays(pa.array(ends), flat)], names=["total", "bag"])
 
     return elements(text)
 
@@ -274,10 +275,12 @@ def prefixes(members: DataFrame, texts: DataFrame, weights, threshold: float) ->
     ``1 - threshold`` of either text's weight ahead of it; only such shingles are returned.
     """
     used = texts.join(_few(members), "node")
-    bag = used.select("node", "root", element_column(F.col("text"), weights).alias("bag"))
-    bag = bag.withColumn("total", F.aggregate("bag", F.lit(0.0), lambda s, x: s + x["w"]))
-    # Dealt by shingle once, for the count and the join.
-    rows = bag.select("node", "root", "total", F.inline("bag")).repartition("g")
+    # Written once, in the shared folder: the count of holders and the join both read it.
+    path = scratch_path(texts.sparkSession, "near-duplicate-shingles")
+    with small_batches(texts.sparkSession):
+        used.select("node", "root", element_column(F.col("text"), weights).alias("e")).select(
+            "node", "root", "e.*").write.parquet(path)
+    rows = texts.sparkSession.read.parquet(path).select("node", "root", "total", F.inline("bag"))
     held = (rows.groupBy("g").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
             .filter("low <> high").select("g", "n"))
     node = Window.partitionBy("node")
@@ -285,9 +288,8 @@ def prefixes(members: DataFrame, texts: DataFrame, weights, threshold: float) ->
     rows = (rows.join(held, "g")
             .withColumn("shared", F.sum("w").over(node))
             .withColumn("before", F.col("total") - F.col("shared") + F.coalesce(F.sum("w").over(ahead), F.lit(0.0))))
-    with small_batches(texts.sparkSession):
-        return stage(rows.filter(F.col("before") <= F.col("total") * (1 - threshold + SLACK))
-                     .select("node", "root", "total", "before", "g"))
+    return stage(rows.filter(F.col("before") <= F.col("total") * (1 - threshold + SLACK))
+                 .select("node", "root", "total", "before", "g"))
 
 
 def _weight_class(weight: Column) -> Column:
