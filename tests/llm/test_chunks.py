@@ -96,3 +96,11 @@ def test_shared_runs_of_a_short_period_are_found(spark):
     docs = [(2 * i + j, f"{around()} {' '.join([w] * (60 + 9 * j))} {around()}") for i, w in enumerate(words) for j in (0, 1)]
     got = {r["doc_id"]: r for r in repeat_rows(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert set(got) == {i for i, _ in docs}
+
+
+def test_ids_of_other_types(sample_docs):
+    named = sample_docs.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 12, "0")))
+    numbers = sorted((f"d{r[0]:012d}", *r[1:5], f"d{r[5]:012d}", r[6]) for r in repeat_rows(sample_docs).collect())
+    assert numbers and numbers == sorted(tuple(r) for r in repeat_rows(named).collect())
+    out = without_repeats(named)
+    assert out.schema == named.schema and out.count() == named.count()

@@ -168,12 +168,13 @@ def _chunks(batches):
 def chunk_table(docs: DataFrame) -> DataFrame:
     """Every chunk of every text, staged; positions are code points, ``uid`` numbers the rows."""
     return _staged_chunks(docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text"))
+        F.monotonically_increasing_id().alias("uid"), "doc_id", "text"))
 
 
 def _staged_chunks(rows: DataFrame) -> DataFrame:
     path = scratch_path(rows.sparkSession, "chunks")
-    chunks = rows.mapInArrow(_chunks, "uid long, doc_id long, start int, end int, n_bytes int, d1 long, d2 long, run boolean")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    chunks = rows.mapInArrow(_chunks, f"uid long, doc_id {kind}, start int, end int, n_bytes int, d1 long, d2 long, run boolean")
     with small_batches(rows.sparkSession):
         chunks.write.parquet(path)
     return rows.sparkSession.read.parquet(path)
@@ -210,7 +211,8 @@ def repeat_rows(docs: DataFrame, min_bytes: int = MIN_PASSAGE) -> DataFrame:
     """One row per repeated passage of a document; documents without any have no row.
 
     NULL and empty texts have no chunks. Repeated rows repeat each other's whole text. A
-    NULL id is reported as NULL and comes last in the order. Other columns are ignored.
+    NULL id is reported as NULL and comes last in the order; ids keep their type and order
+    (strings bytewise). An empty table gives an empty result. Other columns are ignored.
     """
     return repeated_passages(chunk_table(docs), min_bytes).select(
         "doc_id", "start", "end", F.col("n_bytes").cast("long").alias("n_bytes"),
@@ -221,14 +223,15 @@ def without_repeats(docs: DataFrame, min_bytes: int = MIN_PASSAGE) -> DataFrame:
     """``docs`` (columns unchanged) whose texts lack every removable passage.
 
     Spans go to their texts by row number of a staged copy. A text that repeats another one
-    from end to end becomes empty.
+    from end to end becomes empty; NULL texts stay NULL, an empty table stays empty. Of equal
+    rows the first one in the order of ids (NULL last) and rows keeps its text.
     """
     path = scratch_path(docs.sparkSession, "chunked-texts")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     docs.select(F.monotonically_increasing_id().alias("uid"), whole).write.parquet(path)
     rows = docs.sparkSession.read.parquet(path)
     chunks = _staged_chunks(rows.select(
-        "uid", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").alias("text")))
+        "uid", F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text")))
     gone = (repeated_passages(chunks, min_bytes).filter("removable")
             .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gone")))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
