@@ -78,3 +78,33 @@ def test_query_finds_random_strings_of_every_alphabet(spark, tmp_path):
     for kind in [*kinds, "example", "plain"]:
         found = [h for h, (k, _) in zip(hit, rows) if k == kind]
         assert sum(found) / len(found) >= 0.95 if kind != "plain" else not any(found), kind
+
+
+def test_samples_are_counted_without_staged_files(spark, monkeypatch):
+    from tidemark.llm import markov_secrets as m
+
+    monkeypatch.setattr(m, "stage", None)  # one file per shuffle partition
+    monkeypatch.setattr(m, "_COMMON_NAMES", 2)
+    tokens = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}{i}" for i in range(45)]
+    docs = spark.createDataFrame([(" ".join(tokens[i:i + 30]),) for i in (0, 15)] + [(None,)], "text string")
+    samples = m.labelled_samples(docs).collect()
+    assert sorted(r["sample"] for r in samples if not r["random"] and r["weight"] == 1) == sorted(tokens)
+    assert [r["weight"] for r in samples if not r["random"] and r["sample"] not in tokens] == [3, 3]  # 45 / (10 * 2), rounded up
+
+
+def test_a_weight_counts_as_repeats(spark):
+    rows = [("abcabd", True, 1), ("abab", False, 3), ("ba-ab", False, 1)]
+    weighted = spark.createDataFrame(rows, "sample string, random boolean, weight long")
+    repeated = spark.createDataFrame([r[:2] for r in rows for _ in range(r[2])], "sample string, random boolean")
+    assert log_ratios(weighted) == log_ratios(repeated)
+
+
+def test_texts_are_scanned_in_small_batches(spark, sample_docs, monkeypatch):
+    from tidemark.llm import markov_secrets as m
+
+    seen, name, before = [], "spark.sql.parquet.columnarReaderBatchSize", spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
+    real_stage, real_ratios = m.stage, m.log_ratios
+    monkeypatch.setattr(m, "stage", lambda df: seen.append(int(spark.conf.get(name))) or real_stage(df))
+    monkeypatch.setattr(m, "log_ratios", lambda s: seen.append(int(spark.conf.get(name))) or real_ratios(s))
+    secret_rows(sample_docs.limit(20), samples=m.labelled_samples(sample_docs.limit(20)))
+    assert seen == [256, 256] and spark.conf.get(name) == before

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import small_batches, stage
 
 # The base patterns of the query contract, in their order.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -132,12 +132,15 @@ def corpus_samples(rows: DataFrame) -> DataFrame:
 
 
 def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(sample, random): random strings of every alphabet, and the words and identifiers of the corpus.
+    """(sample, random, weight): random strings of every alphabet, and the words and identifiers of the corpus.
 
     Each distinct word or identifier counts once, and a word once more in one of the writings
     of identifiers (camel case, or small or capital letters with separators and numbers),
     which a hash of the word chooses. Identifiers of common words weigh at least a tenth of
     that, so that a pair of characters is not odd only because the corpus lacks it.
+
+    Nothing is staged: the distinct strings are shuffled once and their shuffle is read twice, to
+    count and to give them. Many small files would be written else, one per shuffle partition.
     """
     pick = random.Random(11)
     noise = ["".join(pick.choices(a, k=_RANDOM_LENGTH)) for a in ALPHABETS.values() for _ in range(_RANDOM_STRINGS)]
@@ -155,8 +158,8 @@ def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.explode(F.split(F.lit(" ".join(values)), " ")).alias("sample")
 
     found = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(_TOKEN), F.lit(0))
-    tokens = stage(docs.select(F.explode(F.array_distinct(found)).alias("sample"))
-                   .filter(F.col("sample").rlike(IDENTIFIER)).distinct())
+    tokens = (docs.select(F.explode(F.array_distinct(found)).alias("sample"))
+              .filter(F.col("sample").rlike(IDENTIFIER)).distinct())
     word, small = F.col("sample"), F.lower("sample")
 
     def chosen(name: str, n: int) -> Column:
@@ -167,11 +170,11 @@ def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
     writings = [F.concat(F.initcap(small), F.initcap(small), number)]
     writings += [F.concat(w, one, w, one, one, two, one, number, one, w, number) for w in (small, F.upper(word))]
     names = F.when(word.rlike("^[A-Za-z][a-z]+$"), F.array(word, F.get(F.array(*writings), chosen("writing", len(writings)))))
-    ordinary = tokens.select(F.explode(F.coalesce(names, F.array(word))).alias("sample"))
-    times = max(1, -(-tokens.count() // (10 * _COMMON_NAMES)))
-    spark = docs.sparkSession
-    usual = spark.range(times).select(listed(common))
-    return (spark.range(1).select(listed(noise)).withColumn("random", F.lit(True))
+    one_each = F.lit(1).cast("long").alias("weight")
+    ordinary = tokens.select(F.explode(F.coalesce(names, F.array(word))).alias("sample"), one_each)
+    times = F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(10 * _COMMON_NAMES))).cast("long")
+    usual = tokens.agg(times.alias("weight")).select(listed(common), "weight")
+    return (docs.sparkSession.range(1).select(listed(noise), one_each).withColumn("random", F.lit(True))
             .unionByName(ordinary.unionByName(usual).withColumn("random", F.lit(False))))
 
 
@@ -190,12 +193,13 @@ def _pairs(text: Column) -> Column:
 def log_ratios(samples: DataFrame) -> list[int]:
     """Scaled log of P(next | character, random) / P(next | character, ordinary) per cell.
 
-    Both models are smoothed by one half per cell. Without samples of either kind every
-    ratio is 0, so nothing is found.
+    Both models are smoothed by one half per cell. A sample counts ``weight`` times if there is
+    such a column. Without samples of either kind every ratio is 0, so nothing is found.
     """
+    weight = F.col("weight") if "weight" in samples.columns else F.lit(1)
     cells = (samples.filter(F.char_length("sample") > 1)
-             .select("random", F.explode(_pairs(F.col("sample"))).alias("cell")))
-    counts = cells.groupBy("random", "cell").agg(F.count("*").alias("n")).collect()  # at most 2 * 128 * 128
+             .select("random", weight.alias("weight"), F.explode(_pairs(F.col("sample"))).alias("cell")))
+    counts = cells.groupBy("random", "cell").agg(F.sum("weight").alias("n")).collect()  # at most 2 * 128 * 128
     n = {True: {}, False: {}}
     for r in counts:
         n[r["random"]][r["cell"]] = r["n"]
@@ -223,8 +227,9 @@ def secret_rows(docs: DataFrame, how: Scan = Scan(), samples: DataFrame | None =
     NULL and empty texts have no spans. Repeated rows are scanned alike; other columns of
     ``docs`` are ignored.
     """
-    rows = scanned(docs)
-    ratios = log_ratios(corpus_samples(rows) if samples is None else samples)
+    with small_batches(docs.sparkSession):
+        rows = scanned(docs)
+        ratios = log_ratios(corpus_samples(rows) if samples is None else samples)
     scored = F.transform("candidates", lambda c: F.struct(
         c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["match"].alias("match"),
         score(c["match"], ratios).alias("score")))
