@@ -73,3 +73,44 @@ def test_least_rows(spark):
     df = spark.createDataFrame([("a", i % 50) for i in range(500)] + [("b", 7), (None, 1), (None, 1)], "g string, p int")
     assert sorted(map(tuple, least_rows(df, "g", "p", 3).collect()), key=repr) == sorted(
         [("a", 0), ("a", 1), ("a", 2), ("b", 7), (None, 1)], key=repr)
+
+
+def test_every_label_counts(spark):
+    """Weights and threshold equal those of all pairs made one by one, whatever the start."""
+    from tidemark.llm import pairwise_quality as q
+
+    rng = np.random.default_rng(5)
+    words = ["tree", "stone", "mill", "x", "a", "Rain|", "#go", "OH!", "1999", "wheel."]
+    # what is good depends on the text of most documents, not of all: no ranking is perfect
+    rows = [(i, " ".join(rng.choice(words, 40 + i % 30, p=np.roll(np.linspace(1, 9, 10) / 50, 3 * (i % 5 == 0)))), int((i % 5 != 0) ^ (i % 7 == 0)))
+            for i in range(900)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2], 0) for r in rows], "doc_id long, quality int, toxic int")
+    few, many = (q.train(docs, labels, per_class=n) for n in (15, 6000))
+    assert np.allclose(few.weights, many.weights, atol=1e-3) and abs(few.threshold - many.threshold) < 1e-3
+    learned = {r["doc_id"] for r in q.document_features(docs).filter("not held_out").collect()}
+    rows = [r for r in rows if r[0] in learned]
+    x, y = q.expand(features(pa.array([r[1] for r in rows]))), np.array([r[2] for r in rows])
+    mean, spread = x.mean(axis=0), x.std(axis=0)
+    spread[spread < 1e-9] = 1
+    assert np.allclose(mean, many.mean) and np.allclose(spread, many.spread)
+    z = (x - mean) / spread
+    d = (z[y == 1][:, None] - z[y == 0][None]).reshape(-1, z.shape[1])
+    scale = q.PAIRS_PER_DOCUMENT / min((y == 1).sum(), (y == 0).sum())
+    plain = fit_bradley_terry(d, ridge=1 / scale)
+    assert np.allclose(plain, many.weights, atol=1e-2)
+    s = np.sort(z @ many.weights)
+    i = (y == 0).sum()
+    assert abs((s[i] + s[i - 1]) / 2 - many.threshold) < 1e-9
+
+
+def test_score_quantile(spark):
+    from tidemark.llm.pairwise_quality import score_quantile
+
+    rows = [(0, 1.0), (0, 1.0), (0, 2.0), (0, 2.0 + 1e-12), (1, 3.0), (1, 1e6), (1, -1e6)]
+    scored = spark.createDataFrame(rows, "quality int, score double")
+    same = {0: 1.0, 1: 1.0}
+    assert [score_quantile(scored, same, k / 7) for k in (0, 1, 2, 4, 6)] == [
+        -1e6, (1.0 - 1e6) / 2, (1.0 - 1e6) / 2, (2.0 + 2.0 + 1e-12) / 2, (1e6 + 3.0) / 2]
+    assert score_quantile(scored, {0: 0.5, 1: 2.0}, 0.25) == (1.0 - 1e6) / 2
+    assert score_quantile(scored.filter("score = 1"), same, 0.5) == 1.0
