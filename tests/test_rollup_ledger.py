@@ -33,8 +33,8 @@ def test_next_batch_lexicographic_and_unseen(spark):
 
 def test_current_state_uses_seq_for_equal_times(spark):
     t = datetime(2024, 1, 1)
-    rows = [("f", "b1", t, "pending", t, 1, None, 7, None, None), ("f", "b1", t, "loaded", t, 2, 10, 7, 1, 5),
-            ("f", "b1", t, "archived", t, 3, 10, 7, 1, 5), ("g", "b2", t, "pending", t, 4, None, 7, None, None)]
+    rows = [("f", "b1", t, "pending", t, 1, None, 7, None, None, None), ("f", "b1", t, "loaded", t, 2, 10, 7, 1, 5, None),
+            ("f", "b1", t, "archived", t, 3, 10, 7, 1, 5, None), ("g", "b2", t, "pending", t, 4, None, 7, None, None, None)]
     ledger = spark.createDataFrame(rows, LEDGER_SCHEMA)
     state = {r.path: r.state for r in current_state(ledger).collect()}
     assert state == {"f": "archived", "g": "pending"}
