@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import adaptive_quality, icws_dedup, jump_shards, tree_mix, winnowing
+from tidemark.llm.common import small_batches
 from tidemark.llm.queries import MIX_WEIGHTS, SHARDS, domain
 from tidemark.session import scratch_path
 
@@ -31,8 +32,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of the benchmark."""
-    return winnowing.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents without any passage of the benchmark. Written once, as whole rows wait in memory
+    for the verdict on their batch: batches are kept small while the job runs."""
+    path = scratch_path(spark, "pipeline-clean")
+    clean = winnowing.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    with small_batches(spark):
+        clean.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,11 +4,14 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import icws_dedup as I
 from tidemark.llm.components import components
 from tidemark.llm.wordhash import batches
 
+from ..conftest import plan_text
+
 
 def vectors(texts, weights):
     out = []
@@ -143,3 +146,24 @@ def test_group_of_near_copies_that_are_not_similar_to_each_other(spark):
     finally:
         I.links = plain
     assert sum(compared) < len(rows) ** 2 / 8
+
+
+def test_a_pair_that_is_filtered_is_compared_once(spark):
+    weights = spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0), 1.0))
+    pairs = spark.range(3).select(F.concat(F.lit("a b c d e "), F.col("id").cast("string")).alias("left"),
+                                  F.lit("a b c d e 1").alias("right"))
+    scored = pairs.select("left", I.similarity_column(F.col("left"), F.col("right"), weights).alias("similarity"))
+    near = scored.filter(F.col("similarity") >= 0.8)
+    assert [tuple(r) for r in near.collect()] == [("a b c d e 1", 1.0)]
+    assert plan_text(near).count("compare(") == 1
+
+
+def test_no_rows_come_from_local_lists(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"one two three four five six seven {i % 3}") for i in range(12)],
+                                 "doc_id long, text string")
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("rows of a local list start Python workers of their own")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    assert I.deduplicated(docs).count() == 3

@@ -192,6 +192,9 @@ def keys(bands: np.ndarray, total: float, threshold: float) -> np.ndarray:
 
 
 def similarity_column(left: Column, right: Column, weights) -> Column:
+    """Similarity of two texts. Made once for a filter and the rows that pass it: a deterministic
+    function would be copied into the filter, and a task would compare every pair twice, in
+    two Python workers."""
     def vectors(texts: pa.Array, table: Weights) -> list:
         """Vectors of a few texts; equal ones, such as a leader's, are made once."""
         known = texts.dictionary_encode()
@@ -209,7 +212,7 @@ def similarity_column(left: Column, right: Column, weights) -> Column:
             out += [similarity(x, y) for x, y in pairs]
         return pa.array(out, pa.float64())
 
-    return compare(left, right)
+    return compare.asNondeterministic()(left, right)
 
 
 # ---- candidates, links, classes -------------------------------------------------------
@@ -347,7 +350,8 @@ def link_buckets(buckets: DataFrame, texts: DataFrame, weights, threshold: float
     pairs = (buckets.join(leaders, "band").filter("node <> leader")
              .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")))
     found = links(pairs, texts, weights, threshold)
-    roots = _united(found, session.createDataFrame([], "node long, root long"))
+    # No local list: that is read by Python workers of their own, which stay for a while.
+    roots = _united(found, session.range(0).select(F.col("id").alias("node"), F.col("id").alias("root")))
 
     member = _rooted(buckets, roots)
     open_buckets = (member.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
