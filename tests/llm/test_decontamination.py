@@ -1,9 +1,11 @@
 import hashlib
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import winnowing
 from tidemark.llm.winnowing import decontaminate, decontamination_rows
 
 from .conftest import PROSE, SF
@@ -68,3 +70,26 @@ def test_stage_and_edges(spark, edge_docs, no_docs):
     nothing = items.filter(F.lit(False))
     assert decontaminate(edge_docs, nothing).count() == edge_docs.count()
     assert not any(r["contaminated"] for r in decontamination_rows(edge_docs, nothing).collect())
+
+
+def test_stage_scans_few_texts_at_a_time(spark, monkeypatch):
+    kind = winnowing._HITS_ARROW
+
+    @F.arrow_udf(winnowing.HITS)
+    def hit_in_large_batches(texts: pa.Array) -> pa.Array:
+        spans = [{"s": 0, "e": 1}] if len(texts) > 256 else []
+        return pa.array([{"n_words": 1, "spans": spans, "items": []}] * len(texts), kind)
+
+    monkeypatch.setattr(winnowing, "hits", lambda text, block: hit_in_large_batches(text))
+    docs = spark.range(0, 1000, 1, 1).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert decontaminate(docs, spark.createDataFrame(SPECIAL, "item_id long, text string")).count() == 1000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_stage_by_blocks_and_repeated_texts(spark, edge_docs):
+    items = spark.createDataFrame([(1, "nothing of this is there"), (2, PROSE), (3, "one two")], "item_id long, text string")
+    found = [sorted(str(r) for r in decontaminate(edge_docs, items, n).collect()) for n in (1 << 20, 40)]
+    assert found[0] == found[1]
+    want = {r["doc_id"] for r in decontamination_rows(edge_docs, items).collect() if not r["contaminated"]}
+    assert {r["doc_id"] for r in decontaminate(edge_docs, items).collect()} == want

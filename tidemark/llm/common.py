@@ -35,6 +35,15 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_in_few(df: DataFrame) -> DataFrame:
+    """``stage`` in files of about the session's advisory size, not one per task of a scan.
+
+    For narrow frames made from texts. Every file that Hadoop's local file system creates starts
+    ``chmod`` processes, each of which shares all of the executor's memory for an instant.
+    """
+    return stage(df.hint("rebalance"))
+
+
 def packed(df: DataFrame, rows: int = PACKED_ROWS) -> tuple[DataFrame, int]:
     """``df`` staged, read in partitions of about ``rows`` rows, and its number of rows.
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-from .common import packed, small_batches, stage
+from .common import packed, parts, small_batches, stage, stage_in_few
 from .components import components
 from .wordhash import U64, batches, grams, mix64
 
@@ -44,6 +44,7 @@ BANDS, ROWS = 16, 5
 RARE = 1024  # words in fewer than one of so many documents weigh the same
 MAX_WORDS = 2_000_000
 MAX_BROADCAST_IDS = 2_000_000
+MEMBERS = 1000  # texts to a file of shingles
 CLASS = 0.95  # a weight class of the prefix join is one such factor wide
 SLACK = 1e-6  # rounding of summed weights
 _TABLE_BITS = 16
@@ -277,7 +278,9 @@ def prefixes(members: DataFrame, texts: DataFrame, weights, threshold: float) ->
     first shingle that two similar texts of different components share has at most
     ``1 - threshold`` of either text's weight ahead of it; only such shingles are returned.
     """
-    used = texts.join(_few(members), "node")
+    # Members are often few among the texts: no file for each task of the scan.
+    width = max(3 * texts.sparkSession.sparkContext.defaultParallelism, parts(members.count(), MEMBERS))
+    used = texts.join(_few(members), "node").coalesce(width)
     # Written once, in the shared folder: the count of holders and the join both read it.
     path = scratch_path(texts.sparkSession, "near-duplicate-shingles")
     with small_batches(texts.sparkSession):
@@ -379,7 +382,7 @@ def _classes(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         "uid", "doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"),
         band_column(F.col("text"), weights, threshold).alias("bands"))
     with small_batches(rows.sparkSession):
-        signed = stage(signed)
+        signed = stage_in_few(signed)
     nodes = stage(signed.groupBy("digest").agg(F.min("uid").alias("node")))
     signed = signed.join(nodes, "digest")
     buckets = signed.filter("uid = node").select("node", F.explode("bands").alias("band"))
@@ -392,7 +395,7 @@ def _classes(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                      F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "digest")
     alone = rows.filter("text is null").select(
         "uid", "doc_id", F.col("uid").alias("root"), F.lit(0).cast("long").alias("n_links"))
-    return stage(named.select("uid", "doc_id", "root", "n_links").unionByName(alone))
+    return stage_in_few(named.select("uid", "doc_id", "root", "n_links").unionByName(alone))
 
 
 def _staged_texts(docs: DataFrame, columns: list[Column]) -> DataFrame:

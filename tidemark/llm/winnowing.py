@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import packed, small_batches, stage
 from .wordhash import U64, Words, batches, grams, whole
 
 K, GUARANTEE = 5, 10
 BLOCK_BYTES = 32 << 20
+MAX_BROADCAST_HITS = 500_000  # digests of 32 bytes
 _FILTER_BITS = 20
 
 HITS = "struct<n_words: bigint, spans: array<struct<s: int, e: int>>, items: array<string>>"
@@ -217,7 +218,16 @@ def decontamination_rows(docs: DataFrame, items: DataFrame, block_bytes: int = B
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` without any hit, with exactly its columns."""
-    for b in blocks(items, block_bytes):
-        docs = docs.filter(F.size(hits(F.col("text"), b)["spans"]) == 0)
+    """The rows of ``docs`` without any hit, with exactly its columns.
+
+    A text alone decides. Texts, not whole rows, are scanned first, in small batches and one
+    block at a time; the digests of those hit are staged, and rows with such a text are left
+    out. A NULL text is never hit.
+    """
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    with small_batches(docs.sparkSession):
+        found = [packed(docs.select("text").filter(F.size(hits(F.col("text"), b)["spans"]) > 0)
+                        .select(digest.alias("__hit")).distinct()) for b in blocks(items, block_bytes)]
+    for hit, n in found:
+        docs = docs.join(F.broadcast(hit) if n <= MAX_BROADCAST_HITS else hit, digest == F.col("__hit"), "left_anti")
     return docs
